@@ -70,19 +70,29 @@ def split_quality(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
-def split_choice(quality: DataFrame, readers: int, primary_key: str | None = None, vendor: str = "") -> DataFrame:
-    """The split column: the primary key, else the evenest column with more groups than readers.
+def split_choice(quality: DataFrame, tables: list[tuple[int, str | None, str]]) -> DataFrame:
+    """The split column for each (readers, primary key, vendor), from one pass over the profile.
 
-    Oracle reads by row ranges and needs none. One row with ``split_column``, NULL if none fits.
+    The primary key if there is one, else the evenest column with more groups than readers,
+    NULL if none fits. Oracle reads by row ranges and needs none.
     """
-    best = quality.where(F.col("n_groups") > readers).agg(
-        F.min_by("column_name", F.struct("group_stddev", "ordinal")).alias("split_column")
-    )
-    if vendor == "oracle":
-        return best.select(F.lit(None).cast("string").alias("split_column"))
-    if primary_key:
-        return best.select(F.lit(primary_key).alias("split_column"))
-    return best
+
+    def pick(readers: int, key: str | None, vendor: str) -> Column:
+        if vendor == "oracle" or key:
+            return F.lit(None if vendor == "oracle" else key).cast("string")
+        order = F.when(F.col("n_groups") > readers, F.struct("group_stddev", "ordinal"))
+        return F.min_by("column_name", order)
+
+    rows = [
+        F.struct(
+            F.lit(readers).alias("readers"),
+            F.lit(vendor).alias("vendor"),
+            F.lit(key).cast("string").alias("primary_key"),
+            pick(readers, key, vendor).alias("split_column"),
+        )
+        for readers, key, vendor in tables
+    ]
+    return quality.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def max_lengths(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from . import extract
+from . import auditing, exporting, extract, publishing, quality, registering, typing
 
-KEYS = {**extract.KEYS}
+KEYS = {
+    **extract.KEYS,
+    **typing.KEYS,
+    **publishing.KEYS,
+    **exporting.KEYS,
+    **quality.KEYS,
+    **registering.KEYS,
+    **auditing.KEYS,
+}
 
 
 def flagship(spark, sf):
