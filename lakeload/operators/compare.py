@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import compat, types
+from .sample import MAX_SAMPLE_ROWS, check_sample
 
 # A count passes above this share of the source, up to all of it.
 COUNT_ABOVE_PERCENT, COUNT_UP_TO_PERCENT = 95, 100
@@ -137,9 +138,18 @@ def base_lake_type(lake: str) -> str:
     return lake.split("(")[0].upper()
 
 
-def comparable(col: Column, lake: str) -> Column:
-    """A value in the form two systems can be compared in: trimmed, numbers as numbers, dates by shape."""
-    kind = base_lake_type(lake)
+def comparable(df: DataFrame, name: str, lake: str) -> Column:
+    """A value in the form two systems can be compared in: trimmed, numbers as numbers, dates by shape.
+
+    Only text is parsed; a column that already has a number or time type is taken as it is.
+    """
+    kind, col, held = base_lake_type(lake), F.col(name), dict(df.dtypes)[name]
+    if held != "string":
+        if kind in DATES and held.startswith(("timestamp", "date")):
+            col = col.cast("timestamp_ntz")
+            return F.when(col.cast("date") != F.lit(EMPTY_DATE).cast("date"), col)
+        if kind in NUMERIC:
+            return col
     text = F.trim(col.cast("string"))
     text = F.when(text != NULL_TEXT, text)
     if kind in ("FLOAT", "DOUBLE"):
@@ -162,7 +172,7 @@ def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict
     values = [c for c in lake if c not in keys]
 
     def prepared(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.struct(*[comparable(F.col(c), lake[c]).alias(c) for c in values]).alias("_row"))
+        return df.select(*keys, F.struct(*[comparable(df, c, lake[c]).alias(c) for c in values]).alias("_row"))
 
     lake_rows = prepared(target).groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_row").alias("_found"))
     joined = prepared(source).join(lake_rows, keys, "left")
@@ -177,25 +187,22 @@ def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict
 def find_sample(sample: DataFrame, target: DataFrame, lake: dict[str, str], id_column: str) -> DataFrame:
     """Lake rows that equal each sampled row on all columns but dates and empty text.
 
-    The sample holds a handful of rows by its own limit, so it is broadcast and the lake
+    The sample is counted before it is broadcast, and a large one is refused; the lake
     table is scanned once without a shuffle.
     """
+    check_sample(sample.limit(MAX_SAMPLE_ROWS + 1).count())
     looked_up = [c for c, t in lake.items() if base_lake_type(t) not in DATES]
-    small = sample.select(
-        F.col(id_column).alias("_id"), *[comparable(F.col(c), lake[c]).alias(f"_s_{c}") for c in looked_up]
+    wanted = sample.select(
+        F.col(id_column).alias("_id"), *[comparable(sample, c, lake[c]).alias(f"_s_{c}") for c in looked_up]
     )
-    big = target.select(*[comparable(F.col(c), lake[c]).alias(f"_t_{c}") for c in looked_up])
+    big = target.select(*[comparable(target, c, lake[c]).alias(f"_t_{c}") for c in looked_up])
 
     def same(c: str) -> Column:
         equal = F.col(f"_t_{c}").eqNullSafe(F.col(f"_s_{c}"))
-        if base_lake_type(lake[c]) in TEXT:
-            return equal | (F.col(f"_s_{c}") == "")
-        return equal
-
-    numeric = [c for c in looked_up if base_lake_type(lake[c]) not in TEXT]
-    others = [c for c in looked_up if c not in numeric]
-    condition = reduce(lambda a, b: a & b, [same(c) for c in numeric + others])
-    hits = big.join(F.broadcast(small), condition).groupBy("_id").agg(F.count("*").alias("n_matches"))
+        return equal | (F.col(f"_s_{c}") == "") if base_lake_type(lake[c]) in TEXT else equal
+
+    condition = reduce(lambda a, b: a & b, [same(c) for c in looked_up])
+    hits = big.join(F.broadcast(wanted), condition).groupBy("_id").agg(F.count("*").alias("n_matches"))
     return (
         sample.select(F.col(id_column))
         .join(hits.withColumnRenamed("_id", id_column), id_column, "left")
@@ -205,9 +212,30 @@ def find_sample(sample: DataFrame, target: DataFrame, lake: dict[str, str], id_c
 
 # conformance ----------------------------------------------------------------------------
 
-def conforms(col: Column, lake: str) -> Column:
-    """Whether a value, in text or typed, can be held by the lake type without loss."""
+# Whole-number types a column may be held in without a value ever breaking the lake type.
+_WITHIN = {
+    "TINYINT": ("tinyint",),
+    "SMALLINT": ("tinyint", "smallint"),
+    "INT": ("tinyint", "smallint", "int"),
+    "BIGINT": ("tinyint", "smallint", "int", "bigint"),
+    "FLOAT": ("float",),
+    "DOUBLE": ("float", "double"),
+    "BOOLEAN": ("boolean",),
+    "TIMESTAMP": ("timestamp", "timestamp_ntz", "date"),
+}
+
+
+def always_conforms(held: str, lake: str) -> bool:
+    """Whether the type a column is held in settles the question, so its values need not be read."""
     kind = base_lake_type(lake)
+    return kind == "STRING" or held in _WITHIN.get(kind, ()) or held.upper() == lake.upper()
+
+
+def conforms(df: DataFrame, name: str, lake: str) -> Column:
+    """Whether a value, in text or typed, can be held by the lake type without loss."""
+    if always_conforms(dict(df.dtypes)[name], lake):
+        return F.lit(True)
+    kind, col = base_lake_type(lake), F.col(name)
     text = col.cast("string")
     if kind in ("VARCHAR", "CHAR"):
         size = int(lake[len(kind) + 1 : -1])
@@ -225,16 +253,14 @@ def conforms(col: Column, lake: str) -> Column:
         fits = text.try_cast("double").isNotNull()
     elif kind in DATES:
         fits = text.try_cast("timestamp_ntz").isNotNull()
-    elif kind == "BOOLEAN":
-        fits = text.try_cast("boolean").isNotNull()
     else:
-        fits = F.lit(True)
+        fits = text.try_cast("boolean").isNotNull()
     return col.isNull() | fits
 
 
 def conformance(df: DataFrame, lake: dict[str, str]) -> DataFrame:
     """Rows of the whole table that break their column's lake type, all columns in one scan."""
-    bad = df.agg(*[F.count_if(~conforms(F.col(c), t)).alias(c) for c, t in lake.items()], F.count("*").alias("_rows"))
+    bad = df.agg(*[F.count_if(~conforms(df, c, t)).alias(c) for c, t in lake.items()], F.count("*").alias("_rows"))
     long = bad.unpivot(["_rows"], list(lake), "column_name", "n_bad")
     shown = F.create_map(*[F.lit(x) for pair in lake.items() for x in pair])
     return long.select(

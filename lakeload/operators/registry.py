@@ -129,6 +129,21 @@ def id_parts(registry: DataFrame) -> DataFrame:
     return registry.select(part.alias("id_part")).distinct()
 
 
+def remove(registry: DataFrame, keys: DataFrame) -> DataFrame:
+    """The registry without the rows of the given keys."""
+    return registry.join(keys.select(*KEYS), KEYS, "left_anti")
+
+
+def placeholders(requests: DataFrame) -> DataFrame:
+    """Rows on hold for requested tables: only the key is known, so nothing loads them yet."""
+    shape = requests.sparkSession.createDataFrame([], REGISTRY).schema
+    known = {k: F.col(k) for k in KEYS} | {
+        "hold": F.lit(1), "load": F.lit(codes.DEFAULT_LOAD), "mappers": F.lit(DEFAULT_MAPPERS),
+        "fetch_size": F.lit(DEFAULT_FETCH_SIZE),
+    }
+    return requests.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+
+
 def dump(registry: DataFrame, vendor: str | None = None) -> DataFrame:
     """One text section per table, of all tables or of one vendor's."""
     if vendor:

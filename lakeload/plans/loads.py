@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions import names
 from ..operators import compare, incremental, project
 from ..operators.project import Field
 from ..sinks import export, publish
@@ -77,3 +78,29 @@ def export_load(lake: DataFrame, target: str, columns: list[str] | None = None)
         export.require_empty(spark.read.schema(rows.schema).parquet(target))
     written = export.insert_rows(rows, target)
     return compare.count_check(compare.two_counts(rows, written, []))
+
+
+def load_report(landing: DataFrame, staged: DataFrame, fields: list[Field], vendor: str) -> DataFrame:
+    """Did the load arrive, typed and complete? One row per column.
+
+    ``lost`` counts the texts the lake type could not hold. One scan of each side.
+    """
+    shown = dict(zip([names.clean(f.name) for f in fields], project.lake_types(fields, vendor)))
+    landed_as = {names.clean(f.name): names.clean_for_landing(f.name) for f in fields}
+
+    def filled(df: DataFrame, columns: dict[str, str], count: str) -> DataFrame:
+        sums = df.agg(*[F.count(F.col(f"`{c}`")).alias(n) for n, c in columns.items()], F.count("*").alias(count))
+        return sums.unpivot([count], list(columns), "column_name", f"{count}_filled")
+
+    source = filled(landing, landed_as, "source_rows")
+    target = filled(staged, {n: n for n in shown}, "target_rows")
+    types_of = F.create_map(*[F.lit(x) for pair in shown.items() for x in pair])
+    joined = compare.count_check(source.join(target, "column_name"))
+    return joined.select(
+        "column_name",
+        types_of[F.col("column_name")].alias("lake_type"),
+        "source_rows",
+        "target_rows",
+        "count_ok",
+        (F.col("source_rows_filled") - F.col("target_rows_filled")).alias("lost"),
+    )

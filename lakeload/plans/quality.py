@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import compare
+from ..operators import compare, sample
+from ..session import settle
 
 KEYS = ["vendor", "table_name"]
 
@@ -29,12 +30,18 @@ def incremental(counts: DataFrame, source: DataFrame, increment: DataFrame, live
 
 
 def sampling(
-    source: DataFrame, target: DataFrame, sample: DataFrame, id_column: str, lake: dict[str, str]
+    source: DataFrame, target: DataFrame, id_column: str, lake: dict[str, str], n: int = sample.SAMPLE_ROWS
 ) -> DataFrame:
-    """Sampled rows found once in the lake and equal to it, and the lake's rows within their types."""
-    found = compare.find_sample(sample, target, lake, id_column)
-    near = target.join(F.broadcast(sample.select(id_column)), id_column, "left_semi")
-    matched = compare.match_rows(sample, near, [id_column], lake)
+    """Sampled source rows found once in the lake and equal to it, and the lake's rows within their types.
+
+    The sampled rows are drawn once. Their ids go into the row comparison as literals, so
+    that scan of the lake table skips the files and row groups without them.
+    """
+    sampled = settle(sample.sample_rows(source.select(*lake), [id_column], n), "sample")
+    ids = [r[0] for r in sampled.select(id_column).collect()]
+    near = target.where(F.col(id_column).isin(ids))
+    found = compare.find_sample(sampled, target, lake, id_column)
+    matched = compare.match_rows(sampled, near, [id_column], lake)
     conforming = compare.conformance(target, lake)
     return (
         found.agg(F.lit("row_found").alias("stage"), F.bool_and(F.col("n_matches") == 1).alias("passed"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import FIELD_SEPARATOR, export_line
+from ..operators.compare import require_equal_counts
 from ..operators.merge import replace_present, upsert
 from ..sources.jdbc import quoted, write_options
 
@@ -79,7 +80,7 @@ def merge_statement(
         else:
             changed = ", ".join(f"{q[c]} = EXCLUDED.{q[c]}" for c in values)
             action = f"ON CONFLICT ({', '.join(q[k] for k in keys)}) DO UPDATE SET {changed}"
-        return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} {action}"
+        return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} s {action}"
     match = " AND ".join(f"t.{q[k]} = s.{q[k]}" for k in keys)
     changed = ", ".join(f"{'' if vendor in ('db2', 'teradata') else 't.'}{q[c]} = s.{q[c]}" for c in values)
     if vendor == "mysql":
@@ -102,19 +103,33 @@ def run_statement(spark: SparkSession, statement: str, url: str, user: str = "",
         connection.close()
 
 
+def _stage_jdbc(df: DataFrame, url: str, staging: str, writers: int, **login: str) -> None:
+    """Fill a staging table anew, so a repeated export does not find its own earlier rows."""
+    spread = df.coalesce(writers) if df.rdd.getNumPartitions() > writers else df
+    settings = write_options(url, staging, **login)
+    spread.write.format("jdbc").options(**settings, truncate="true").mode("overwrite").save()
+
+
 def merge_jdbc(
     df: DataFrame, vendor: str, url: str, target: str, staging: str, keys: list[str], writers: int,
     insert: bool = True, **login: str,
 ) -> int:
-    """Load a staging table in parallel, then merge it in the database by one statement."""
-    insert_jdbc(df, url, staging, writers, **login)
-    statement = merge_statement(vendor, target, staging, df.columns, keys, insert)
+    """Load a staging table in parallel, then merge it in the database by one statement.
+
+    The statement reads each staged row once, so rows a retried task wrote twice do no harm.
+    """
+    _stage_jdbc(df, url, staging, writers, **login)
+    statement = merge_statement(vendor, target, f"(SELECT DISTINCT * FROM {staging})", df.columns, keys, insert)
     return run_statement(df.sparkSession, statement, url, login.get("user", ""), login.get("password", ""))
 
 
 def staged_insert_jdbc(df: DataFrame, url: str, target: str, staging: str, writers: int, **login: str) -> int:
-    """Insert by way of a staging table in the database."""
-    insert_jdbc(df, url, staging, writers, **login)
+    """Insert by way of a staging table, once it holds exactly the exported rows."""
+    seen = Observation("exported")
+    _stage_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, staging, writers, **login)
+    counting = write_options(url, f"(SELECT COUNT(*) AS n FROM {staging}) s", **login)
+    staged = int(df.sparkSession.read.format("jdbc").options(**counting).load().first()[0])
+    require_equal_counts(seen.get["n"], staged)
     statement = f"INSERT INTO {target} SELECT * FROM {staging}"
     return run_statement(df.sparkSession, statement, url, login.get("user", ""), login.get("password", ""))
 

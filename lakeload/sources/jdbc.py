@@ -86,6 +86,12 @@ def extract_query(source: Source, fields: list[Field], increment: str = "") -> s
     return f"{prefix}SELECT {columns} FROM {source.full_name()} t WHERE 1=1{filters}"
 
 
+def object_type_query(source: Source) -> str:
+    """SQL that tells whether an Oracle object is a table or a view."""
+    owner, name = (x.replace("'", "''").upper() for x in (source.database, source.table))
+    return f"SELECT OBJECT_TYPE FROM ALL_OBJECTS WHERE OWNER = '{owner}' AND OBJECT_NAME = '{name}'"
+
+
 def reader_count(source: Source) -> int:
     """One reader where the source cannot be read by ranges."""
     oracle_query = source.vendor == "oracle" and bool(source.where)

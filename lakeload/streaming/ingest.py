@@ -20,11 +20,13 @@ def run_available(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     files_per_batch: int | None = None,
+    label: str = BATCH_LABEL,
 ) -> None:
     """Take up every landing file not taken up before, then stop.
 
-    The checkpoint remembers the files. The partition label is the batch number and the
-    write replaces that partition, so a batch repeated after a failure is stored once.
+    The checkpoint remembers the files. The partition label ends in the batch number and the
+    write replaces that partition, so a batch repeated after a failure is stored once. Take
+    another label when the checkpoint is started anew, as its numbers then begin at 0 again.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -32,7 +34,7 @@ def run_available(
     stream = transform(reader.parquet(landing))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        merge_partition(batch.withColumn(PARTITION, F.lit(f"{BATCH_LABEL}{batch_id}")), live)
+        merge_partition(batch.withColumn(PARTITION, F.lit(f"{label}{batch_id}")), live)
 
     query = (
         stream.writeStream.foreachBatch(store)

@@ -16,4 +16,4 @@ KEYS = {
 
 
 def flagship(spark, sf):
-    return extract.extract_full(spark, sf)
+    return publishing.load_report(spark, sf)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import project, teams
+from ..plans import loads
 from ..plans.steps import unique_name
 from ..session import scratch
 from ..sinks import publish, views
@@ -34,6 +35,29 @@ STAGE_SQL = inp.with_inputs(
 )
 
 
+def load_report(spark, sf):
+    """The flagship: lineitem from text to a typed stage partition, and a verdict on every column."""
+    landing = inp.derive(spark, sf, inp.lineitem_text(SPARK))
+    typed = project.typed(landing, LINEITEM_FIELDS, "db2")
+    stamped = project.with_system_columns(typed, INGEST_TIME, project.load_stamp(AT, full=True))
+    staged = publish.write_stage(stamped, scratch(spark, "report"))
+    return loads.load_report(landing, staged, LINEITEM_FIELDS, "db2")
+
+
+_LAKE = dict(zip([f.name for f in LINEITEM_FIELDS], project.lake_types(LINEITEM_FIELDS, "db2")))
+REPORT_SQL = inp.with_inputs(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS lake_type, count(*) AS source_rows, count(*) AS target_rows, true AS count_ok, "
+        f"count({c}) - count(x_{c}) AS lost FROM y" for c, t in _LAKE.items()
+    ),
+    t=inp.lineitem_text(DUCK),
+    y="SELECT *, " + ", ".join(
+        f"{c} AS x_{c}" if t.startswith(("VARCHAR", "CHAR")) else f"TRY_CAST({c} AS {t.replace('INT', 'INTEGER') if t == 'INT' else t}) AS x_{c}"
+        for c, t in _LAKE.items()
+    ) + " FROM t",
+)
+
+
 def _staged_orders(spark, sf, folder, where="true", at=AT, full=True):
     orders = inp.tables(spark, sf)["orders"].where(where)
     stamped = project.with_system_columns(orders, at.strftime("%Y-%m-%d %H:%M:%S"), project.load_stamp(at, full))
@@ -206,6 +230,7 @@ KEYS = {
         filtered_view,
         "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 30",
     ),
+    "load_report": (load_report, REPORT_SQL),
     "live_table": (live_table, BOTH_LOADS_SQL),
     "partition_sizes": (partition_sizes, None),
     "publish_swap": (publish_swap, stamped_sql()),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import compat
 from ..functions.text import escape_log
-from ..operators import catalog, compare, project, sample
+from ..operators import catalog, compare, project
 from ..plans import quality
 from ..sinks import export
 from ..session import scratch
@@ -278,10 +278,9 @@ CONFORMANCE_SQL = inp.with_inputs(
 def qa_sampling(spark, sf):
     """Five sampled orders looked up in a faithful copy and in one without them."""
     orders = inp.tables(spark, sf)["orders"]
-    sampled = sample.sample_rows(orders, ["o_orderkey"])
-    good = quality.sampling(orders, orders, sampled, "o_orderkey", ORDER_TYPES)
+    good = quality.sampling(orders, orders, "o_orderkey", ORDER_TYPES)
     changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    bad = quality.sampling(orders, changed, sampled, "o_orderkey", ORDER_TYPES)
+    bad = quality.sampling(orders, changed, "o_orderkey", ORDER_TYPES)
     return good.withColumn("target", F.lit("faithful")).unionByName(bad.withColumn("target", F.lit("changed")))
 
 
