@@ -1,40 +1,77 @@
 """Looking ahead within a key without gathering a whole key in one task.
 
-A window over one hot key would be a single task. Here the order column is cut into
-slices of about equal size, each (key, slice) is a window of its own, and what a row
-cannot find in its slice comes from a small table with one row per (key, slice).
+A window over one hot key would be a single task. Here the order column is cut into many
+slices, each (key, slice) is a window of its own, and what a row cannot find in its slice
+comes from a small table with one row per (key, slice).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICES = 64
+# Cut points taken from the data; each part between two of them is cut further by width.
+PARTS = 64
+SLICES_PER_SHUFFLE_PARTITION = 4
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Lower bound and slice width of each part, in order."""
 
+    lows: list[int]
+    widths: list[int]
+    per_part: int
 
-def cuts(df: DataFrame, order: Column, slices: int = SLICES) -> list[int]:
-    """At most ``slices - 1`` cut points of a long column, about evenly spaced in rows."""
-    shares = [F.lit(i / slices) for i in range(1, slices)]
-    found = df.agg(F.percentile_approx(order, F.array(*shares), F.lit(1000)).alias("cuts")).first()[0]
-    return sorted(set(found or []))
 
+def find_cuts(df: DataFrame, order: Column) -> Cuts:
+    """Cut points by one pass: quantiles for balance, equal widths between them for number.
+
+    The number of slices grows with the session's shuffle partitions, so that a third of all
+    rows under one key still spreads over all of them. At most ``PARTS`` values are collected.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_part = max(1, -(-partitions * SLICES_PER_SHUFFLE_PARTITION // PARTS))
+    shares = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    found = df.agg(
+        F.min(order).alias("low"), F.max(order).alias("high"), F.percentile_approx(order, shares, F.lit(1000)).alias("inner")
+    ).first()
+    if found.low is None:
+        return Cuts([0], [1], 1)
+    lows = sorted({found.low, *found.inner})
+    ends = [*lows[1:], found.high + 1]
+    return Cuts(lows, [max(1, -(-(end - low) // per_part)) for low, end in zip(lows, ends)], per_part)
 
-def slice_of(order: Column, at: list[int], base: int = 0) -> Column:
-    """Number of cuts at or below the value, as a balanced tree of comparisons."""
-    if not at:
+
+def part_of(order: Column, lows: list[int], base: int = 0) -> Column:
+    """Index of the last lower bound at or below the value, as a balanced tree of comparisons."""
+    if len(lows) <= 1:
         return F.lit(base)
-    mid = len(at) // 2
-    return F.when(order < at[mid], slice_of(order, at[:mid], base)).otherwise(
-        slice_of(order, at[mid + 1 :], base + mid + 1)
+    mid = len(lows) // 2
+    return F.when(order < lows[mid], part_of(order, lows[:mid], base)).otherwise(part_of(order, lows[mid:], base + mid))
+
+
+def with_slice(df: DataFrame, order: Column) -> DataFrame:
+    """Add ``_slice``, a whole number that never falls as ``order`` rises."""
+    cuts = find_cuts(df, order)
+    at = F.col("_part")
+    low = F.get(F.array(*[F.lit(x) for x in cuts.lows]), at)
+    width = F.get(F.array(*[F.lit(x) for x in cuts.widths]), at)
+    inside = F.floor((order - low) / width).cast("bigint")
+    return (
+        df.withColumn("_part", part_of(order, cuts.lows))
+        .withColumn("_slice", at * cuts.per_part + F.least(inside, F.lit(cuts.per_part - 1)))
+        .drop("_part")
     )
 
 
-def next_value(df: DataFrame, keys: list[str], order: list[str], value: str, slices: int = SLICES) -> DataFrame:
+def next_value(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Add ``next_<value>``: the first non-null value after the row, by ``order`` within ``keys``.
 
     ``order[0]`` is a long that is cut into slices; ``order`` as a whole must leave no ties.
     """
-    sliced = df.withColumn("_slice", slice_of(F.col(order[0]), cuts(df, F.col(order[0]), slices)))
+    sliced = with_slice(df, F.col(order[0]))
     position = F.struct(*order)
 
     backwards = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc() for c in order])
