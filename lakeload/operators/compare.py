@@ -243,8 +243,8 @@ def conforms(df: DataFrame, name: str, lake: str) -> Column:
     elif kind == "DECIMAL":
         precision, scale = (int(x) for x in lake[8:-1].split(","))
         number = F.trim(text)
-        whole = F.length(F.regexp_extract(number, r"^[+-]?0*([0-9]*)", 1))
-        digits = F.length(F.regexp_extract(number, r"\.([0-9]*?)0*$", 1))
+        whole = F.length(F.ltrim(F.split_part(F.ltrim(number, F.lit("+-")), F.lit("."), F.lit(1)), F.lit("0")))
+        digits = F.length(F.rtrim(F.split_part(number, F.lit("."), F.lit(2)), F.lit("0")))
         is_number = number.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$")
         fits = is_number & (whole + digits <= precision) & (digits <= scale)
     elif kind in WHOLE:

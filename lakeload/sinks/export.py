@@ -60,9 +60,12 @@ def update_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) ->
 # Database targets.
 
 def insert_jdbc(df: DataFrame, url: str, table: str, writers: int, **login: str) -> None:
-    """Append rows over ``writers`` connections; fewer partitions are left as they are."""
-    spread = df.coalesce(writers) if df.rdd.getNumPartitions() > writers else df
-    spread.write.format("jdbc").options(**write_options(url, table, **login)).mode("append").save()
+    """Append rows over at most ``writers`` connections.
+
+    A retried task can append its rows twice; use a staging table where that matters.
+    """
+    settings = write_options(url, table, writers, **login)
+    df.write.format("jdbc").options(**settings).mode("append").save()
 
 
 def merge_statement(
@@ -105,9 +108,8 @@ def run_statement(spark: SparkSession, statement: str, url: str, user: str = "",
 
 def _stage_jdbc(df: DataFrame, url: str, staging: str, writers: int, **login: str) -> None:
     """Fill a staging table anew, so a repeated export does not find its own earlier rows."""
-    spread = df.coalesce(writers) if df.rdd.getNumPartitions() > writers else df
-    settings = write_options(url, staging, **login)
-    spread.write.format("jdbc").options(**settings, truncate="true").mode("overwrite").save()
+    settings = write_options(url, staging, writers, **login)
+    df.write.format("jdbc").options(**settings, truncate="true").mode("overwrite").save()
 
 
 def merge_jdbc(
@@ -127,7 +129,7 @@ def staged_insert_jdbc(df: DataFrame, url: str, target: str, staging: str, write
     """Insert by way of a staging table, once it holds exactly the exported rows."""
     seen = Observation("exported")
     _stage_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, staging, writers, **login)
-    counting = write_options(url, f"(SELECT COUNT(*) AS n FROM {staging}) s", **login)
+    counting = write_options(url, f"(SELECT COUNT(*) AS n FROM {staging}) s", 1, **login)
     staged = int(df.sparkSession.read.format("jdbc").options(**counting).load().first()[0])
     require_equal_counts(seen.get["n"], staged)
     statement = f"INSERT INTO {target} SELECT * FROM {staging}"

@@ -139,15 +139,16 @@ def analyze(spark: SparkSession, table: str) -> tuple[int, int]:
     return int(size.split(" ")[0]), int(rows.split(" ")[0])
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Files, bytes and rows per partition. Reads no column, so only file footers are touched."""
-    per_file = df.select(
-        PARTITION, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
-    )
-    files = per_file.groupBy(PARTITION, "file_path", "file_size").agg(F.count("*").alias("n"))
-    return files.groupBy(PARTITION).agg(
-        F.count("*").alias("n_files"), F.sum("file_size").alias("n_bytes"), F.sum("n").alias("n_rows")
+def partition_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Files and bytes per load partition, from the file listing alone; no file is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
     )
+    label = F.regexp_extract("path", f"/{PARTITION}=([^/]+)/", 1)
+    return files.groupBy(label.alias(PARTITION)).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
 def newest_partition_size(sizes: DataFrame) -> DataFrame:

@@ -133,5 +133,6 @@ def read(spark: SparkSession, source: Source, fields: list[Field], increment: st
     return spark.read.format("jdbc").options(**options(source, extract_query(source, fields, increment), bounds)).load()
 
 
-def write_options(url: str, table: str, batch: int = DEFAULT_FETCH_SIZE, **login: str) -> dict[str, str]:
-    return {"url": url, "dbtable": table, "batchsize": str(batch), **login}
+def write_options(url: str, table: str, writers: int, batch: int = DEFAULT_FETCH_SIZE, **login: str) -> dict[str, str]:
+    """Spark's JDBC options for a write; it merges partitions down to the number of writers itself."""
+    return {"url": url, "dbtable": table, "numPartitions": str(writers), "batchsize": str(batch), **login}

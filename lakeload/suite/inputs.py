@@ -6,6 +6,8 @@ check reads the same rows as the query. Each input grows with the table it is de
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import codes
@@ -228,18 +230,31 @@ def order_changes(dialect: str) -> str:
       FROM orders WHERE o_orderkey % 10 IN (3, 7)"""
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tune(spark)
-    return {name: table(spark, sf_dir, name) for name in TABLES}
+class Tables(dict):
+    """The given tables by name, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = table(self.spark, self.sf_dir, name)
+        return self[name]
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(tune(spark), sf_dir)
+
+
+TABLE_NAME = re.compile(rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b")
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one input's SQL over the given tables."""
-    tune(spark)
-    for name in TABLES:
-        if f" {name}" in text:
-            table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(text)
+    known = tables(spark, sf_dir)
+    used = {name for _, name in TABLE_NAME.findall(text)}
+    quoted = text.replace("{", "{{").replace("}", "}}")
+    return spark.sql(TABLE_NAME.sub(r"\1 {\2}", quoted), **{name: known[name] for name in used})
 
 
 def with_inputs(body: str, **inputs: str) -> str:

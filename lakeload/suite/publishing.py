@@ -112,8 +112,8 @@ def live_table(spark, sf):
 
 
 def partition_sizes(spark, sf):
-    rows, _, _ = _two_loads(spark, sf, "sizes")
-    sizes = publish.partition_sizes(rows)
+    _, live, _ = _two_loads(spark, sf, "sizes")
+    sizes = publish.partition_sizes(spark, live)
     newest = publish.newest_partition_size(sizes).select(F.lit("newest").alias("scope"), "incr_ingest_timestamp", "n_bytes")
     return sizes.select(F.lit("partition").alias("scope"), "incr_ingest_timestamp", "n_bytes").unionByName(newest)
 

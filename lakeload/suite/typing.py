@@ -153,7 +153,8 @@ READERS_SQL = inp.with_inputs(
 
 
 def row_count(spark, sf):
-    return profile.row_counts(inp.tables(spark, sf))
+    t = inp.tables(spark, sf)
+    return profile.row_counts({name: t[name] for name in inp.TABLES})
 
 
 ROW_COUNT_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in inp.TABLES)
