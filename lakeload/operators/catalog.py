@@ -151,6 +151,21 @@ def describe_frame(df: DataFrame, table_name: str) -> DataFrame:
     return describe_lake(shown)
 
 
+def with_measured_precision(catalog: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Give numbers without a declared precision the length of their longest value, and scale 0.
+
+    ``lengths`` has table_name, column_name and max_length, as the profile measures them.
+    """
+    measured = lengths.select("table_name", "column_name", F.col("max_length").alias("_longest"))
+    is_number = types.lake_type(F.col("data_type")) == "DECIMAL"
+    joined = catalog.join(measured, ["table_name", "column_name"], "left")
+    return joined.select(
+        *[c for c in catalog.columns if c not in ("num_precision", "num_scale")],
+        F.when(is_number, F.coalesce("num_precision", "_longest")).otherwise(F.col("num_precision")).alias("num_precision"),
+        F.when(is_number, F.coalesce("num_scale", F.lit(0))).otherwise(F.col("num_scale")).alias("num_scale"),
+    ).select(*catalog.columns)
+
+
 def fields_of(catalog: DataFrame, table_name: str) -> list[Field]:
     """One table's columns in order; bounded by how many columns a table can have."""
     rows = catalog.where(F.col("table_name") == table_name).orderBy("ordinal").collect()

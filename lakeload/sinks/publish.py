@@ -63,14 +63,19 @@ def swap(spark: SparkSession, stage: str, live: str, backup: str) -> None:
     """Stage becomes live and live becomes the backup.
 
     The superseded backup goes only after the new live folder is in place, and a failed
-    rename puts the old live folder back.
+    rename puts the old live folder back. A swap broken off half-way can simply be repeated.
     """
     if not exists(spark, stage):
         raise FileNotFoundError(stage)
-    superseded = None
+    superseded = f"{backup}_superseded"
+    if exists(spark, superseded):
+        # Left by a swap that was broken off: the backup if there is no newer one.
+        if exists(spark, backup):
+            delete(spark, superseded)
+        else:
+            rename(spark, superseded, backup)
     if exists(spark, live):
         if exists(spark, backup):
-            superseded = f"{backup}_superseded"
             rename(spark, backup, superseded)
         rename(spark, live, backup)
     try:
@@ -78,10 +83,10 @@ def swap(spark: SparkSession, stage: str, live: str, backup: str) -> None:
     except Exception:
         if not exists(spark, live) and exists(spark, backup):
             rename(spark, backup, live)
-        if superseded:
+        if exists(spark, superseded):
             rename(spark, superseded, backup)
         raise
-    if superseded:
+    if exists(spark, superseded):
         delete(spark, superseded)
 
 
@@ -90,19 +95,29 @@ def restore(spark: SparkSession, live: str, backup: str) -> None:
     if not exists(spark, backup):
         raise FileNotFoundError(backup)
     rejected = f"{live}_rejected"
-    had_live = exists(spark, live)
-    if had_live:
+    if exists(spark, live):
         rename(spark, live, rejected)
     try:
         rename(spark, backup, live)
     except Exception:
-        if had_live:
+        if not exists(spark, live) and exists(spark, rejected):
             rename(spark, rejected, live)
         raise
-    if had_live:
+    if exists(spark, rejected):
         rename(spark, rejected, backup)
 
 
+def point_live(spark: SparkSession, view: str, version: str, path: str, schema: T.StructType) -> DataFrame:
+    """Publish by pointing: register the stage folder as a version of its own and aim the view at it.
+
+    Nothing is moved, which suits stores where a rename copies, and readers see either the
+    old version or the new one. Aim the view at an earlier version to take a load back.
+    """
+    register_live(spark, version, path, schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
+    return spark.table(view)
+
+
 def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -139,6 +154,11 @@ def analyze(spark: SparkSession, table: str) -> tuple[int, int]:
     return int(size.split(" ")[0]), int(rows.split(" ")[0])
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Forget a clone once it is exported; the files of an external table stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def partition_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes per load partition, from the file listing alone; no file is opened."""
     files = (

@@ -227,7 +227,7 @@ def table_stats(spark, sf):
     orders.write.parquet(path)
     publish.register_plain(spark, name, path)
     _, rows = publish.analyze(spark, name)
-    spark.sql(f"DROP TABLE {name}")
+    publish.drop_table(spark, name)
     return spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(
         F.lit("orders").alias("table_name"), "n_rows", F.lit(rows).cast("bigint").alias("stats_rows")
     )

@@ -91,6 +91,24 @@ def test_describe_frame_leaves_system_columns_out(spark):
     assert [(r.column_name, r.data_type, r.num_precision, r.num_scale) for r in rows] == [("a", "DECIMAL", 9, 3), ("b", "STRING", None, None)]
 
 
+def test_precision_is_measured_where_none_is_declared(spark):
+    rows = spark.createDataFrame(
+        [("t", "a", "NUMBER", None, None), ("t", "b", "NUMBER", 9, 2), ("t", "c", "CLOB", None, None), ("t", "d", "NUMBER", None, 3)],
+        "table_name string, column_name string, data_type string, num_precision int, num_scale int",
+    )
+    lengths = spark.createDataFrame([("t", "a", 7), ("t", "b", 4), ("t", "c", 9), ("u", "d", 5)], "table_name string, column_name string, max_length int")
+    got = {r.column_name: (r.num_precision, r.num_scale) for r in catalog.with_measured_precision(rows, lengths).collect()}
+    assert got == {"a": (7, 0), "b": (9, 2), "c": (None, None), "d": (None, 3)}
+
+
+def test_fields_of_one_table_in_order(spark):
+    rows = spark.createDataFrame(
+        [("t", 2, "b", "INT", None, None, None), ("t", 1, "a", "CV", 5, None, None), ("u", 1, "x", "INT", None, None, None)],
+        "table_name string, ordinal int, column_name string, data_type string, char_length int, num_precision int, num_scale int",
+    )
+    assert catalog.fields_of(rows, "t") == [Field("a", "CV", 5), Field("b", "INT")]
+
+
 def test_dictionary_queries_name_the_owner_and_escape_it():
     for vendor, d in catalog.DICTIONARIES.items():
         query = catalog.dictionary_query(vendor, "o'wner", "t")

@@ -70,6 +70,45 @@ def test_a_failed_swap_leaves_live_and_backup_as_they_were(spark, folder, monkey
         publish.swap(spark, f"{folder}/nothing", live, backup)
 
 
+@pytest.mark.parametrize("fails_at", [1, 2, 3])
+def test_a_swap_broken_off_anywhere_can_be_repeated(spark, folder, monkeypatch, fails_at):
+    """The process dies at the n-th rename, with no chance to put anything back."""
+    stage, live, backup = (f"{folder}/{n}" for n in ("stage", "live", "backup"))
+    for ids in ([1], [2]):
+        schema = publish.write_stage(_stamped(_rows(spark, ids), "full_1"), stage).schema
+        publish.swap(spark, stage, live, backup)
+    publish.write_stage(_stamped(_rows(spark, [3]), "full_1"), stage)
+    real, calls = publish.rename, []
+
+    class Killed(BaseException):
+        pass
+
+    def dying(session, old, new):
+        calls.append(new)
+        if len(calls) == fails_at:
+            raise Killed
+        real(session, old, new)
+
+    monkeypatch.setattr(publish, "rename", dying)
+    with pytest.raises(Killed):
+        publish.swap(spark, stage, live, backup)
+    monkeypatch.setattr(publish, "rename", real)
+    publish.swap(spark, stage, live, backup)
+    assert _ids(publish.read_partitioned(spark, live, schema)) == [3]
+    assert _ids(publish.read_partitioned(spark, backup, schema)) == [2]
+    assert sorted(os.listdir(folder)) == ["backup", "live"]
+
+
+def test_publishing_by_pointing_moves_nothing(spark, folder):
+    view, seen = unique_name("live"), []
+    for n in (1, 2):
+        path = f"{folder}/v{n}"
+        schema = publish.write_stage(_stamped(_rows(spark, [n]), "full_1"), path).schema
+        seen.append(_ids(publish.point_live(spark, view, f"{view}_v{n}", path, schema)))
+    assert seen == [[1], [2]]
+    assert _ids(views.view_over(spark, view, f"{view}_v1")) == [1]
+
+
 def test_merging_a_partition_leaves_the_others_and_can_be_repeated(spark, folder):
     live = f"{folder}/live"
     publish.write_stage(_stamped(_rows(spark, [1, 2]), "full_1"), live)
