@@ -7,23 +7,32 @@ from pyspark.sql import DataFrame, functions as F
 from .merge import upsert
 from .registry import frequency
 
+# Keys and columns of the audit tables of loads and of exports.
 KEYS = ["domain", "table"]
+EXPORT_KEYS = ["domain", "table_name"]
 AUDIT = (
     "directory STRING, pull_time INT, avro_size BIGINT, ingest_timestamp STRING, parquet_time INT, "
     "parquet_size BIGINT, rows BIGINT, lifespan STRING, ack INT, cleaned INT, current_repull INT, "
     "automation_appl_id STRING, domain STRING, `table` STRING"
 )
+EXPORT_AUDIT = (
+    "directory STRING, push_time INT, txt_size BIGINT, export_timestamp STRING, parquet_time INT, "
+    "parquet_size BIGINT, row_count BIGINT, lifespan STRING, ack INT, cleaned INT, current_repull INT, "
+    "automation_appl_id STRING, domain STRING, table_name STRING"
+)
 # State of the row's load.
 DONE, IN_PROGRESS, FAILED = 0, 1, 2
 
 
-def replace_rows(current: DataFrame, changes: DataFrame) -> DataFrame:
-    return upsert(current, changes, KEYS)
+def replace_rows(current: DataFrame, changes: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    return upsert(current, changes, keys)
 
 
-def to_history(history: DataFrame, current: DataFrame, changes: DataFrame, archived_at: str) -> DataFrame:
+def to_history(
+    history: DataFrame, current: DataFrame, changes: DataFrame, archived_at: str, keys: list[str] = KEYS
+) -> DataFrame:
     """History plus the current rows that are about to be replaced, with the time they were archived."""
-    replaced = current.join(changes.select(*KEYS), KEYS, "left_semi")
+    replaced = current.join(changes.select(*keys), keys, "left_semi")
     return history.unionByName(replaced.withColumn("archived_at", F.lit(archived_at)).select(*history.columns))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import names, types
 from .project import SYSTEM_COLUMNS, Field
 
+# Columns of a catalog.
 CATALOG = (
     "vendor STRING, table_name STRING, ordinal INT, column_name STRING, data_type STRING, char_length INT, "
     "num_precision INT, num_scale INT, nullable STRING, is_identity BOOLEAN"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
 
+# Keys and columns of the registries of loads and of exports.
 KEYS = ["source_database_name", "source_table_name", "db_env"]
 REGISTRY = (
     "full_table_name STRING, domain STRING, target_dir STRING, split_by STRING, mappers INT, jdbcurl STRING, "
@@ -13,6 +14,11 @@ REGISTRY = (
     "automation_appl_id STRING, views STRING, automation_group STRING, check_column STRING, source_schema_name STRING, "
     "sql_query STRING, actions STRING, source_database_name STRING, source_table_name STRING, db_env STRING"
 )
+EXPORT_REGISTRY = (
+    "full_table_name STRING, source_dir STRING, mappers INT, jdbcurl STRING, connection_factories STRING, "
+    "db_username STRING, password_file STRING, frequency STRING, fetch_size INT, target_schema STRING, "
+    "target_table STRING, staging_database STRING, source_database_name STRING, source_table_name STRING, db_env STRING"
+)
 # Fixed values.
 DEFAULT_ENV = "dev"
 DOMAIN_SUFFIX = "_i"
@@ -52,9 +58,13 @@ def by_schedule(registry: DataFrame, name: str) -> DataFrame:
 
 
 def request_status(requests: DataFrame, registry: DataFrame) -> DataFrame:
-    """Each request as available, on hold or missing; a request without an env means the default one."""
+    """Each request as available, on hold or missing; a request without an env means the default one.
+
+    The export registry has no holds, so its requests are available or missing.
+    """
     asked = requests.withColumn("db_env", F.coalesce(F.nullif("db_env", F.lit("")), F.lit(DEFAULT_ENV)))
-    known = registry.select(*KEYS, F.col("hold").alias("_hold"), F.lit(True).alias("_known"))
+    hold = F.col("hold") if "hold" in registry.columns else F.lit(0)
+    known = registry.select(*KEYS, hold.alias("_hold"), F.lit(True).alias("_known"))
     status = (
         F.when(F.col("_known").isNull(), F.lit("missing"))
         .when(F.col("_hold") == 0, F.lit("available"))

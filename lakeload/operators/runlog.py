@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .ordered import next_value
 
+# Columns of the run log.
 ACTION = (
     "STRUCT<id: STRING, name: STRING, type: STRING, status: STRING, startTime: STRING, endTime: STRING, "
     "conf: STRING, stats: STRING, externalId: STRING>"
@@ -21,6 +24,33 @@ OK_STATUS = "OK"
 SUCCESS, FAILURE = "0", "2"
 
 
+@dataclass(frozen=True)
+class Direction:
+    """What the steps, settings and counters of a load in one direction are called."""
+
+    prep_step: str
+    move_step: str
+    folder_setting: str
+    bytes_counter: str
+    first_convert_step: str
+    rows: str
+    seconds: str
+    size: str
+    started: str
+
+
+# Names in the log, and of the audit columns they fill.
+INGEST = Direction(
+    "import_prep", "_import", "target_dir", "HDFS_BYTES_WRITTEN", "_avro_parquet",
+    "rows", "pull_time", "avro_size", "ingest_timestamp",
+)
+EXPORT = Direction(
+    "export_prep", "_export", "source_dir", "HDFS_BYTES_READ", "_parquet_text",
+    "row_count", "push_time", "txt_size", "export_timestamp",
+)
+LAST_CONVERT_STEP, MERGE_STEP = "_parquet_live", "_merge_partition"
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Run-log files, one JSON document per line, with a fixed schema (no inference pass)."""
     return spark.read.schema(RUN_LOG).json(path)
@@ -45,20 +75,21 @@ def counter(stats: Column, name: str) -> Column:
     return F.when(found != "", found.cast("bigint"))
 
 
-def tables_of(actions: Column) -> Column:
-    """The tables a run prepares, from the settings of its import_prep steps."""
-    preps = F.filter(actions, lambda a: (a["type"] == "shell") & a["name"].contains("import_prep"))
+def tables_of(actions: Column, direction: Direction = INGEST) -> Column:
+    """The tables a run prepares, from the settings of its preparing steps."""
+    preps = F.filter(actions, lambda a: (a["type"] == "shell") & a["name"].contains(direction.prep_step))
     named = F.transform(preps, lambda a: setting(a["conf"], "source_table_name"))
     return F.array_distinct(F.filter(named, lambda t: t.isNotNull()))
 
 
-def actions_by_table(runs: DataFrame) -> DataFrame:
+def actions_by_table(runs: DataFrame, direction: Direction = INGEST) -> DataFrame:
     """One row per action and table it belongs to: the tables whose cleaned name is in its name.
 
     The tables of a run sit in the run's own row, so the match needs no join and no shuffle.
     """
     with_tables = runs.select(
-        F.col("id").alias("run_id"), F.col("appName").alias("app"), tables_of(F.col("actions")).alias("tables"), "actions"
+        F.col("id").alias("run_id"), F.col("appName").alias("app"),
+        tables_of(F.col("actions"), direction).alias("tables"), "actions",
     )
     one = with_tables.select("run_id", "app", "tables", F.explode("actions").alias("a"))
     mine = F.filter("tables", lambda t: F.col("a.name").contains(F.regexp_replace(t, NOT_IN_NAME, "")))
@@ -75,31 +106,32 @@ def in_out(actions: DataFrame) -> DataFrame:
     )
 
 
-def table_records(actions: DataFrame) -> DataFrame:
+def table_records(actions: DataFrame, direction: Direction = INGEST) -> DataFrame:
     """Statistics of each run and table, by one grouped pass over the actions.
 
     Where a step ran twice the later one counts. Rows are NULL when in and out disagree.
     """
+    d = direction
     start, end = seconds_of(F.col("startTime")), seconds_of(F.col("endTime"))
     order = F.struct(start, F.col("id"))
     plain = F.regexp_replace("table_name", NOT_IN_NAME, "")
     step = F.col("name")
-    is_import = (F.col("type") == "sqoop") & step.contains("_import") & (F.col("status") == OK_STATUS)
-    is_prep = (F.col("type") == "shell") & step.contains("import_prep")
+    is_move = (F.col("type") == "sqoop") & step.contains(d.move_step) & (F.col("status") == OK_STATUS)
+    is_prep = (F.col("type") == "shell") & step.contains(d.prep_step)
     n_in, n_out = counter(F.col("stats"), "MAP_INPUT_RECORDS"), counter(F.col("stats"), "MAP_OUTPUT_RECORDS")
-    begins = (step == F.concat(plain, F.lit("_avro_parquet"))) | step.contains("_merge_partition")
-    finishes = (step == F.concat(plain, F.lit("_parquet_live"))) | step.contains("_merge_partition")
+    begins = (step == F.concat(plain, F.lit(d.first_convert_step))) | step.contains(MERGE_STEP)
+    finishes = (step == F.concat(plain, F.lit(LAST_CONVERT_STEP))) | step.contains(MERGE_STEP)
 
     def latest(value: Column, when: Column) -> Column:
         return F.max_by(value, F.when(when, order))
 
     grouped = actions.groupBy("run_id", "table_name").agg(
-        latest(setting(F.col("conf"), "target_dir"), is_prep).alias("directory"),
+        latest(setting(F.col("conf"), d.folder_setting), is_prep).alias("directory"),
         latest(setting(F.col("conf"), "domain"), is_prep).alias("domain"),
-        latest(F.when(n_in == n_out, n_in), is_import).alias("rows"),
-        latest((end - start).cast("int"), is_import).alias("pull_time"),
-        latest(counter(F.col("stats"), "HDFS_BYTES_WRITTEN"), is_import).alias("avro_size"),
-        latest(F.col("startTime"), is_import).alias("ingest_timestamp"),
+        latest(F.when(n_in == n_out, n_in), is_move).alias(d.rows),
+        latest((end - start).cast("int"), is_move).alias(d.seconds),
+        latest(counter(F.col("stats"), d.bytes_counter), is_move).alias(d.size),
+        latest(F.col("startTime"), is_move).alias(d.started),
         F.max(F.when(begins, start)).alias("_begin"),
         F.max(F.when(finishes, end)).alias("_end"),
         F.bool_and(F.col("status") == OK_STATUS).alias("_ok"),
@@ -112,6 +144,13 @@ def table_records(actions: DataFrame) -> DataFrame:
     ).drop("_begin", "_end", "_ok")
 
 
+def with_parquet_size(records: DataFrame, newest: DataFrame, live: str = "live") -> DataFrame:
+    """Add the bytes of the newest load in each table's live folder, as the file listing gives them."""
+    sizes = newest.select(F.col("directory").alias("_live"), F.col("n_bytes").alias("parquet_size"))
+    joined = records.join(sizes, F.concat_ws("/", "directory", F.lit(live)) == F.col("_live"), "left")
+    return joined.drop("_live")
+
+
 def success_codes(actions: DataFrame) -> DataFrame:
     """``0`` for a run whose actions are all OK, else ``2``."""
     all_ok = F.bool_and(F.col("status") == OK_STATUS)

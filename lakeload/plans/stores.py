@@ -30,27 +30,30 @@ def upsert_store(spark: SparkSession, root: str, changes: DataFrame, keys: list[
     return read_store(spark, root, schema)
 
 
-def record_audit(spark: SparkSession, root: str, changes: DataFrame, archived_at: str) -> DataFrame:
+def record_audit(
+    spark: SparkSession, root: str, changes: DataFrame, archived_at: str,
+    schema: str = audit.AUDIT, keys: list[str] = audit.KEYS,
+) -> DataFrame:
     """Replace the audit rows of the given tables; the replaced rows go to the history first.
 
     The history is partitioned by archive time and the swap comes last, so a run repeated
     after a failure writes the same history partition again and changes nothing else.
     """
-    current = read_store(spark, root, audit.AUDIT)
+    current = read_store(spark, root, schema)
     history = current.withColumn(ARCHIVED, F.lit(archived_at)).limit(0)
-    replaced = audit.to_history(history, current, changes, archived_at)
+    replaced = audit.to_history(history, current, changes, archived_at, keys)
     (
         replaced.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(ARCHIVED)
         .parquet(f"{root}/history")
     )
-    put_rows(spark, root, audit.replace_rows(current, changes))
-    return read_store(spark, root, audit.AUDIT)
+    put_rows(spark, root, audit.replace_rows(current, changes, keys))
+    return read_store(spark, root, schema)
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(f"{audit.AUDIT}, {ARCHIVED} STRING").parquet(f"{root}/history")
+def read_history(spark: SparkSession, root: str, schema: str = audit.AUDIT) -> DataFrame:
+    return spark.read.schema(f"{schema}, {ARCHIVED} STRING").parquet(f"{root}/history")
 
 
 QA_LOG = "log_time TIMESTAMP, table_name STRING, log STRING, status STRING"

@@ -159,19 +159,31 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def partition_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes per load partition, from the file listing alone; no file is opened."""
+def partition_sizes(spark: SparkSession, root: str) -> DataFrame:
+    """Files and bytes per table folder and load partition below ``root``.
+
+    From the file listing alone: no file is opened, and one listing serves every table.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(root)
     )
-    label = F.regexp_extract("path", f"/{PARTITION}=([^/]+)/", 1)
-    return files.groupBy(label.alias(PARTITION)).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+    base = _fs(spark, root).makeQualified(_path(spark, root)).toString()
+    inside = F.substring("path", len(base) + 2, 100_000)
+    partition = f"(?:^|/){PARTITION}=([^/]+)/"
+    listed = files.select(
+        F.regexp_extract(inside, f"^(.*?){partition}", 1).alias("directory"),
+        F.regexp_extract(inside, partition, 1).alias(PARTITION),
+        "length",
+    )
+    return listed.groupBy("directory", PARTITION).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
 def newest_partition_size(sizes: DataFrame) -> DataFrame:
-    """Bytes of the newest load: labels compare by their time, whether a full load or an increment."""
+    """Bytes of each folder's newest load: labels compare by their time, full load or increment."""
     stamp = F.regexp_extract(PARTITION, "([0-9]{14})$", 1)
-    return sizes.agg(F.max_by(PARTITION, stamp).alias(PARTITION), F.max_by("n_bytes", stamp).alias("n_bytes"))
+    return sizes.groupBy("directory").agg(
+        F.max_by(PARTITION, stamp).alias(PARTITION), F.max_by("n_bytes", stamp).alias("n_bytes")
+    )

@@ -34,6 +34,9 @@ def land_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     return landed, seen.get["n"]
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landing rows with the schema of the files themselves."""
-    return spark.read.parquet(path)
+def read_landing(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Landing rows with the schema of the files themselves.
+
+    ``avro`` works where the session has Spark's Avro package.
+    """
+    return spark.read.format(kind).load(path)

@@ -13,9 +13,19 @@ from .inputs import DUCK, SPARK
 _ACTION = "named_struct('id', CAST(action_id AS STRING), 'name', name, 'type', type, 'status', status, 'startTime', start_text, 'endTime', end_text, 'conf', conf, 'stats', stats, 'externalId', CAST(NULL AS STRING))"
 
 
-def _runs(spark, sf):
+def _exports(text: str) -> str:
+    """The run log's actions as those of exports."""
+    for old, new in (
+        ("'import_prep'", "'export_prep'"), ("'import'", "'export'"), ("'avro_parquet'", "'parquet_text'"),
+        ("target_dir", "source_dir"), ("HDFS_BYTES_WRITTEN", "HDFS_BYTES_READ"),
+    ):
+        text = text.replace(old, new)
+    return text
+
+
+def _runs(spark, sf, text=None):
     """Runs with their actions nested. A run is eight actions, so no list grows with the table."""
-    actions = inp.derive(spark, sf, inp.run_actions(SPARK))
+    actions = inp.derive(spark, sf, text or inp.run_actions(SPARK))
     listed = F.array_sort(F.collect_list(F.expr(_ACTION)))
     return actions.groupBy("run_id", "app").agg(listed.alias("actions")).select(
         F.col("run_id").cast("string").alias("id"), F.col("app").alias("appName"), F.lit("SUCCEEDED").alias("status"),
@@ -91,6 +101,18 @@ RECORDS_SQL = _runlog_sql(
 RECORDS_SQL = f"SELECT * EXCLUDE (rows0) FROM ({RECORDS_SQL}) r"
 
 
+def audit_records_export(spark, sf):
+    runs = _runs(spark, sf, _exports(inp.run_actions(SPARK)))
+    return runlog.table_records(runlog.actions_by_table(runs, runlog.EXPORT), runlog.EXPORT)
+
+
+EXPORT_RECORDS_SQL = (
+    _exports(RECORDS_SQL.replace("%import\\_prep", "%export\\_prep").replace("_avro_parquet'", "_parquet_text'"))
+    .replace(" AS rows,", " AS row_count,").replace("pull_time", "push_time")
+    .replace("AS avro_size", "AS txt_size").replace("AS ingest_timestamp", "AS export_timestamp")
+)
+
+
 def audit_success(spark, sf):
     actions = _runs(spark, sf).select(F.col("id").alias("run_id"), F.inline("actions"))
     return runlog.success_codes(actions)
@@ -238,6 +260,7 @@ KEYS = {
     "audit_last_rows": (audit_last_rows, LAST_ROWS_SQL),
     "audit_lifespan": (audit_lifespan, LIFESPAN_SQL),
     "audit_records": (audit_records, RECORDS_SQL),
+    "audit_records_export": (audit_records_export, EXPORT_RECORDS_SQL),
     "audit_success": (audit_success, SUCCESS_SQL),
     "audit_upsert": (audit_upsert, UPSERT_SQL),
     "run_closest": (run_closest, CLOSEST_SQL),

@@ -141,7 +141,7 @@ def test_partition_sizes_and_the_newest(spark, folder):
         os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{live}/incr_ingest_timestamp=20150101000000") for f in fs if f.endswith(".parquet")
     )
     assert sizes["20150101000000"].n_bytes == on_disk
-    assert publish.newest_partition_size(publish.partition_sizes(spark, live)).first()[0] == "full_20160101000000"
+    assert publish.newest_partition_size(publish.partition_sizes(spark, live)).first().incr_ingest_timestamp == "full_20160101000000"
 
 
 def test_full_then_incremental_then_nothing_new(spark, folder):

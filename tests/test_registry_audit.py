@@ -167,3 +167,40 @@ def test_newest_sub_run_is_the_highest_name(spark, folder):
 def test_last_rows_are_zero_where_unknown(spark, missing):
     log = _audit(spark, {"domain": "d", "table": "t", "ingest_timestamp": "2016-01-01", "rows": 4}, {"domain": "d", "table": "t", "ingest_timestamp": "2016-01-02", "rows": None})
     assert audit.last_rows(log).first().rows == 0
+
+
+def test_parquet_size_of_every_table_from_one_listing(spark, folder):
+    for name, n in (("a", 1), ("b", 1000)):
+        for stamp in ("full_20160101000000", "20160102000000"):
+            df = spark.range(n if stamp[0] == "2" else 5).coalesce(1).withColumn(publish.PARTITION, F.lit(stamp))
+            publish.merge_partition(df, f"{folder}/mdm/{name}/live")
+    newest = publish.newest_partition_size(publish.partition_sizes(spark, folder))
+    records = spark.createDataFrame([("a", "mdm/a"), ("b", "mdm/b"), ("c", "mdm/c")], "table_name string, directory string")
+    got = {r.table_name: r.parquet_size for r in runlog.with_parquet_size(records, newest).collect()}
+    assert got["b"] > got["a"] > 0 and got["c"] is None
+    assert {r.incr_ingest_timestamp for r in newest.collect()} == {"20160102000000"}
+
+
+def test_export_audit_and_export_requests(spark, folder):
+    row = spark.createDataFrame([("d", "t", 4)], "domain string, table_name string, row_count long")
+    shape = spark.createDataFrame([], audit.EXPORT_AUDIT).schema
+    full = row.select(*[(F.col(f.name) if f.name in row.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+    for at in ("1", "2"):
+        out = stores.record_audit(spark, folder, full, at, audit.EXPORT_AUDIT, audit.EXPORT_KEYS)
+    assert out.count() == 1 and stores.read_history(spark, folder, audit.EXPORT_AUDIT).count() == 1
+    exports = spark.createDataFrame([("d", "t", "dev")], registry.KEYS)
+    asked = spark.createDataFrame([("d", "t", ""), ("d", "u", "")], registry.KEYS)
+    assert sorted(r.status for r in registry.request_status(asked, exports).collect()) == ["available", "missing"]
+
+
+def test_a_cluster_session_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from lakeload.session import shared_dir
+
+    def session(master, named=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=SimpleNamespace(master=master, applicationId="x"))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+    assert shared_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
