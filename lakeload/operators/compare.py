@@ -242,13 +242,10 @@ def conforms(df: DataFrame, name: str, lake: str) -> Column:
         fits = F.length(text) <= size
     elif kind == "DECIMAL":
         precision, scale = (int(x) for x in lake[8:-1].split(","))
-        number = F.trim(text)
-        whole = F.length(F.ltrim(F.split_part(F.ltrim(number, F.lit("+-")), F.lit("."), F.lit(1)), F.lit("0")))
-        digits = F.length(F.rtrim(F.split_part(number, F.lit("."), F.lit(2)), F.lit("0")))
-        is_number = number.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$")
-        fits = is_number & (whole + digits <= precision) & (digits <= scale)
+        whole = f"0*[0-9]{{0,{precision - scale}}}"
+        fits = text.rlike(rf"^ *[+-]?(?=\.?[0-9]){whole}(\.[0-9]{{0,{scale}}}0*)? *$")
     elif kind in WHOLE:
-        fits = text.rlike(r"^\s*[+-]?[0-9]+\s*$") & text.try_cast(kind.lower()).isNotNull()
+        fits = text.try_cast(kind.lower()).isNotNull()
     elif kind in ("FLOAT", "DOUBLE"):
         fits = text.try_cast("double").isNotNull()
     elif kind in DATES:

@@ -81,26 +81,35 @@ def export_load(lake: DataFrame, target: str, columns: list[str] | None = None)
 
 
 def load_report(landing: DataFrame, staged: DataFrame, fields: list[Field], vendor: str) -> DataFrame:
-    """Did the load arrive, typed and complete? One row per column.
+    """Did the load arrive, typed and complete? One row per column, from one scan of each side.
 
-    ``lost`` counts the texts the lake type could not hold. One scan of each side.
+    ``lost`` counts the texts the lake type could not hold at all, ``unfit`` those it can only
+    hold cut or rounded, as well.
     """
     shown = dict(zip([names.clean(f.name) for f in fields], project.lake_types(fields, vendor)))
-    landed_as = {names.clean(f.name): names.clean_for_landing(f.name) for f in fields}
-
-    def filled(df: DataFrame, columns: dict[str, str], count: str) -> DataFrame:
-        sums = df.agg(*[F.count(F.col(f"`{c}`")).alias(n) for n, c in columns.items()], F.count("*").alias(count))
-        return sums.unpivot([count], list(columns), "column_name", f"{count}_filled")
-
-    source = filled(landing, landed_as, "source_rows")
-    target = filled(staged, {n: n for n in shown}, "target_rows")
-    types_of = F.create_map(*[F.lit(x) for pair in shown.items() for x in pair])
-    joined = compare.count_check(source.join(target, "column_name"))
-    return joined.select(
+    plain = {n: t.replace("TIMESTAMP_DATE", "TIMESTAMP") for n, t in shown.items()}
+    landed = landing.select(
+        *[F.col(f"`{names.clean_for_landing(f.name)}`").alias(names.clean(f.name)) for f in fields]
+    )
+    unfit = {c: F.count_if(~compare.conforms(landed, c, t)) for c, t in plain.items()}
+    source = _per_column(landed, plain, "source_rows", lambda c: {"_source": F.count(c), "unfit": unfit[c]})
+    target = _per_column(staged, plain, "target_rows", lambda c: {"_target": F.count(c)})
+    types_of = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
+    return compare.count_check(source.join(target, "column_name")).select(
         "column_name",
         types_of[F.col("column_name")].alias("lake_type"),
         "source_rows",
         "target_rows",
         "count_ok",
-        (F.col("source_rows_filled") - F.col("target_rows_filled")).alias("lost"),
+        (F.col("_source") - F.col("_target")).alias("lost"),
+        "unfit",
     )
+
+
+def _per_column(df: DataFrame, columns, count: str, measures) -> DataFrame:
+    """One aggregate over the table, turned into a row of measures per column."""
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), *[m.alias(n) for n, m in measures(c).items()], F.count("*").alias(count))
+        for c in columns
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

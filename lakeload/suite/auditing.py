@@ -10,7 +10,8 @@ from ..session import scratch
 from . import inputs as inp
 from .inputs import DUCK, SPARK
 
-_ACTION = "named_struct('id', CAST(action_id AS STRING), 'name', name, 'type', type, 'status', status, 'startTime', start_text, 'endTime', end_text, 'conf', conf, 'stats', stats, 'externalId', CAST(NULL AS STRING))"
+_ACTION = """named_struct('id', CAST(action_id AS STRING), 'name', name, 'type', type, 'status', status,
+  'startTime', start_text, 'endTime', end_text, 'conf', conf, 'stats', stats, 'externalId', CAST(NULL AS STRING))"""
 
 
 def _exports(text: str) -> str:
@@ -180,7 +181,8 @@ def _changes(dialect):
     """New audit rows: of every fourth table, and of tables not audited before."""
     q = "`" if dialect == SPARK else '"'
     base = inp.audit(dialect)
-    shown = f"directory, pull_time, avro_size, '2016-02-01 00:00:00' AS ingest_timestamp, parquet_time, parquet_size, {q}rows{q} + 1 AS {q}rows{q}, lifespan, ack, cleaned, current_repull, automation_appl_id, domain"
+    shown = f"""directory, pull_time, avro_size, '2016-02-01 00:00:00' AS ingest_timestamp, parquet_time, parquet_size,
+      {q}rows{q} + 1 AS {q}rows{q}, lifespan, ack, cleaned, current_repull, automation_appl_id, domain"""
     return f"""SELECT {shown}, {q}table{q} FROM ({base}) a WHERE pull_time % 4 = 0
                UNION ALL SELECT {shown}, {q}table{q} || '_new' AS {q}table{q} FROM ({base}) b WHERE pull_time % 10 = 1"""
 

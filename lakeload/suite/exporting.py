@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import sample
 from ..session import scratch
 from ..sinks import export

@@ -11,8 +11,10 @@ from ..plans import loads
 from ..plans.steps import unique_name
 from ..session import scratch
 from ..sinks import publish, views
+from ..sources import files
 from . import inputs as inp
 from .inputs import DUCK, SPARK
+from .quality import _conforms_sql
 from .typing import LINEITEM_FIELDS, _TYPED_COLUMNS
 
 AT = dt.datetime(2016, 1, 1, 16, 47, 56)
@@ -37,7 +39,7 @@ STAGE_SQL = inp.with_inputs(
 
 def load_report(spark, sf):
     """The flagship: lineitem from text to a typed stage partition, and a verdict on every column."""
-    landing = inp.derive(spark, sf, inp.lineitem_text(SPARK))
+    landing = files.land(inp.derive(spark, sf, inp.lineitem_text(SPARK)), scratch(spark, "report_landing"))
     typed = project.typed(landing, LINEITEM_FIELDS, "db2")
     stamped = project.with_system_columns(typed, INGEST_TIME, project.load_stamp(AT, full=True))
     staged = publish.write_stage(stamped, scratch(spark, "report"))
@@ -48,7 +50,8 @@ _LAKE = dict(zip([f.name for f in LINEITEM_FIELDS], project.lake_types(LINEITEM_
 REPORT_SQL = inp.with_inputs(
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS lake_type, count(*) AS source_rows, count(*) AS target_rows, true AS count_ok, "
-        f"count({c}) - count(x_{c}) AS lost FROM y" for c, t in _LAKE.items()
+        f"count({c}) - count(x_{c}) AS lost, count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({_conforms_sql(c, t)})) AS unfit FROM y"
+        for c, t in _LAKE.items()
     ),
     t=inp.lineitem_text(DUCK),
     y="SELECT *, " + ", ".join(

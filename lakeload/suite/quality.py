@@ -259,7 +259,7 @@ def _conforms_sql(column: str, lake: str) -> str:
         whole = f"length(ltrim(split_part(ltrim({column}, '+-'), '.', 1), '0'))"
         digits = f"length(rtrim(split_part({column}, '.', 2), '0'))"
         number = f"TRY_CAST({column} AS DOUBLE) IS NOT NULL"
-        return f"{number} AND {whole} + {digits} <= {p} AND {digits} <= {s}"
+        return f"{number} AND {whole} <= {int(p) - int(s)} AND {digits} <= {s}"
     spark_types = {"INT": "INTEGER", "TIMESTAMP": "TIMESTAMP"}
     return f"TRY_CAST({column} AS {spark_types.get(kind, kind)}) IS NOT NULL"
 

@@ -76,11 +76,12 @@ def test_sampled_rows_are_looked_up_without_their_dates(spark):
 
 def test_conformance_of_text_values(spark):
     cases = [
-        ("VARCHAR(3)", "abc", True), ("VARCHAR(3)", "abcd", False), ("DECIMAL(4,2)", "-12.34", True), ("DECIMAL(4,2)", "123.4", True),
+        ("VARCHAR(3)", "abc", True), ("VARCHAR(3)", "abcd", False), ("DECIMAL(4,2)", "-12.34", True), ("DECIMAL(4,2)", "123.4", False),
         ("DECIMAL(4,2)", "123.45", False), ("DECIMAL(4,2)", "1.234", False), ("DECIMAL(4,2)", "0.00", True), ("DECIMAL(4,2)", "0012.340", True),
-        ("DECIMAL(4,2)", "x", False), ("INT", "12", True), ("INT", "1.5", False), ("INT", "99999999999", False), ("TINYINT", "-128", True),
+        ("DECIMAL(4,2)", "x", False), ("DECIMAL(4,2)", "", False), ("DECIMAL(4,2)", ".", False), ("DECIMAL(4,2)", ".5", True),
+        ("DECIMAL(4,2)", "5.", True), ("DECIMAL(4,2)", " 007.10 ", True), ("DECIMAL(4,2)", "1-2", False), ("DECIMAL(2,2)", "0.99", True), ("DECIMAL(2,2)", "1.00", False), ("INT", "12", True), ("INT", "1.5", False), ("INT", "99999999999", False), ("TINYINT", "-128", True),
         ("DOUBLE", "1e5", True), ("DOUBLE", "one", False), ("TIMESTAMP", "2016-02-30", False), ("TIMESTAMP", "2016-02-29 10:00:00.5", True),
-        ("BOOLEAN", "true", True), ("BOOLEAN", "2", False), ("STRING", "anything", True), ("INT", None, True),
+        ("BOOLEAN", "true", True), ("BOOLEAN", "2", False), ("STRING", "anything", True), ("INT", None, True), ("INT", " 7 ", True), ("BIGINT", "1e3", False),
     ]
     for lake, value, ok in cases:
         df = spark.createDataFrame([(value,)], "v string")
@@ -88,6 +89,22 @@ def test_conformance_of_text_values(spark):
         assert row.conforms is ok, (lake, value)
 
 
+def test_conformance_means_the_cast_loses_nothing(spark):
+    """Against Python's own decimals, for many values and sizes."""
+    import random
+
+    rng = random.Random(7)
+    texts = [f"{rng.choice(['', '-', '+'])}{rng.choice(['', '0', '00'])}{rng.randrange(10 ** rng.randrange(1, 6))}" for _ in range(150)]
+    texts = [t + rng.choice(["", ".", f".{rng.randrange(10 ** rng.randrange(1, 6))}", ".500", ".0"]) for t in texts]
+    for precision, scale in [(3, 0), (4, 2), (5, 5), (6, 1)]:
+        lake = f"DECIMAL({precision},{scale})"
+        df = spark.createDataFrame([(t,) for t in texts], "v string")
+        for text, got in df.select("v", compare.conforms(df, "v", lake)).collect():
+            value = decimal.Decimal(text)
+            held = value == round(value, scale) and abs(value) < decimal.Decimal(10) ** (precision - scale)
+            assert got is held, (lake, text)
+
+
 def test_a_column_held_in_its_own_type_is_not_read(spark, folder):
     spark.range(5).select("id", F.lit("abc").alias("s"), F.lit(1.5).alias("d")).write.parquet(f"{folder}/t")
     df = compare.conformance(spark.read.parquet(f"{folder}/t"), {"id": "BIGINT", "s": "VARCHAR(2)", "d": "DOUBLE"})

@@ -245,7 +245,7 @@ def test_steps_run_in_order_and_need_their_own_names(spark):
 
 
 def test_load_report_counts_what_was_lost(spark, folder):
-    landing = files.land(spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "id string, v string"), f"{folder}/l")
+    landing = files.land(spark.createDataFrame([("1", "a"), ("x", "b"), (None, "far too long a text")], "id string, v string"), f"{folder}/l")
     staged = publish.write_stage(_stamped(project.typed(landing, FIELDS, "db2"), "full_1"), f"{folder}/s")
-    got = {r.column_name: (r.lake_type, r.source_rows, r.count_ok, r.lost) for r in loads.load_report(landing, staged, FIELDS, "db2").collect()}
-    assert got == {"id": ("BIGINT", 3, True, 1), "v": ("VARCHAR(10)", 3, True, 0)}
+    got = {r.column_name: (r.lake_type, r.source_rows, r.count_ok, r.lost, r.unfit) for r in loads.load_report(landing, staged, FIELDS, "db2").collect()}
+    assert got == {"id": ("BIGINT", 3, True, 1, 1), "v": ("VARCHAR(10)", 3, True, 0, 1)}
