@@ -37,7 +37,8 @@ class Folders:
         return f"{self.root}/backup"
 
 
-def _stamped(landed: DataFrame, fields: list[Field], vendor: str, at: dt.datetime, full: bool) -> DataFrame:
+def stamped(landed: DataFrame, fields: list[Field], vendor: str, at: dt.datetime, full: bool) -> DataFrame:
+    """Landing rows typed for the lake, with the two system columns."""
     typed = project.typed(landed, fields, vendor)
     return project.with_system_columns(typed, at.strftime("%Y-%m-%d %H:%M:%S"), project.load_stamp(at, full))
 
@@ -47,7 +48,7 @@ def full_load(source: DataFrame, fields: list[Field], vendor: str, to: Folders,
     spark = source.sparkSession
     landed, extracted = files.land_counted(source, to.landing)
     compare.require_equal_counts(extracted, landed.count())
-    staged = publish.write_stage(_stamped(landed, fields, vendor, at, full=True), to.stage)
+    staged = publish.write_stage(stamped(landed, fields, vendor, at, full=True), to.stage)
     publish.swap(spark, to.stage, to.live, to.backup)
     return publish.read_partitioned(spark, to.live, staged.schema)
 
@@ -66,7 +67,7 @@ def incremental_load(
     landed = files.land(newer, to.landing)
     if landed.isEmpty():
         return None
-    return publish.merge_partition(_stamped(landed, fields, vendor, at, full=False), to.live)
+    return publish.merge_partition(stamped(landed, fields, vendor, at, full=False), to.live)
 
 
 def export_load(lake: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import project, teams
-from ..plans import loads
+from ..plans import chains, loads
 from ..plans.steps import unique_name
 from ..session import scratch
 from ..sinks import publish, views
@@ -46,6 +46,26 @@ def load_report(spark, sf):
     return loads.load_report(landing, staged, LINEITEM_FIELDS, "db2")
 
 
+ORDER_FIELDS = [
+    project.Field("o_orderkey", "BIGINT"), project.Field("o_custkey", "BIGINT"), project.Field("o_orderstatus", "VARCHAR", 1),
+    project.Field("o_totalprice", "DOUBLE"), project.Field("o_orderdate", "DATETIME"), project.Field("o_orderpriority", "VARCHAR", 15),
+]
+
+
+def ingest_chain(spark, sf):
+    """A full load of the lower half of orders and an increment of the rest, with checks and audit."""
+    orders = inp.tables(spark, sf)["orders"]
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    root = scratch(spark, "chain")
+    table = chains.Table(
+        "mysql", "sales", "orders", ORDER_FIELDS, loads.Folders(f"{root}/orders"), f"{root}/audit",
+        sample_id="o_orderkey", check_column="o_orderkey",
+    )
+    chains.ingest_full(orders.where(F.col("o_orderkey") <= half), table, AT)
+    chains.ingest_increment(orders, table, LATER)
+    return publish.read_partitioned(spark, table.folders.live, spark.read.parquet(table.folders.live).schema)
+
+
 _LAKE = dict(zip([f.name for f in LINEITEM_FIELDS], project.lake_types(LINEITEM_FIELDS, "db2")))
 REPORT_SQL = inp.with_inputs(
     " UNION ALL ".join(
@@ -233,6 +253,11 @@ KEYS = {
         filtered_view,
         "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 30",
     ),
+    "ingest_chain": (
+        ingest_chain,
+        stamped_sql("o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders)") + " UNION ALL "
+        + stamped_sql("o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)", "2016-02-01 08:00:00", "20160201080000"),
+    ),
     "load_report": (load_report, REPORT_SQL),
     "live_table": (live_table, BOTH_LOADS_SQL),
     "partition_sizes": (partition_sizes, None),

@@ -131,3 +131,41 @@ def test_merge_statements():
     assert export.merge_statement("mysql", "T", "S", columns, keys, insert=False).startswith("UPDATE T t JOIN S s")
     with pytest.raises(ValueError):
         export.merge_statement("oracle", "T", "S", columns, [])
+
+
+def test_read_asks_for_the_bounds_and_then_reads_in_ranges():
+    """The reader's calls, recorded; no database is behind them."""
+    from unittest.mock import MagicMock
+
+    spark, asked = MagicMock(), []
+    reader = spark.read.format.return_value
+
+    def remember(**options):
+        asked.append(options)
+        return MagicMock(**{"load.return_value.first.return_value": (5, 905)})
+
+    reader.options.side_effect = remember
+    jdbc.read(spark, ORDERS, [Field("ID", "NUMBER"), Field("V", "CLOB")], "TS > 3")
+    bounds, rows = asked
+    assert bounds["dbtable"] == '(SELECT MIN("ID") AS low, MAX("ID") AS high FROM "SALES"."ORDERS" t WHERE 1=1 AND (TS > 3)) src'
+    assert "numPartitions" not in bounds
+    assert (rows["lowerBound"], rows["upperBound"], rows["numPartitions"], rows["partitionColumn"]) == ("5", "905", "8", "ID")
+    assert rows["dbtable"].endswith("WHERE 1=1 AND (TS > 3)) src")
+
+
+def test_staged_insert_refuses_an_incomplete_staging_table(monkeypatch):
+    """The calls of a staged insert, recorded; no database is behind them."""
+    from unittest.mock import MagicMock
+
+    statements = []
+    monkeypatch.setattr(export, "run_statement", lambda spark, statement, *login: statements.append(statement) or 3)
+    monkeypatch.setattr(export, "Observation", lambda name: MagicMock(get={"n": 3}))
+    for staged, ok in ((3, True), (4, False)):
+        df = MagicMock()
+        df.sparkSession.read.format.return_value.options.return_value.load.return_value.first.return_value = (staged,)
+        if ok:
+            assert export.staged_insert_jdbc(df, "u", "T", "S", 4) == 3
+        else:
+            with pytest.raises(ValueError):
+                export.staged_insert_jdbc(df, "u", "T", "S", 4)
+    assert statements == ["INSERT INTO T SELECT * FROM S"]
