@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .literals import find
+
 # Fixed values.
 FREQUENCY_BITS = {
     "none": "000", "daily": "101", "weekly": "100", "biweekly": "011",
@@ -31,28 +33,24 @@ FEW_READERS = {"oracle": 2}
 VENDORS = ("oracle", "db2", "teradata", "sqlserver", "postgresql", "mysql")
 
 
-def _map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-
 def frequency_bits(name: Column) -> Column:
-    return F.try_element_at(_map({"": "000", **FREQUENCY_BITS}), F.coalesce(name, F.lit("")))
+    return find({"": "000", **FREQUENCY_BITS}, F.coalesce(name, F.lit("")))
 
 
 def frequency_name(bits: Column) -> Column:
-    return F.try_element_at(_map({b: n for n, b in FREQUENCY_BITS.items()}), bits)
+    return find({b: n for n, b in FREQUENCY_BITS.items()}, bits)
 
 
 def frequency_days(name: Column) -> Column:
-    return F.try_element_at(_map(FREQUENCY_DAYS), name)
+    return find(FREQUENCY_DAYS, name)
 
 
 def weight_bits(name: Column) -> Column:
-    return F.try_element_at(_map(WEIGHT_BITS), name)
+    return find(WEIGHT_BITS, name)
 
 
 def weight_name(bits: Column) -> Column:
-    return F.try_element_at(_map({b: n for n, b in WEIGHT_BITS.items()}), bits)
+    return find({b: n for n, b in WEIGHT_BITS.items()}, bits)
 
 
 def load_class(rows: Column) -> Column:
@@ -76,6 +74,6 @@ def vendor_of(jdbc_url: Column) -> Column:
 def readers(rows: Column, vendor: Column, asked: Column, load: Column) -> Column:
     """Parallel readers: few for a small table, what was asked if above one, else by vendor and weight."""
     table = {f"{v} {w}": n for v, sizes in READERS.items() for w, n in sizes.items()}
-    by_table = F.try_element_at(_map(table), F.concat_ws(" ", vendor, F.coalesce(load, load_class(rows))))
-    few = F.coalesce(F.try_element_at(_map(FEW_READERS), vendor), F.lit(1))
+    by_table = find(table, F.concat_ws(" ", vendor, F.coalesce(load, load_class(rows))))
+    few = F.coalesce(find(FEW_READERS, vendor), F.lit(1))
     return F.when(rows <= PARALLEL_ABOVE_ROWS, few).when(asked > 1, asked).otherwise(by_table)

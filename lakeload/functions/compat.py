@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .literals import find
+
 # Vendor, lake type, then the vendor types that match it on the way in.
 INGEST = """
 oracle STRING: blob, clob, nclob, bfile, urowid, rowid, long, raw, long raw, uritype, xmltype
@@ -145,10 +147,8 @@ def allowed(direction: str) -> dict[tuple[str, str], list[str]]:
 
 
 def is_allowed(vendor: Column, lake: Column, vendor_type: Column, direction: str = "ingest") -> Column:
-    entries = []
-    for (v, t), types in allowed(direction).items():
-        entries += [F.lit(f"{v} {t}"), F.array(*[F.lit(x) for x in types])]
-    types = F.try_element_at(F.create_map(*entries), F.concat_ws(" ", vendor, lake))
+    entries = {f"{v} {t}": types for (v, t), types in allowed(direction).items()}
+    types = find(entries, F.concat_ws(" ", vendor, lake))
     return F.coalesce(F.array_contains(types, base_type(vendor_type)), F.lit(False))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .literals import find
+
 # Lake type, then the vendor types stored as it. One list for all vendors.
 LAKE_TYPES = """
 DECIMAL: D, DECIMAL, DEC, NUMBER
@@ -49,31 +51,22 @@ def pairs() -> dict[str, str]:
     return found
 
 
-def _lookup() -> Column:
-    entries = [F.lit(x) for pair in pairs().items() for x in pair]
-    return F.create_map(*entries)
-
-
 def first_word(data_type: Column) -> Column:
     return F.regexp_extract(F.upper(data_type), "([A-Z0-9]+)", 1)
 
 
+def _known(data_type: Column) -> Column:
+    """Lake type of the full vendor name, else of its first word, else NULL."""
+    return F.coalesce(find(pairs(), F.upper(F.trim(data_type))), find(pairs(), first_word(data_type)))
+
+
 def lake_type(data_type: Column) -> Column:
     """Lake type name: the full vendor name if known, else its first word, else STRING."""
-    known = _lookup()
-    return F.coalesce(
-        F.try_element_at(known, F.upper(F.trim(data_type))),
-        F.try_element_at(known, first_word(data_type)),
-        F.lit("STRING"),
-    )
+    return F.coalesce(_known(data_type), F.lit("STRING"))
 
 
 def is_known_type(data_type: Column) -> Column:
-    known = _lookup()
-    return F.coalesce(
-        F.try_element_at(known, F.upper(F.trim(data_type))),
-        F.try_element_at(known, first_word(data_type)),
-    ).isNotNull()
+    return _known(data_type).isNotNull()
 
 
 def string_length(vendor: Column, char_length: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import compat, types
+from ..functions.literals import find
 from .sample import MAX_SAMPLE_ROWS, check_sample
 
 # A count passes above this share of the source, up to all of it.
@@ -259,10 +260,9 @@ def conformance(df: DataFrame, lake: dict[str, str]) -> DataFrame:
     """Rows of the whole table that break their column's lake type, all columns in one scan."""
     bad = df.agg(*[F.count_if(~conforms(df, c, t)).alias(c) for c, t in lake.items()], F.count("*").alias("_rows"))
     long = bad.unpivot(["_rows"], list(lake), "column_name", "n_bad")
-    shown = F.create_map(*[F.lit(x) for pair in lake.items() for x in pair])
     return long.select(
         "column_name",
-        shown[F.col("column_name")].alias("lake_type"),
+        find(lake, F.col("column_name")).alias("lake_type"),
         F.col("_rows").alias("n_rows"),
         "n_bad",
         (F.col("n_bad") == 0).alias("conforms"),

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.literals import array_of, quoted
+
 # Cut points taken from the data; each part between two of them is cut further by width.
 PARTS = 64
 SLICES_PER_SHUFFLE_PARTITION = 4
@@ -44,24 +46,23 @@ def find_cuts(df: DataFrame, order: Column) -> Cuts:
     return Cuts(lows, [max(1, -(-(end - low) // per_part)) for low, end in zip(lows, ends)], per_part)
 
 
-def part_of(order: Column, lows: list[int], base: int = 0) -> Column:
-    """Index of the last lower bound at or below the value, as a balanced tree of comparisons."""
+def part_of(order: str, lows: list[int], base: int = 0) -> str:
+    """SQL for the index of the last lower bound at or below the value: a balanced tree of comparisons."""
     if len(lows) <= 1:
-        return F.lit(base)
+        return str(base)
     mid = len(lows) // 2
-    return F.when(order < lows[mid], part_of(order, lows[:mid], base)).otherwise(part_of(order, lows[mid:], base + mid))
+    below, above = part_of(order, lows[:mid], base), part_of(order, lows[mid:], base + mid)
+    return f"CASE WHEN `{order}` < {quoted(lows[mid])} THEN {below} ELSE {above} END"
 
 
-def with_slice(df: DataFrame, order: Column) -> DataFrame:
-    """Add ``_slice``, a whole number that never falls as ``order`` rises."""
-    cuts = find_cuts(df, order)
-    at = F.col("_part")
-    low = F.get(F.array(*[F.lit(x) for x in cuts.lows]), at)
-    width = F.get(F.array(*[F.lit(x) for x in cuts.widths]), at)
-    inside = F.floor((order - low) / width).cast("bigint")
+def with_slice(df: DataFrame, order: str) -> DataFrame:
+    """Add ``_slice``, a whole number that never falls as the long column ``order`` rises."""
+    cuts = find_cuts(df, F.col(order))
+    low, width = (f"get({array_of(values)}, _part)" for values in (cuts.lows, cuts.widths))
+    inside = f"CAST(floor((`{order}` - {low}) / {width}) AS BIGINT)"
     return (
-        df.withColumn("_part", part_of(order, cuts.lows))
-        .withColumn("_slice", at * cuts.per_part + F.least(inside, F.lit(cuts.per_part - 1)))
+        df.withColumn("_part", F.expr(part_of(order, cuts.lows)))
+        .withColumn("_slice", F.expr(f"_part * {cuts.per_part} + least({inside}, {cuts.per_part - 1})"))
         .drop("_part")
     )
 
@@ -71,7 +72,7 @@ def next_value(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
     ``order[0]`` is a long that is cut into slices; ``order`` as a whole must leave no ties.
     """
-    sliced = with_slice(df, F.col(order[0]))
+    sliced = with_slice(df, order[0])
     position = F.struct(*order)
 
     backwards = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc() for c in order])

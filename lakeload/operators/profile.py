@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import codes
+from ..functions.literals import find
 
 NO_SPLIT = "no-split"
 LENGTH_IF_EMPTY = 38
@@ -63,7 +63,7 @@ def split_quality(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
     spread = F.expr("CAST(CAST(n_groups AS DECIMAL(38,0)) * squares AS DECIMAL(38,0)) - CAST(total * total AS DECIMAL(38,0))")
     return sums.select(
-        codes._map(place)[F.col("column_name")].alias("ordinal"),
+        find(place, F.col("column_name")).alias("ordinal"),
         "column_name",
         "n_groups",
         (F.sqrt(spread.cast("double")) / F.col("n_groups")).alias("group_stddev"),

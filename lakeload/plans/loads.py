@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import names
+from ..functions.literals import find
 from ..operators import compare, incremental, project
 from ..operators.project import Field
 from ..sinks import export, publish
@@ -95,10 +96,9 @@ def load_report(landing: DataFrame, staged: DataFrame, fields: list[Field], vend
     unfit = {c: F.count_if(~compare.conforms(landed, c, t)) for c, t in plain.items()}
     source = _per_column(landed, plain, "source_rows", lambda c: {"_source": F.count(c), "unfit": unfit[c]})
     target = _per_column(staged, plain, "target_rows", lambda c: {"_target": F.count(c)})
-    types_of = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
     return compare.count_check(source.join(target, "column_name")).select(
         "column_name",
-        types_of[F.col("column_name")].alias("lake_type"),
+        find(plain, F.col("column_name")).alias("lake_type"),
         "source_rows",
         "target_rows",
         "count_ok",

@@ -72,15 +72,15 @@ def test_next_value_against_brute_force(spark, seed, hot):
 
 def test_a_hot_key_is_spread_over_many_slices(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("key"), "id")
-    sizes = [r["count"] for r in ordered.with_slice(df, F.col("id")).groupBy("key", "_slice").count().collect()]
+    sizes = [r["count"] for r in ordered.with_slice(df, "id").groupBy("key", "_slice").count().collect()]
     assert len(sizes) >= 48 and max(sizes) < 2_000
-    assert ordered.with_slice(df.limit(0), F.col("id")).count() == 0
+    assert ordered.with_slice(df.limit(0), "id").count() == 0
 
 
 def test_slices_never_fall_as_the_order_rises(spark):
     values = sorted({random.Random(4).randrange(-10**15, 10**15) for _ in range(500)} | {0, 1, 2, 10**15})
     df = spark.createDataFrame([(v,) for v in values], "v long")
-    slices = [r._slice for r in ordered.with_slice(df, F.col("v")).orderBy("v").collect()]
+    slices = [r._slice for r in ordered.with_slice(df, "v").orderBy("v").collect()]
     assert slices == sorted(slices)
 
 
