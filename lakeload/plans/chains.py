@@ -71,7 +71,7 @@ def _passed(stages: DataFrame) -> bool:
 
 def _mark(spark: SparkSession, table: Table, at: dt.datetime) -> None:
     tables = spark.createDataFrame([(table.domain, table.name)], "domain string, `table` string")
-    stores.record_audit(spark, table.audit_root, audit.in_progress(tables, _text(at)), f"{_text(at)} start")
+    stores.record_audit(spark, f"{table.audit_root}/ingest", audit.in_progress(tables, _text(at)), _text(at))
 
 
 def _text(at: dt.datetime) -> str:
@@ -85,7 +85,7 @@ def _record(spark: SparkSession, table: Table, at: dt.datetime, state: int, **kn
         "current_repull": state, "domain": table.domain, "table": table.name, **known,
     }
     changes = spark.createDataFrame([[row.get(f.name) for f in shape.fields]], shape)
-    return stores.record_audit(spark, table.audit_root, changes, f"{_text(at)} end")
+    return stores.record_audit(spark, f"{table.audit_root}/ingest", changes, _text(at))
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
@@ -190,5 +190,7 @@ def export_out(
         "current_repull": audit.DONE if outcome.count_ok else audit.FAILED,
     }
     changes = spark.createDataFrame([[row.get(f.name) for f in shape.fields]], shape)
-    stores.record_audit(spark, table.audit_root, changes, f"{_text(at)} end", audit.EXPORT_AUDIT, audit.EXPORT_KEYS)
+    stores.record_audit(
+        spark, f"{table.audit_root}/export", changes, _text(at), audit.EXPORT_AUDIT, audit.EXPORT_KEYS, "export_timestamp"
+    )
     return checked

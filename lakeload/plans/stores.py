@@ -1,68 +1,81 @@
-"""Small keyed tables kept current on disk: the audit table, the registry, the quality log."""
+"""Small keyed tables kept current on disk: the audit table, the registry, the quality log.
+
+A store has one partition per key. A change replaces the partitions of its own keys and
+nothing else, so loads of different tables can keep their rows at the same time.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import escape_log
 from ..operators import audit, teams
-from ..operators.merge import upsert
 from ..sinks import publish, views
 
-ARCHIVED = "archived_at"
+ARCHIVED_AT, ARCHIVED_ROW = "archived_at", "archived_row"
 
 
-def read_store(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The current rows, or none where nothing has been stored yet."""
-    if publish.exists(spark, f"{root}/current"):
-        return spark.read.schema(schema).parquet(f"{root}/current")
-    return spark.createDataFrame([], schema)
+def read_store(spark: SparkSession, root: str, schema: str, folder: str = "current") -> DataFrame:
+    """The stored rows, or none where nothing has been stored yet."""
+    if not publish.exists(spark, f"{root}/{folder}"):
+        return spark.createDataFrame([], schema)
+    columns = spark.createDataFrame([], schema).columns
+    # Other tables' files may be replaced while these are read; a reader's own keys are not.
+    stored = spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(f"{root}/{folder}")
+    return stored.select(*[f"`{c}`" for c in columns])
 
 
-def put_rows(spark: SparkSession, root: str, rows: DataFrame) -> None:
-    """Write the new state beside the old one, then swap it in; the old one stays as backup."""
-    rows.write.mode("overwrite").parquet(f"{root}/next")
-    publish.swap(spark, f"{root}/next", f"{root}/current", f"{root}/backup")
+def put_rows(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Replace the rows of the given keys; one file per key."""
+    (
+        rows.repartition(*keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys)
+        .parquet(path)
+    )
 
 
 def upsert_store(spark: SparkSession, root: str, changes: DataFrame, keys: list[str], schema: str) -> DataFrame:
-    put_rows(spark, root, upsert(read_store(spark, root, schema), changes, keys))
+    put_rows(changes, f"{root}/current", keys)
     return read_store(spark, root, schema)
 
 
 def record_audit(
     spark: SparkSession, root: str, changes: DataFrame, archived_at: str,
-    schema: str = audit.AUDIT, keys: list[str] = audit.KEYS,
+    schema: str = audit.AUDIT, keys: list[str] = audit.KEYS, time_column: str = "ingest_timestamp",
 ) -> DataFrame:
     """Replace the audit rows of the given tables; the replaced rows go to the history first.
 
-    The history is partitioned by archive time and the swap comes last, so a run repeated
-    after a failure writes the same history partition again and changes nothing else.
+    An archived row is kept under its own time and state. A run that is repeated after a
+    failure so writes the row it archived before again, and never over another one.
     """
     current = read_store(spark, root, schema)
-    history = current.withColumn(ARCHIVED, F.lit(archived_at)).limit(0)
+    history = current.withColumn(ARCHIVED_AT, F.lit(archived_at)).limit(0)
     replaced = audit.to_history(history, current, changes, archived_at, keys)
-    (
-        replaced.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(ARCHIVED)
-        .parquet(f"{root}/history")
-    )
-    put_rows(spark, root, audit.replace_rows(current, changes, keys))
-    return read_store(spark, root, schema)
+    named = replaced.withColumn(ARCHIVED_ROW, F.concat_ws(" ", F.lit("row"), time_column, "current_repull"))
+    put_rows(named, f"{root}/history", [*keys, ARCHIVED_ROW])
+    return upsert_store(spark, root, changes, keys, schema)
 
 
 def read_history(spark: SparkSession, root: str, schema: str = audit.AUDIT) -> DataFrame:
-    return spark.read.schema(f"{schema}, {ARCHIVED} STRING").parquet(f"{root}/history")
+    return read_store(spark, root, f"{schema}, {ARCHIVED_AT} STRING, {ARCHIVED_ROW} STRING", "history")
 
 
 QA_LOG = "log_time TIMESTAMP, table_name STRING, log STRING, status STRING"
 
 
-def append_log(rows: DataFrame, path: str) -> DataFrame:
-    """Append to the quality log: time, table, text, and the stages' verdict as JSON."""
-    rows.select("log_time", "table_name", "log", "status").write.mode("append").parquet(path)
-    return rows.sparkSession.read.schema(QA_LOG).parquet(path)
+def append_log(rows: DataFrame, path: str, batch: str | None = None) -> DataFrame:
+    """Append to the quality log: time, table, text, and the stages' verdict as JSON.
+
+    Each batch has a folder of its own, so loads can log at the same time. A batch that is
+    named is stored once however often it is repeated.
+    """
+    folder = f"{path}/batch={batch or uuid.uuid4().hex}"
+    rows.select("log_time", "table_name", "log", "status").write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(QA_LOG).parquet(path).drop("batch")
 
 
 def log_lines(rows: DataFrame) -> DataFrame:

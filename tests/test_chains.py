@@ -24,7 +24,7 @@ def _table(folder, **more):
 
 
 def _audit(spark, table):
-    return stores.read_store(spark, table.audit_root, audit.AUDIT).first()
+    return stores.read_store(spark, f"{table.audit_root}/ingest", audit.AUDIT).first()
 
 
 def test_full_load_with_checks_views_and_audit(spark, folder):
@@ -36,7 +36,7 @@ def test_full_load_with_checks_views_and_audit(spark, folder):
     row = _audit(spark, table)
     assert (row.rows, row.current_repull, row.lifespan, row.ingest_timestamp) == (40, 0, "daily", "2016-01-01 10:00:00")
     assert row.avro_size > 0 and row.parquet_size > 0
-    history = stores.read_history(spark, table.audit_root).collect()
+    history = stores.read_history(spark, f"{table.audit_root}/ingest").collect()
     assert [r.current_repull for r in history] == [1]
 
 
@@ -69,7 +69,7 @@ def test_export_chain(spark, folder):
     table = Table("db2", "crm", "customer", [], Folders(f"{folder}/customer"), f"{folder}/audit")
     check = chains.export_out(lake, spark.createDataFrame(good, columns), f"{folder}/out", table, AT).first()
     assert (check.source_rows, check.target_rows, check.count_ok) == (2, 2, True)
-    row = stores.read_store(spark, table.audit_root, audit.EXPORT_AUDIT).first()
+    row = stores.read_store(spark, f"{table.audit_root}/export", audit.EXPORT_AUDIT).first()
     assert (row.row_count, row.current_repull, row.table_name) == (2, 0, "customer")
     strict = [good[0], (*good[1][:8], "N", False)]
     with pytest.raises(QualityError):

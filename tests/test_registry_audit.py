@@ -102,6 +102,24 @@ def test_audit_store_keeps_what_it_replaces(spark, folder):
     assert current == {"t": (5, 0), "u": (2, None)}
     history = sorted((r.archived_at, r.rows, r.current_repull) for r in stores.read_history(spark, folder).collect())
     assert history == [("2016-01-02", 1, None), ("2016-01-03", None, 1)]
+    # The same change again archives the row it finds, beside the others.
+    stores.record_audit(spark, folder, done, "2016-01-03")
+    assert stores.read_history(spark, folder).count() == 3
+    assert stores.read_store(spark, folder, audit.AUDIT).count() == 2
+
+
+def test_tables_keep_their_audit_rows_at_the_same_time(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def load(name):
+        for n in (1, 2):
+            stores.record_audit(spark, folder, _audit(spark, {"domain": "d", "table": name, "rows": n, "ingest_timestamp": str(n)}), "now")
+
+    names = [f"t{i}" for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(load, names))
+    assert {(r.table, r.rows) for r in stores.read_store(spark, folder, audit.AUDIT).collect()} == {(n, 2) for n in names}
+    assert {(r.table, r.rows) for r in stores.read_history(spark, folder).collect()} == {(n, 1) for n in names}
 
 
 def test_registry_store(spark, folder):
@@ -117,6 +135,9 @@ def test_quality_log(spark, folder):
     rows = status.select(F.lit("2016-01-01 10:00:00").cast("timestamp").alias("log_time"), "table_name", F.lit(" it's\r\n\"x\", y ").alias("log"), "status")
     for n in (1, 2):
         assert stores.append_log(rows, f"{folder}/log").count() == n
+    for _ in (1, 2):
+        assert stores.append_log(rows, f"{folder}/log", "b1").count() == 3
+    assert stores.append_log(rows, f"{folder}/log", "b1").columns == ["log_time", "table_name", "log", "status"]
     assert stores.log_lines(rows).first().value == "2016-01-01 10:00:00.000000|t|it\\'s \\\"x\\\"\\, y|" + '{"count":false,"ddl":true}'
 
 
@@ -186,7 +207,7 @@ def test_export_audit_and_export_requests(spark, folder):
     shape = spark.createDataFrame([], audit.EXPORT_AUDIT).schema
     full = row.select(*[(F.col(f.name) if f.name in row.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
     for at in ("1", "2"):
-        out = stores.record_audit(spark, folder, full, at, audit.EXPORT_AUDIT, audit.EXPORT_KEYS)
+        out = stores.record_audit(spark, folder, full, at, audit.EXPORT_AUDIT, audit.EXPORT_KEYS, "export_timestamp")
     assert out.count() == 1 and stores.read_history(spark, folder, audit.EXPORT_AUDIT).count() == 1
     exports = spark.createDataFrame([("d", "t", "dev")], registry.KEYS)
     asked = spark.createDataFrame([("d", "t", ""), ("d", "u", "")], registry.KEYS)
