@@ -37,6 +37,6 @@ def export_line(columns: list[str], separator: str = FIELD_SEPARATOR) -> Column:
 
 def escape_log(col: Column) -> Column:
     """Log text for the delimited log: quotes and commas escaped, on one line, trimmed."""
-    stripped = F.regexp_replace(col, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
+    stripped = F.regexp_replace(col, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
     escaped = reduce(lambda c, ch: _replace(c, ch, ESCAPE + ch), LOG_ESCAPED, stripped)
     return _replace(_replace(escaped, "\n", " "), "\r", "")

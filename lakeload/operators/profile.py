@@ -189,3 +189,13 @@ def unique_or_first_integer(columns: DataFrame, unique_columns: DataFrame) -> Da
     return marked.groupBy("table_name").agg(
         F.min_by("column_name", F.struct(F.coalesce("not_unique", F.lit(1)), F.col("ordinal"))).alias("split_column")
     )
+
+
+def by_rules(tables: DataFrame, rules: list[DataFrame]) -> DataFrame:
+    """Each table's split column by the first rule that gives one, for all tables at once."""
+    given = [r.select("table_name", "split_column", F.lit(i).alias("rule")) for i, r in enumerate(rules, start=1)]
+    found = reduce(DataFrame.unionByName, given).where(F.col("split_column").isNotNull())
+    first = found.groupBy("table_name").agg(F.min("rule").alias("rule"), F.min_by("split_column", "rule").alias("split_column"))
+    return tables.select("table_name").join(first, "table_name", "left").select(
+        "table_name", F.coalesce("split_column", F.lit(NO_SPLIT)).alias("split_column"), F.coalesce("rule", F.lit(0)).alias("rule")
+    )

@@ -59,6 +59,12 @@ def cast_to_lake(col: Column, lake: str, vendor: str) -> Column:
     return col.try_cast(lake.lower())
 
 
+def extracted(source: DataFrame, where: str = "") -> DataFrame:
+    """The rows of a custom filter under the names the landing area can hold; the filter reaches the scan."""
+    kept = source.where(where) if where else source
+    return kept.toDF(*[names.clean_for_extract(c) for c in kept.columns])
+
+
 def parse_date(col: Column, pattern: str) -> Column:
     """Timestamp from text by pattern; text after the pattern's end is left out."""
     clipped = F.substring(col, 1, len(pattern))

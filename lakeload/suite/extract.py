@@ -44,13 +44,13 @@ FROM r LEFT JOIN lineitem ON l_orderkey BETWEEN lower AND upper GROUP BY ALL
 
 
 def extract_where(spark, sf):
-    orders = inp.tables(spark, sf)["orders"]
-    picked = orders.where("o_orderstatus = 'F' AND o_totalprice > 100000").select(
-        F.col("o_orderkey").alias("orderkey"),
-        F.col("o_totalprice").alias("1 total price"),
-        F.col("o_orderpriority").alias("_priority"),
+    """Orders under awkward source names, filtered by a custom condition on them."""
+    orders = inp.tables(spark, sf)["orders"].select(
+        F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("1 total price"),
+        F.col("o_orderpriority").alias("_priority"), F.col("o_orderstatus").alias("status"),
     )
-    return files.land(picked.toDF(*[project.names.clean_for_extract(c) for c in picked.columns]), scratch(spark, "extract_where"))
+    picked = project.extracted(orders, "status = 'F' AND `1 total price` > 100000")
+    return files.land(picked, scratch(spark, "extract_where"))
 
 
 def extract_validate(spark, sf):
@@ -302,7 +302,7 @@ KEYS = {
     "extract_validate": (extract_validate, EXTRACT_VALIDATE_SQL),
     "extract_where": (
         extract_where,
-        'SELECT o_orderkey AS orderkey, o_totalprice AS "i_1totalprice", o_orderpriority AS "i_priority" '
+        'SELECT o_orderkey AS orderkey, o_totalprice AS "i_1totalprice", o_orderpriority AS "i_priority", o_orderstatus AS status '
         "FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000",
     ),
     "high_watermark": (high_watermark, HIGH_WATERMARK_SQL),

@@ -306,7 +306,7 @@ def qa_log_escape(spark, sf):
 
 
 LOG_ESCAPE_SQL = r"""
-SELECT doc_id, replace(replace(replace(replace(replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)),
+SELECT doc_id, replace(replace(replace(replace(replace(trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
        '''', '\'''), '"', '\"'), ',', '\,'), chr(10), ' '), chr(13), '') AS log FROM documents"""
 
 

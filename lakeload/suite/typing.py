@@ -321,6 +321,52 @@ SPLIT_INT_SQL = inp.with_inputs(
     t=_td_ints(DUCK), c=inp.catalog(DUCK),
 )
 
+_DB2_INTS = ("INTEGER", "SMALLINT", "BIGINT")
+
+
+def split_rules(spark, sf):
+    """All rules of two vendors' chains: DB2 by cardinality, then integers; MySQL by key, then integers."""
+    rows = inp.derive(spark, sf, inp.catalog(SPARK))
+    keys = inp.derive(spark, sf, _keys(SPARK))
+    db2 = rows.where("vendor = 'db2'")
+    db2_chain = profile.by_rules(
+        db2.where("ordinal = 1"),
+        [
+            profile.most_distinct_column(inp.derive(spark, sf, _cardinalities(SPARK)).where("cardinality > 6")),
+            profile.unique_or_first_integer(db2.where(F.col("data_type").isin(*_DB2_INTS)), keys),
+        ],
+    )
+    mysql = rows.where("vendor = 'mysql'")
+    primary = profile.first_key_column(inp.derive(spark, sf, _indexes(SPARK)).where("table_name LIKE '%1'"), keys)
+    ints = profile.first_of_type(mysql.where("data_type LIKE '%int%'"), ["table_name"])
+    mysql_chain = profile.by_rules(
+        mysql.where("ordinal = 1"), [primary, ints.withColumnRenamed("column_name", "split_column")]
+    )
+    return db2_chain.unionByName(mysql_chain)
+
+
+SPLIT_RULES_SQL = inp.with_inputs(
+    """SELECT table_name, coalesce(a.n, b.n, 'no-split') AS split_column,
+              CAST(CASE WHEN a.n IS NOT NULL THEN 1 WHEN b.n IS NOT NULL THEN 2 ELSE 0 END AS INTEGER) AS rule
+       FROM (SELECT DISTINCT table_name FROM c WHERE vendor = 'db2') t
+       LEFT JOIN (SELECT DISTINCT ON (table_name) table_name, column_name AS n FROM d
+                  WHERE cardinality > 6 AND nullable = 'N' AND upper(data_type) IN ('CHAR','INTEGER','BIGINT','LONGVAR','SMALLINT','ROWID','VARCHAR')
+                  ORDER BY table_name, cardinality DESC, ordinal) a USING (table_name)
+       LEFT JOIN (SELECT DISTINCT ON (c.table_name) c.table_name, c.column_name AS n FROM c
+                  LEFT JOIN k ON k.table_name = c.table_name AND k.column_name = c.column_name
+                  WHERE vendor = 'db2' AND data_type IN ('INTEGER', 'SMALLINT', 'BIGINT')
+                  ORDER BY c.table_name, k.column_name IS NULL, c.ordinal) b USING (table_name)
+       UNION ALL
+       SELECT table_name, coalesce(p.n, i.n, 'no-split'),
+              CAST(CASE WHEN p.n IS NOT NULL THEN 1 WHEN i.n IS NOT NULL THEN 2 ELSE 0 END AS INTEGER)
+       FROM (SELECT DISTINCT table_name FROM c WHERE vendor = 'mysql') t
+       LEFT JOIN (SELECT DISTINCT ON (x.table_name) x.table_name, k.column_name AS n FROM x JOIN k USING (table_name, index_name)
+                  WHERE index_kind = 'P' AND x.table_name LIKE '%1' ORDER BY x.table_name, position) p USING (table_name)
+       LEFT JOIN (SELECT DISTINCT ON (table_name) table_name, column_name AS n FROM c
+                  WHERE vendor = 'mysql' AND data_type LIKE '%int%' ORDER BY table_name, ordinal) i USING (table_name)""",
+    c=inp.catalog(DUCK), d=_cardinalities(DUCK), k=_keys(DUCK), x=_indexes(DUCK),
+)
+
 KEYS = {
     "clean_names": (clean_names, CLEAN_NAMES_SQL),
     "lake_schema": (lake_schema, LAKE_SCHEMA_SQL),
@@ -334,6 +380,7 @@ KEYS = {
     "split_index_rank": (split_index_rank, SPLIT_RANK_SQL),
     "split_primary_key": (split_primary_key, SPLIT_PK_SQL),
     "split_quality": (split_quality, SPLIT_QUALITY_SQL),
+    "split_rules": (split_rules, SPLIT_RULES_SQL),
     "table_stats": (table_stats, "SELECT 'orders' AS table_name, count(*) AS n_rows, count(*) AS stats_rows FROM orders"),
     "typed_projection": (typed_projection, TYPED_SQL),
 }
