@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import names
-from ..operators.project import Field
+from ..operators.catalog import dictionary_query, from_dictionary
+from ..operators.project import Field, lands_as_text
 from ..operators.registry import DEFAULT_FETCH_SIZE, DEFAULT_MAPPERS
 
 # How each vendor quotes a name.
@@ -125,12 +126,26 @@ def bounds_query(source: Source, increment: str = "") -> str:
 
 
 def read(spark: SparkSession, source: Source, fields: list[Field], increment: str = "") -> DataFrame:
-    """Read the table in parallel ranges of its split column; further filters are pushed down."""
+    """Read the table in parallel ranges of its split column; further filters are pushed down.
+
+    Times and large objects arrive as text, as the vendor writes them.
+    """
     bounds = None
     if reader_count(source) > 1:
         one_reader = options(source, bounds_query(source, increment))
         bounds = tuple(spark.read.format("jdbc").options(**one_reader).load().first())
-    return spark.read.format("jdbc").options(**options(source, extract_query(source, fields, increment), bounds)).load()
+    chosen = options(source, extract_query(source, fields, increment), bounds)
+    text = [names.clean_for_extract(name) for name in lands_as_text(fields)]
+    if text:
+        chosen["customSchema"] = ", ".join(f"`{name}` STRING" for name in text)
+    return spark.read.format("jdbc").options(**chosen).load()
+
+
+def read_catalog(spark: SparkSession, source: Source, table: str | None = None) -> DataFrame:
+    """Catalog rows of one owner's tables, or of one table, from the vendor's dictionary."""
+    query = dictionary_query(source.vendor, source.database, table)
+    rows = spark.read.format("jdbc").options(**options(source, query)).load()
+    return from_dictionary(source.vendor, rows)
 
 
 def write_options(url: str, table: str, writers: int, batch: int = DEFAULT_FETCH_SIZE, **login: str) -> dict[str, str]:

@@ -151,6 +151,7 @@ def test_read_asks_for_the_bounds_and_then_reads_in_ranges():
     assert "numPartitions" not in bounds
     assert (rows["lowerBound"], rows["upperBound"], rows["numPartitions"], rows["partitionColumn"]) == ("5", "905", "8", "ID")
     assert rows["dbtable"].endswith("WHERE 1=1 AND (TS > 3)) src")
+    assert rows["customSchema"] == "`V` STRING" and "customSchema" not in bounds
 
 
 def test_staged_insert_refuses_an_incomplete_staging_table(monkeypatch):
@@ -169,3 +170,19 @@ def test_staged_insert_refuses_an_incomplete_staging_table(monkeypatch):
             with pytest.raises(ValueError):
                 export.staged_insert_jdbc(df, "u", "T", "S", 4)
     assert statements == ["INSERT INTO T SELECT * FROM S"]
+
+
+def test_catalog_is_read_from_the_vendor_dictionary(spark):
+    """A reader that hands over dictionary rows; no database is behind it."""
+    from unittest.mock import MagicMock
+
+    given = spark.createDataFrame(
+        [("T", 1, " ID ", "DECIMAL", 9, 2, "N", "Y"), ("T", 2, "V", "VARCHAR", 30, None, "Y", "N")],
+        "TBNAME string, COLNO int, NAME string, COLTYPE string, LENGTH int, SCALE int, NULLS string, IDENTITY string",
+    )
+    session = MagicMock()
+    session.read.format.return_value.options.return_value.load.return_value = given
+    rows = jdbc.read_catalog(session, Source("db2", "u", "CRM", "T"), "T").orderBy("ordinal").collect()
+    assert [(r.column_name, r.num_precision, r.num_scale, r.nullable, r.is_identity) for r in rows] == [("ID", 9, 2, "N", True), ("V", 30, None, "Y", False)]
+    query = session.read.format.return_value.options.call_args.kwargs["dbtable"]
+    assert "FROM SYSIBM.SYSCOLUMNS WHERE TBCREATOR = 'CRM' AND TBNAME = 'T'" in query
