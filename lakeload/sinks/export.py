@@ -127,7 +127,7 @@ def merge_jdbc(
 
 def staged_insert_jdbc(df: DataFrame, url: str, target: str, staging: str, writers: int, **login: str) -> int:
     """Insert by way of a staging table, once it holds exactly the exported rows."""
-    seen = Observation("exported")
+    seen = Observation()
     _stage_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, staging, writers, **login)
     counting = write_options(url, f"(SELECT COUNT(*) AS n FROM {staging}) s", 1, **login)
     staged = int(df.sparkSession.read.format("jdbc").options(**counting).load().first()[0])

@@ -29,7 +29,7 @@ def land(df: DataFrame, path: str) -> DataFrame:
 
 def land_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Land the rows and count what the extract read, both in the one pass over the source."""
-    seen = Observation("extracted")
+    seen = Observation()
     landed = land(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
     return landed, seen.get["n"]
 

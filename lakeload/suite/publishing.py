@@ -141,6 +141,13 @@ def partition_sizes(spark, sf):
     return sizes.select(F.lit("partition").alias("scope"), "incr_ingest_timestamp", "n_bytes").unionByName(newest)
 
 
+def partition_newest(spark, sf):
+    """The newest load of a table, found by its label's time: an increment is newer than an older full load."""
+    _, live, _ = _two_loads(spark, sf, "newest")
+    newest = publish.newest_partition_size(publish.partition_sizes(spark, live))
+    return newest.select("incr_ingest_timestamp", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
 def view_over_live(spark, sf):
     _, live, schema = _two_loads(spark, sf, "view_over")
     table = unique_name("live")
@@ -260,6 +267,10 @@ KEYS = {
     ),
     "load_report": (load_report, REPORT_SQL),
     "live_table": (live_table, BOTH_LOADS_SQL),
+    "partition_newest": (
+        partition_newest,
+        "SELECT max('20160201080000') AS incr_ingest_timestamp, count(*) > 0 AS has_bytes FROM orders WHERE o_orderkey % 2 = 1",
+    ),
     "partition_sizes": (partition_sizes, None),
     "publish_swap": (publish_swap, stamped_sql()),
     "restore_backup": (restore_backup, stamped_sql("o_orderkey % 2 = 0")),

@@ -297,6 +297,17 @@ UNION ALL SELECT target, 'row_match', bool_and(n = 1) FROM f GROUP BY target
 UNION ALL SELECT target, 'conformance', bool_and(length(o_orderstatus) <= 1 AND length(o_orderpriority) <= 15) FROM t GROUP BY target
 """
 
+def qa_status(spark, sf):
+    """The verdicts of an incremental check as the quality log keeps them."""
+    return quality.status_json(qa_incremental(spark, sf))
+
+
+STATUS_SQL = f"""
+SELECT vendor, table_name, '{{' || string_agg('"' || stage || '":' || passed, ',' ORDER BY stage) || '}}' AS status
+FROM ({INCREMENTAL_SQL}) x GROUP BY vendor, table_name
+"""
+
+
 # the log ---------------------------------------------------------------------------------
 
 
@@ -338,6 +349,7 @@ KEYS = {
     "qa_row_match": (qa_row_match, ROW_MATCH_SQL),
     "qa_sampling": (qa_sampling, SAMPLING_SQL),
     "qa_schema_match": (qa_schema_match, _schema_sql(_match_sql("ingest", "fz"))),
+    "qa_status": (qa_status, STATUS_SQL),
     "qa_target_empty": (
         qa_target_empty,
         "SELECT o_orderstatus, count(*) FILTER (WHERE o_orderstatus = 'F') = 0 AS target_empty FROM orders GROUP BY 1",

@@ -204,6 +204,25 @@ UPDATE_SQL = inp.with_inputs(
 )
 
 
+def registry_drop(spark, sf):
+    gone = inp.derive(spark, sf, _new_rows(SPARK)).where("hold = 0")
+    return registry.remove(_current(spark, sf), gone)
+
+
+def registry_placeholder(spark, sf):
+    """Tables asked for but not registered, put on hold until somebody fills them in."""
+    asked = registry.request_status(inp.derive(spark, sf, _requests(SPARK)), _registry(spark, sf))
+    missing = asked.where("status = 'missing'").select(*registry.KEYS).distinct()
+    return registry.placeholders(missing).select(*registry.KEYS, "hold", "load", "mappers", "fetch_size", "domain")
+
+
+PLACEHOLDER_SQL = f"""
+SELECT DISTINCT source_database_name, source_table_name, db_env, CAST(1 AS INTEGER) AS hold, '000001' AS load,
+       CAST(10 AS INTEGER) AS mappers, CAST(50000 AS INTEGER) AS fetch_size, CAST(NULL AS VARCHAR) AS domain
+FROM ({STATUS_SQL}) s WHERE status = 'missing'
+"""
+
+
 def custom_sql_steps(spark, sf):
     """Two SQL steps around one written as a function."""
     t = inp.tables(spark, sf)
@@ -235,11 +254,19 @@ KEYS = {
     ),
     "registry_diff": (registry_diff, DIFF_SQL),
     "registry_domains": (registry_domains, DOMAINS_SQL),
+    "registry_drop": (
+        registry_drop,
+        inp.with_inputs(
+            f"SELECT {_SHOWN_SQL} FROM r WHERE ({_KEY}) NOT IN (SELECT ({_KEY}) FROM n WHERE hold = 0)",
+            r=inp.registry(DUCK), n=_new_rows(DUCK),
+        ),
+    ),
     "registry_dump": (registry_dump, DUMP_SQL),
     "registry_groups": (registry_groups, GROUPS_SQL),
     "registry_insert": (registry_insert, INSERT_SQL),
     "registry_lookup": (registry_lookup, LOOKUP_SQL),
     "registry_normalise": (registry_normalise, NORMALISE_SQL),
+    "registry_placeholder": (registry_placeholder, PLACEHOLDER_SQL),
     "registry_update": (registry_update, UPDATE_SQL),
     "request_status": (request_status, STATUS_SQL),
 }

@@ -69,6 +69,26 @@ LAKE_SCHEMA_SQL = inp.with_inputs(
     c=inp.catalog(DUCK), ty=_TYPE_ROWS, l=lake_catalog_sql(),
 )
 
+def _lengths(dialect):
+    """Measured lengths of two thirds of the catalog's columns."""
+    return f"SELECT table_name, column_name, max(char_length % 30 + 1) AS max_length FROM ({inp.catalog(dialect)}) c WHERE k % 3 > 0 GROUP BY table_name, column_name"
+
+
+def measured_precision(spark, sf):
+    rows = inp.derive(spark, sf, inp.catalog(SPARK)).where("column_name <> 'public'")
+    measured = catalog.with_measured_precision(rows, inp.derive(spark, sf, _lengths(SPARK)))
+    return measured.select("vendor", "table_name", "ordinal", "data_type", "num_precision", "num_scale")
+
+
+MEASURED_SQL = inp.with_inputs(
+    """SELECT vendor, table_name, ordinal, data_type,
+              CASE WHEN number THEN coalesce(num_precision, max_length) ELSE num_precision END AS num_precision,
+              CASE WHEN number THEN coalesce(num_scale, 0) ELSE num_scale END AS num_scale
+       FROM (SELECT c.*, n.max_length, upper(c.data_type) IN ('D', 'DECIMAL', 'DEC', 'NUMBER') AS number
+             FROM c LEFT JOIN n USING (table_name, column_name) WHERE c.column_name <> 'public') x""",
+    c=inp.catalog(DUCK), n=_lengths(DUCK),
+)
+
 LINEITEM_FIELDS = [
     project.Field("l_orderkey", "BIGINT"), project.Field("l_partkey", "BIGINT"), project.Field("l_suppkey", "INTEGER"),
     project.Field("l_linenumber", "SMALLINT"), project.Field("l_quantity", "DECIMAL", None, 12, 2),
@@ -372,6 +392,7 @@ KEYS = {
     "lake_schema": (lake_schema, LAKE_SCHEMA_SQL),
     "load_class": (load_class, inp.with_inputs(f"SELECT k, est_rows, {LOAD_SQL} AS load FROM s", s=_sized_tables(DUCK))),
     "max_lengths": (max_lengths, MAX_LENGTHS_SQL),
+    "measured_precision": (measured_precision, MEASURED_SQL),
     "parse_vendor_date": (parse_vendor_date, PARSE_DATE_SQL),
     "reader_parallelism": (reader_parallelism, READERS_SQL),
     "row_count": (row_count, ROW_COUNT_SQL),

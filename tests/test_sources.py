@@ -160,7 +160,7 @@ def test_staged_insert_refuses_an_incomplete_staging_table(monkeypatch):
 
     statements = []
     monkeypatch.setattr(export, "run_statement", lambda spark, statement, *login: statements.append(statement) or 3)
-    monkeypatch.setattr(export, "Observation", lambda name: MagicMock(get={"n": 3}))
+    monkeypatch.setattr(export, "Observation", lambda: MagicMock(get={"n": 3}))
     for staged, ok in ((3, True), (4, False)):
         df = MagicMock()
         df.sparkSession.read.format.return_value.options.return_value.load.return_value.first.return_value = (staged,)
