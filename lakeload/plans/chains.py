@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import names
 from ..operators import audit, catalog, compare, incremental, project
 from ..operators.project import Field
+from ..session import size_shuffles
 from ..sinks import export, publish, views
 from ..sources import files
 from . import loads, quality, stores
@@ -88,10 +89,6 @@ def _record(spark: SparkSession, table: Table, at: dt.datetime, state: int, **kn
     return stores.record_audit(spark, f"{table.audit_root}/ingest", changes, _text(at))
 
 
-def _bytes(spark: SparkSession, path: str) -> int:
-    return publish._fs(spark, path).getContentSummary(publish._path(spark, path)).getLength()
-
-
 def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
     """Extract, check the count, cast, stage, check, publish, make views, write the audit row.
 
@@ -99,6 +96,7 @@ def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
     not hold a load back; a failed schema does, and leaves the live table as it was.
     """
     spark, to = source.sparkSession, table.folders
+    size_shuffles(source)
     _mark(spark, table, at)
     began = time.monotonic()
     try:
@@ -125,8 +123,8 @@ def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
         raise
     _show(spark, table, staged)
     _record(
-        spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=_bytes(spark, to.landing),
-        parquet_time=int(time.monotonic() - pulled), parquet_size=_bytes(spark, to.live),
+        spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=publish.folder_bytes(spark, to.landing),
+        parquet_time=int(time.monotonic() - pulled), parquet_size=publish.folder_bytes(spark, to.live),
     )
     return verdict
 
@@ -137,6 +135,7 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
     The count read must be the count landed, and the increment's schema the live table's.
     """
     spark, to = source.sparkSession, table.folders
+    size_shuffles(source)
     _mark(spark, table, at)
     began = time.monotonic()
     try:
@@ -155,8 +154,8 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
         _record(spark, table, at, audit.FAILED)
         raise
     _record(
-        spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=_bytes(spark, to.landing),
-        parquet_time=int(time.monotonic() - pulled), parquet_size=_bytes(spark, to.live),
+        spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=publish.folder_bytes(spark, to.landing),
+        parquet_time=int(time.monotonic() - pulled), parquet_size=publish.folder_bytes(spark, to.live),
     )
     return extracted
 
@@ -175,6 +174,7 @@ def export_out(
 ) -> DataFrame:
     """Check target and schema, export, check the count, write the export's audit row; gives the check."""
     spark = lake.sparkSession
+    size_shuffles(lake)
     rows = project.without_system_columns(lake)
     rows = export.export_columns(rows, columns or rows.columns)
     described = catalog.describe_frame(rows, table.name).withColumn("vendor", F.lit(table.vendor))
@@ -185,7 +185,7 @@ def export_out(
     outcome = checked.first()
     shape = spark.createDataFrame([], audit.EXPORT_AUDIT).schema
     row = {
-        "directory": table.folders.live, "push_time": int(time.monotonic() - began), "txt_size": _bytes(spark, target),
+        "directory": table.folders.live, "push_time": int(time.monotonic() - began), "txt_size": publish.folder_bytes(spark, target),
         "export_timestamp": _text(at), "row_count": outcome.target_rows, "domain": table.domain, "table_name": table.name,
         "current_repull": audit.DONE if outcome.count_ok else audit.FAILED,
     }

@@ -44,6 +44,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+BYTES_PER_SHUFFLE_PARTITION = 256 << 20
+MOST_SHUFFLE_PARTITIONS = 30_000
+
+
+def size_shuffles(df: DataFrame, per_partition: int = BYTES_PER_SHUFFLE_PARTITION) -> int:
+    """Raise the number of shuffle partitions to fit what ``df`` reads; it is never lowered.
+
+    Adaptive execution merges partitions that turn out small but does not add any, so the
+    default of 200 would put half a terabyte of a 100 TB table into each. Sources that do not
+    know their size, such as JDBC tables, leave the setting as it is.
+    """
+    conf = df.sparkSession.conf
+    current = int(conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return current
+    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-size // per_partition))
+    if wanted > current:
+        conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` as the session names it.
 
@@ -79,4 +101,7 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; later shuffles are sized for it."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(df)
+    return df

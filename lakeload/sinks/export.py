@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ..functions.text import FIELD_SEPARATOR, export_line
 from ..operators.compare import require_equal_counts
 from ..operators.merge import replace_present, upsert
+from ..session import size_shuffles
 from ..sources.jdbc import quoted, write_options
 
 
@@ -46,6 +47,7 @@ def staged_insert(df: DataFrame, staging: str, target: str) -> DataFrame:
 def upsert_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) -> DataFrame:
     if not keys:
         raise ValueError("an upsert needs its update key")
+    size_shuffles(target)
     upsert(target, df, keys).write.parquet(out)
     return df.sparkSession.read.schema(target.schema).parquet(out)
 
@@ -53,6 +55,7 @@ def upsert_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) ->
 def update_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) -> DataFrame:
     if not keys:
         raise ValueError("an update needs its update key")
+    size_shuffles(target)
     replace_present(target, df, keys).write.parquet(out)
     return df.sparkSession.read.schema(target.schema).parquet(out)
 

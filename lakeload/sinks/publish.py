@@ -20,6 +20,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     if not _fs(spark, old).rename(_path(spark, old), _path(spark, new)):
         raise OSError(f"could not rename {old} to {new}")

@@ -90,3 +90,19 @@ def test_closest_run_is_the_first_at_or_after(spark):
     asked = spark.createDataFrame([("a", 10, at(0)), ("a", 11, at(5)), ("a", 12, at(6)), ("a", 13, at(11)), ("b", 14, at(1)), ("c", 15, at(0))], "app string, request_id long, at timestamp_ntz")
     got = {r.request_id: (r.run_id, r.gap_seconds) for r in runlog.closest_runs(asked, runs).collect()}
     assert got == {10: (1, 300), 11: (1, 0), 12: (2, 240), 13: (None, None), 14: (4, 0), 15: (None, None)}
+
+
+def test_shuffles_grow_with_the_table_and_never_shrink(spark, folder):
+    from lakeload.session import MOST_SHUFFLE_PARTITIONS, size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(50_000).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    try:
+        assert size_shuffles(df) == int(before)
+        grown = size_shuffles(df, 10_000)
+        assert grown > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(grown)
+        assert size_shuffles(df) == grown
+        assert size_shuffles(df, 1) == MOST_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
