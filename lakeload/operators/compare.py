@@ -168,15 +168,20 @@ def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict
     """Every source row against the lake rows of its key.
 
     Gives how many lake rows have the key and which columns differ from the one that does.
-    Both sides meet in one exchange on the key; copies of a key collapse before it.
+    Copies of a key collapse before the lake side is shuffled. The join also takes a hash of
+    the key, so that both its inputs are plain shuffles and not the grouping's own output:
+    adaptive execution can only split a hot source key in that form.
     """
     values = [c for c in lake if c not in keys]
 
     def prepared(df: DataFrame) -> DataFrame:
         return df.select(*keys, F.struct(*[comparable(df, c, lake[c]).alias(c) for c in values]).alias("_row"))
 
+    def hashed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_hash", F.xxhash64(*keys))
+
     lake_rows = prepared(target).groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_row").alias("_found"))
-    joined = prepared(source).join(lake_rows, keys, "left")
+    joined = hashed(prepared(source)).join(hashed(lake_rows), ["_hash", *keys], "left")
     differing = [F.when(~F.col(f"_row.{c}").eqNullSafe(F.col(f"_found.{c}")), F.lit(c)) for c in values]
     return joined.select(
         *keys,
