@@ -173,15 +173,25 @@ def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict
     adaptive execution can only split a hot source key in that form.
     """
     values = [c for c in lake if c not in keys]
+    held, stored = dict(source.dtypes), dict(target.dtypes)
+    match_on = [f"_key_{k}" for k in keys]
 
-    def prepared(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.struct(*[comparable(df, c, lake[c]).alias(c) for c in values]).alias("_row"))
+    def key(df: DataFrame, k: str) -> Column:
+        """One form for both sides: a key that is text on one side and a number on the other meets as a number."""
+        col, kind = comparable(df, k, lake[k]), base_lake_type(lake[k])
+        if kind in NUMERIC and held[k] != stored[k]:
+            col = col.cast("double" if kind in ("FLOAT", "DOUBLE") else "decimal(38,10)")
+        return col.alias(f"_key_{k}")
+
+    def prepared(df: DataFrame, *more: str) -> DataFrame:
+        row = F.struct(*[comparable(df, c, lake[c]).alias(c) for c in values]).alias("_row")
+        return df.select(*more, *[key(df, k) for k in keys], row)
 
     def hashed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", F.xxhash64(*keys))
+        return df.withColumn("_hash", F.xxhash64(*match_on))
 
-    lake_rows = prepared(target).groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_row").alias("_found"))
-    joined = hashed(prepared(source)).join(hashed(lake_rows), ["_hash", *keys], "left")
+    lake_rows = prepared(target).groupBy(*match_on).agg(F.count("*").alias("_n"), F.min("_row").alias("_found"))
+    joined = hashed(prepared(source, *keys)).join(hashed(lake_rows), ["_hash", *match_on], "left")
     differing = [F.when(~F.col(f"_row.{c}").eqNullSafe(F.col(f"_found.{c}")), F.lit(c)) for c in values]
     return joined.select(
         *keys,

@@ -38,7 +38,8 @@ def sampling(
     that scan of the lake table skips the files and row groups without them.
     """
     sampled = settle(sample.sample_rows(source.select(*lake), [id_column], n), "sample")
-    ids = [r[0] for r in sampled.select(id_column).collect()]
+    kind = dict(target.dtypes)[id_column]
+    ids = [r[0] for r in sampled.select(F.col(id_column).try_cast(kind)).collect() if r[0] is not None]
     near = target.where(F.col(id_column).isin(ids))
     found = compare.find_sample(sampled, target, lake, id_column)
     matched = compare.match_rows(sampled, near, [id_column], lake)

@@ -60,6 +60,13 @@ def test_console_text_equals_typed_rows(spark):
     assert got[7] == (0, "", False) and got[8] == (2, "", False)
 
 
+@pytest.mark.parametrize("lake, text, typed", [("BIGINT", "7", "CAST(7 AS BIGINT)"), ("DECIMAL(10,0)", " 7 ", "CAST(7 AS DECIMAL(10,0))"), ("DOUBLE", "7", "7.0D"), ("CHAR(3)", "7", "'7  '"), ("TIMESTAMP", "2016-01-02", "TIMESTAMP_NTZ '2016-01-02 00:00:00'")])
+def test_keys_of_two_types_meet(spark, lake, text, typed):
+    source, target = spark.sql(f"SELECT '{text}' AS k, 'a' AS v"), spark.sql(f"SELECT {typed} AS k, 'a' AS v")
+    row = compare.match_rows(source, target, ["k"], {"k": lake, "v": "STRING"}).first()
+    assert (row.k, row.n_matches, row.row_ok) == (text, 1, True)
+
+
 def test_sampled_rows_are_looked_up_without_their_dates(spark):
     noon = dt.datetime(2016, 1, 2, 12)
     target = _lake_rows(
@@ -145,3 +152,12 @@ def test_nullable_and_column_sets(spark):
     assert all(r.all_nullable for r in compare.nullable_check(short).collect())
     got = {r.vendor: (r.only_source, r.only_target, r.columns_ok) for r in compare.column_set_check(full, short).collect()}
     assert got == {"db2": (1, 0, False), "mysql": (1, 0, True)}
+
+
+def test_sampling_of_ids_the_lake_type_cannot_hold(spark):
+    from lakeload.plans import quality
+
+    source = spark.sql("SELECT explode(array('1', '2', 'x')) AS k, 'a' AS v")
+    target = source.where("k <> 'x'").select(F.col("k").cast("bigint").alias("k"), "v")
+    got = {r.stage: r.passed for r in quality.sampling(source, target, "k", {"k": "BIGINT", "v": "STRING"}).collect()}
+    assert got == {"row_found": False, "row_match": False, "conformance": True}
