@@ -103,7 +103,7 @@ def shingles(hashes: np.ndarray, of_row: np.ndarray, size: int = 5) -> tuple[np.
     at = np.arange(begins[-1]) - begins[:-1][row] + of_row[:-1][row]
     length = np.minimum(n, size)[row]
     out = length.astype(np.uint64)
-    for k in range(size):
+    for k in range(size if len(hashes) else 0):
         there = k < length
-        out = out * np.uint64(_BASE) + np.where(there, hashes[np.minimum(at + k, max(len(hashes) - 1, 0))], 0) if len(hashes) else out
+        out[there] = out[there] * np.uint64(_BASE) + hashes[at[there] + k]
     return mix(out), begins

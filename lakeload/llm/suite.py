@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.session import table
 
-from . import chat, packing, shards, tokens, urls
+from . import chat, decontam, forest, packing, quality, shards, spots, tokens, urls
 
 RULES = [
     urls.Rule("allow", "org/"),
@@ -44,10 +44,55 @@ FROM turns t JOIN kept k ON t.conv_id IS NOT DISTINCT FROM k.conv_id
 """
 
 
+def op2_attention_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return quality.score(documents, quality.train(documents, table(spark, sf, "labels")))
+
+
 def op3_url_trees(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(table(spark, sf, "pages"), RULES)
 
 
+def op5_spot_signatures(spark: SparkSession, sf: str) -> DataFrame:
+    return spots.edits(table(spark, sf, "documents"))
+
+
+def op6_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf, "documents"))
+
+
+# Words and shingles as two queries read them.
+GRAMS_SQL = r"""
+  SELECT {id}, list_transform(range(1, greatest(len(ws) - 3, 2)), lambda i: array_to_string(ws[i:i + 4], ' ')) AS gs, len(ws) AS n_words
+  FROM (
+    SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM {table}
+  ) WHERE len(ws) > 0
+"""
+
+OP6_SQL = f"""
+WITH RECURSIVE grams AS (
+  SELECT DISTINCT doc_id, unnest(gs) AS g FROM ({GRAMS_SQL.format(id="doc_id", table="documents")})
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.node
+), homes AS (
+  SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM homes LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op7_residual_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,14 +101,50 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op9_simhash_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+OP9_SQL = f"""
+WITH docs AS (
+  {GRAMS_SQL.format(id="doc_id", table="documents")}
+), places AS (
+  SELECT doc_id, unnest(gs) AS g, unnest(range(len(gs))) AS pos, len(gs) AS n FROM docs
+), items AS (
+  {GRAMS_SQL.format(id="item_id", table="benchmark")}
+), counts AS (
+  SELECT item_id, g, len AS m, n_words, count(*) AS c
+  FROM (SELECT item_id, unnest(gs) AS g, len(gs) AS len, n_words FROM items) GROUP BY ALL
+), begins AS (
+  SELECT DISTINCT doc_id, item_id, m, n_words, b
+  FROM (SELECT p.doc_id, p.n, c.item_id, c.m, c.n_words, unnest(range(p.pos - c.m + 1, p.pos + 1)) AS b FROM places p JOIN counts c ON p.g = c.g)
+  WHERE b >= 0 AND b + m <= n
+), windows AS (
+  SELECT s.doc_id, s.item_id, s.m, s.n_words, s.b, p.g, count(*) AS w
+  FROM begins s JOIN places p ON p.doc_id = s.doc_id AND p.pos >= s.b AND p.pos < s.b + s.m GROUP BY ALL
+), alike AS (
+  SELECT w.doc_id, w.item_id, w.m, w.n_words, w.b, sum(least(w.w, c.c)) AS shared
+  FROM windows w JOIN counts c ON c.item_id = w.item_id AND c.g = w.g GROUP BY ALL
+), scored AS (
+  SELECT *, shared / (2 * m - shared) AS similarity FROM alike WHERE 100 * shared >= 75 * (2 * m - shared)
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_min(b, (-similarity, b)) AS BIGINT) AS first_word, CAST(any_value(n_words) AS BIGINT) AS n_words
+FROM scored GROUP BY doc_id, item_id
+"""
+
+
 def op10_jump_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.assign(table(spark, sf, "documents"), 8)
 
 
 KEYS = {
     "op1_chat_snapshots": (op1_chat_snapshots, OP1_SQL),
+    "op2_attention_quality": (op2_attention_quality, None),
     "op3_url_trees": (op3_url_trees, None),
+    "op5_spot_signatures": (op5_spot_signatures, None),
+    "op6_lsh_forest": (op6_lsh_forest, OP6_SQL),
     "op7_residual_packing": (op7_residual_packing, None),
     "op8_token_counts": (op8_token_counts, None),
+    "op9_simhash_windows": (op9_simhash_windows, OP9_SQL),
     "op10_jump_shards": (op10_jump_shards, None),
 }
