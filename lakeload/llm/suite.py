@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.session import table
 
-from . import chat, decontam, forest, packing, quality, shards, spots, tokens, urls
+from . import chat, decontam, forest, packing, quality, shards, spots, suffixes, tokens, urls
 
 RULES = [
     urls.Rule("allow", "org/"),
@@ -53,6 +53,38 @@ def op3_url_trees(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(table(spark, sf, "pages"), RULES)
 
 
+def op4_merged_transforms(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf, "documents"))
+
+
+OP4_SQL = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS w FROM (SELECT doc_id, h, unnest(range(n - 99)) AS s FROM docs WHERE n >= 100)
+), repeats AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS o FROM windows) WHERE o > 1
+), reached AS (
+  SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM repeats
+), islands AS (
+  SELECT doc_id, s, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM reached
+), runs AS (
+  SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM islands GROUP BY doc_id, island
+), kept AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM runs
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(r.b), 0), d.n FROM docs d LEFT JOIN runs r USING (doc_id) GROUP BY d.doc_id, d.n
+), gone AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, sha256(unhex(string_agg(substr(h, CAST(2 * f + 1 AS BIGINT), CAST(2 * (t - f) AS BIGINT)), '' ORDER BY f))) AS kept_sha256
+  FROM kept JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM docs d JOIN texts USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op5_spot_signatures(spark: SparkSession, sf: str) -> DataFrame:
     return spots.edits(table(spark, sf, "documents"))
 
@@ -141,6 +173,7 @@ KEYS = {
     "op1_chat_snapshots": (op1_chat_snapshots, OP1_SQL),
     "op2_attention_quality": (op2_attention_quality, None),
     "op3_url_trees": (op3_url_trees, None),
+    "op4_merged_transforms": (op4_merged_transforms, OP4_SQL),
     "op5_spot_signatures": (op5_spot_signatures, None),
     "op6_lsh_forest": (op6_lsh_forest, OP6_SQL),
     "op7_residual_packing": (op7_residual_packing, None),
