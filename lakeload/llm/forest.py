@@ -208,6 +208,14 @@ def link(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     return links.union(settle(confirmed(rest, sets), "links"))
 
 
+def _homes(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and each distinct set's digest with the node its component begins with."""
+    signed = settle(signatures(keyed), "signatures")
+    nodes = settle(classes(signed), "classes")
+    homes = components(link(keyed, nodes))
+    return signed, nodes.join(homes, "node", "left").select("d1", "d2", "node", F.coalesce("home", "node").alias("home"))
+
+
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row for each row of ``documents``: doc_id, n_shingles, component_id, kept.
 
@@ -218,11 +226,20 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     only then. Other columns are not read; an empty table gives an empty one.
     """
     keyed = documents.select(*_key(documents, id_column, text_column))
-    signed = settle(signatures(keyed), "signatures")
-    nodes = settle(classes(signed), "classes")
-    homes = components(link(keyed, nodes))
-    home = nodes.join(homes, "node", "left").select("d1", "d2", F.coalesce("home", "node")["doc_id"].alias("_home"))
+    signed, homes = _homes(keyed)
+    home = homes.select("d1", "d2", F.col("home")["doc_id"].alias("_home"))
     out = signed.select("doc_id", "n_shingles", "d1", "d2").where("n_shingles > 0").join(home, ["d1", "d2"]).select("doc_id", "n_shingles", "_home")
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("_home"))
     known = lambda c: F.when(F.col(c) != NOBODY, F.col(c))
     return out.union(alone).select(known("doc_id").alias("doc_id"), "n_shingles", known("_home").alias("component_id"), (F.col("doc_id") == F.col("_home")).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The first document of each component, with all its columns. Rows that repeat an id and a text count as one document."""
+    keyed = documents.select(*_key(documents, id_column, text_column))
+    signed, homes = _homes(keyed)
+    first = settle(homes.where(F.col("node") == F.col("home")).select("node.*").union(signed.where("n_shingles = 0").select("doc_id", "th")), "kept")
+    row = F.struct(*documents.columns).alias("row")
+    own = documents.select(row, F.coalesce(F.col(id_column).cast("long"), F.lit(NOBODY)).alias("doc_id"), F.xxhash64(F.col(text_column).cast("string")).alias("th"))
+    kept = own.join(first, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    return kept.select("row.*")

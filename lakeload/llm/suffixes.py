@@ -300,17 +300,22 @@ def repeats_by_window(strings: DataFrame) -> DataFrame:
 
 
 def in_order(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """ord, doc_id, text. ``ord`` is the id where ids are unique; else rows are numbered by id (null last), text hash and place."""
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    """ord, doc_id, text and ``row``, the document as it came.
+
+    ``ord`` is the id where ids are unique; else rows are numbered by id (null last), text hash and place.
+    """
+    rows = documents.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.struct(*documents.columns).alias("row")
+    )
     twice = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id IS NULL OR n > 1")
     if twice.isEmpty():
-        return rows.select(F.col("doc_id").alias("ord"), "doc_id", "text")
+        return rows.select(F.col("doc_id").alias("ord"), "doc_id", "text", "row")
     rows = settle(rows.withColumn("_at", F.monotonically_increasing_id()), "rows")
     blocks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("doc_id").asc_nulls_last(), "_h", "_at"]
     narrow = rows.select("doc_id", F.xxhash64("text").alias("_h"), "_at").repartitionByRange(blocks, *keys).sortWithinPartitions(*keys)
     numbers = settle(narrow.select("_at", F.monotonically_increasing_id().alias("ord")), "order")
-    return settle(rows.join(numbers, "_at").select("ord", "doc_id", "text"), "ordered")
+    return settle(rows.join(numbers, "_at").select("ord", "doc_id", "text", "row"), "ordered")
 
 
 def repeats(documents: DataFrame) -> DataFrame:
@@ -389,3 +394,20 @@ def deduplicated(documents: DataFrame, id_column: str = "doc_id", text_column: s
     kept = with_kept(in_order(documents, id_column, text_column))
     size = F.octet_length("kept").cast("long")
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - size).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def with_texts_cut(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``documents`` with the repeated bytes cut out of their texts, all columns and rows kept.
+
+    A cut may split a character; what is left of it goes too.
+    """
+    rows = in_order(documents, id_column, text_column)
+
+    def read(batches):
+        for batch in batches:
+            texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["ord", "_text"])
+
+    texts = with_kept(rows).select("ord", "kept").mapInArrow(read, "ord long, _text string")
+    both = texts.join(rows.select("ord", "row"), "ord")
+    return both.select(*[F.col("_text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in documents.columns])
