@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from . import types
 from .literals import find
 
 # Vendor, lake type, then the vendor types that match it on the way in.
@@ -140,16 +141,32 @@ def allowed(direction: str) -> dict[tuple[str, str], list[str]]:
     text = {"ingest": INGEST, "export": EXPORT}[direction]
     found: dict[tuple[str, str], list[str]] = {}
     for line in text.strip().splitlines():
-        key, types = line.split(": ")
+        key, listed = line.split(": ")
         vendor, lake = key.split(" ")
-        found.setdefault((vendor, lake), []).extend(types.split(", "))
+        found.setdefault((vendor, lake), []).extend(listed.split(", "))
     return found
 
 
+# Lake types that a sized text may also become, and the day's own type.
+TEXT_WITHOUT_BOUND, SAME = "STRING", {"TIMESTAMP_DATE": "TIMESTAMP"}
+
+
 def is_allowed(vendor: Column, lake: Column, vendor_type: Column, direction: str = "ingest") -> Column:
-    entries = {f"{v} {t}": types for (v, t), types in allowed(direction).items()}
-    types = find(entries, F.concat_ws(" ", vendor, lake))
-    return F.coalesce(F.array_contains(types, base_type(vendor_type)), F.lit(False))
+    """Whether the vendor's type may stand beside the lake's.
+
+    On the way in every type may become what the type map makes of it, and text of any kind
+    STRING, besides what is listed.
+    """
+    entries = {f"{v} {t}": listed for (v, t), listed in allowed(direction).items()}
+    listed = F.coalesce(F.array_contains(find(entries, F.concat_ws(" ", vendor, lake)), base_type(vendor_type)), F.lit(False))
+    if direction != "ingest":
+        return listed
+    mapped = types.known_type(vendor_type)
+    for one, other in SAME.items():
+        mapped = F.when(mapped == one, other).otherwise(mapped)
+    text = (lake == TEXT_WITHOUT_BOUND) & mapped.isin("VARCHAR", "CHAR")
+    known = vendor.isin(*sorted({v for v, _ in allowed(direction)}))
+    return listed | F.coalesce(known & ((mapped == lake) | text), F.lit(False))
 
 
 def base_type(vendor_type: Column) -> Column:

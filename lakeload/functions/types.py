@@ -31,10 +31,11 @@ STRING: YEAR, LONGTEXT, LONGBLOB, MEDIUMTEXT, MEDIUMBLOB, TINYTEXT, TINYBLOB
 STRING: OID, ARRAY, XID, MACADDR, UUID, REGPROC, PG_NODE_TREE, PG_LSN, ANYARRAY, NAME, BOX, BIGSERIAL, BYTEA, CHARACTER, CIDR, CIRCLE, JSON, JSONB
 STRING: LINE, LSEG, POINT, POLYGON, SMALLSERIAL, SERIAL, TSQUERY, TSVECTOR, TXID_SNAPSHOT
 """
-# Decimal size where the vendor gives no precision, and string length where it gives -1.
-DEFAULT_PRECISION, DEFAULT_SCALE = 38, 0
-UNBOUNDED_LENGTH = 1000
-UNBOUNDED_VENDORS = ("sqlserver", "postgresql")
+# Decimal size where the vendor gives no precision; the scale keeps fractions.
+MOST_PRECISION = 38
+DEFAULT_PRECISION, DEFAULT_SCALE = MOST_PRECISION, 18
+# Length by which dictionaries mark text without a bound; it becomes STRING.
+UNBOUNDED = -1
 # Pattern of a DATE column's text, by vendor.
 DATE_PATTERNS = {"oracle": "yyyy-MM-dd HH:mm:ss"}
 DEFAULT_DATE_PATTERN = "yyyy-MM-dd"
@@ -55,36 +56,40 @@ def first_word(data_type: Column) -> Column:
     return F.regexp_extract(F.upper(data_type), "([A-Z0-9]+)", 1)
 
 
-def _known(data_type: Column) -> Column:
+def known_type(data_type: Column) -> Column:
     """Lake type of the full vendor name, else of its first word, else NULL."""
     return F.coalesce(find(pairs(), F.upper(F.trim(data_type))), find(pairs(), first_word(data_type)))
 
 
 def lake_type(data_type: Column) -> Column:
     """Lake type name: the full vendor name if known, else its first word, else STRING."""
-    return F.coalesce(_known(data_type), F.lit("STRING"))
+    return F.coalesce(known_type(data_type), F.lit("STRING"))
 
 
 def is_known_type(data_type: Column) -> Column:
-    return _known(data_type).isNotNull()
+    return known_type(data_type).isNotNull()
 
 
-def string_length(vendor: Column, char_length: Column) -> Column:
-    unbounded = vendor.isin(*UNBOUNDED_VENDORS) & (char_length == -1)
-    return F.when(unbounded, F.lit(UNBOUNDED_LENGTH)).otherwise(char_length)
+def string_length(char_length: Column) -> Column:
+    """Declared length; NULL where text has no bound."""
+    return F.when(char_length != UNBOUNDED, char_length)
 
 
-def declared(lake: Column, vendor: Column, char_length: Column, precision: Column, scale: Column) -> Column:
+def decimal_size(precision: int | None, scale: int | None) -> tuple[int, int]:
+    """Precision and scale of the lake's decimal. A negative scale, zeros before the point, widens the precision."""
+    if precision is None:
+        return DEFAULT_PRECISION, DEFAULT_SCALE
+    scale = scale or 0
+    return (precision, scale) if scale >= 0 else (min(MOST_PRECISION, precision - scale), 0)
+
+
+def declared(lake: Column, char_length: Column, precision: Column, scale: Column) -> Column:
     """The type as a CREATE TABLE column list writes it, such as ``DECIMAL(12,2)``."""
-    size = string_length(vendor, char_length)
-    sized = F.concat(lake, F.lit("("), size.cast("string"), F.lit(")"))
-    decimal = F.concat(
-        F.lit("DECIMAL("),
-        F.coalesce(precision, F.lit(DEFAULT_PRECISION)).cast("string"),
-        F.lit(","),
-        F.when(precision.isNull(), F.lit(DEFAULT_SCALE)).otherwise(F.coalesce(scale, F.lit(0))).cast("string"),
-        F.lit(")"),
-    )
+    sized = F.concat(lake, F.lit("("), string_length(char_length).cast("string"), F.lit(")"))
+    held = F.coalesce(scale, F.lit(0))
+    whole = F.when(precision.isNull(), F.lit(DEFAULT_PRECISION)).otherwise(F.least(F.lit(MOST_PRECISION), precision - F.least(held, F.lit(0))))
+    part = F.when(precision.isNull(), F.lit(DEFAULT_SCALE)).otherwise(F.greatest(held, F.lit(0)))
+    decimal = F.concat(F.lit("DECIMAL("), whole.cast("string"), F.lit(","), part.cast("string"), F.lit(")"))
     return (
         F.when(lake == "DECIMAL", decimal)
         .when(lake.isin("VARCHAR", "CHAR"), F.coalesce(sized, F.lit("STRING")))

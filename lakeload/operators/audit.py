@@ -60,6 +60,8 @@ def last_rows(audit_log: DataFrame) -> DataFrame:
 def with_lifespan(audit: DataFrame, registry: DataFrame) -> DataFrame:
     """Audit rows with the lifespan their registry row's frequency gives; others stay as they are."""
     named = registry.select("domain", F.col("source_table_name").alias("table"), frequency().alias("_lifespan"))
+    # Two registry rows may name one table; an audit row stays one row.
+    named = named.groupBy(*KEYS).agg(F.max("_lifespan").alias("_lifespan"))
     return (
         audit.join(named, KEYS, "left")
         .withColumn("lifespan", F.coalesce("_lifespan", "lifespan"))

@@ -105,7 +105,7 @@ def lake_catalog(catalog: DataFrame) -> DataFrame:
     """The lake's side of the catalog: clean lower-case names and lake types with their sizes."""
     lake = types.lake_type(F.col("data_type"))
     shown = types.declared(
-        lake, F.col("vendor"), F.col("char_length"), F.col("num_precision"), F.col("num_scale")
+        lake, F.col("char_length"), F.col("num_precision"), F.col("num_scale")
     )
     described = catalog.select(
         "vendor",
@@ -144,10 +144,22 @@ def describe_lake(described: DataFrame) -> DataFrame:
     return split_sizes(kept).drop("col_type")
 
 
-def describe_frame(df: DataFrame, table_name: str) -> DataFrame:
-    """The catalog rows of one lake table, from its schema."""
-    spark = df.sparkSession
-    rows = [(table_name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, start=1)]
+# Where Spark keeps the declared type of a CHAR or VARCHAR column.
+DECLARED_TEXT = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def describe_frame(df: DataFrame, table_name: str, declared: dict[str, str] | None = None) -> DataFrame:
+    """The catalog rows of one lake table, in lake types.
+
+    ``declared`` gives lake types by column where they are known; files keep neither CHAR nor VARCHAR.
+    """
+    spark, known = df.sparkSession, declared or {}
+
+    def lake(f) -> str:
+        shown = f.metadata.get(DECLARED_TEXT) or f.dataType.simpleString()
+        return known.get(f.name) or ("timestamp" if shown.startswith("timestamp") else shown)
+
+    rows = [(table_name, i, f.name, lake(f)) for i, f in enumerate(df.schema.fields, start=1)]
     shown = spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, col_type string")
     return describe_lake(shown)
 

@@ -42,7 +42,8 @@ def two_counts(source: DataFrame, target: DataFrame, by: list[str]) -> DataFrame
     both = source.select(*by, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
         target.select(*by, F.lit(0).alias("_s"), F.lit(1).alias("_t"))
     )
-    return both.groupBy(*by).agg(F.sum("_s").alias("source_rows"), F.sum("_t").alias("target_rows"))
+    rows = lambda side: F.coalesce(F.sum(side), F.lit(0))  # noqa: E731  sums over nothing are NULL
+    return both.groupBy(*by).agg(rows("_s").alias("source_rows"), rows("_t").alias("target_rows"))
 
 
 def require_equal_counts(source_rows: int, landed_rows: int) -> None:
@@ -68,7 +69,7 @@ def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest")
         "ordinal",
         F.col("column_name").alias("source_column"),
         F.col("data_type").alias("source_type"),
-        size.otherwise(types.string_length(F.col("vendor"), F.col("char_length"))).alias("s_length"),
+        size.otherwise(types.string_length(F.col("char_length"))).alias("s_length"),
         F.col("num_precision").alias("s_precision"),
         F.col("num_scale").alias("s_scale"),
     )
@@ -149,12 +150,16 @@ def comparable(df: DataFrame, name: str, lake: str) -> Column:
         if kind in DATES and held.startswith(("timestamp", "date")):
             col = col.cast("timestamp_ntz")
             return F.when(col.cast("date") != F.lit(EMPTY_DATE).cast("date"), col)
+        if kind == "DECIMAL":
+            return col.try_cast(lake.lower())
         if kind in NUMERIC:
             return col
     text = F.trim(col.cast("string"))
     text = F.when(text != NULL_TEXT, text)
     if kind in ("FLOAT", "DOUBLE"):
         return text.try_cast("double")
+    if kind == "DECIMAL":
+        return text.try_cast(lake.lower())
     if kind in NUMERIC:
         return text.try_cast("decimal(38,10)")
     if kind in DATES:
@@ -164,6 +169,18 @@ def comparable(df: DataFrame, name: str, lake: str) -> Column:
     return text
 
 
+def unread(df: DataFrame, name: str, lake: str) -> Column:
+    """Text of a value that is there but that its lake type cannot hold; such values differ unless their texts agree."""
+    text = F.trim(F.col(name).cast("string"))
+    kind = base_lake_type(lake)
+    if kind not in NUMERIC and kind not in DATES:
+        return F.lit(None).cast("string")
+    there = (text != NULL_TEXT) & (text != "")
+    if kind in DATES:
+        there = there & ~text.startswith(EMPTY_DATE)
+    return F.when(comparable(df, name, lake).isNull() & there, text)
+
+
 def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict[str, str]) -> DataFrame:
     """Every source row against the lake rows of its key.
 
@@ -180,11 +197,12 @@ def match_rows(source: DataFrame, target: DataFrame, keys: list[str], lake: dict
         """One form for both sides: a key that is text on one side and a number on the other meets as a number."""
         col, kind = comparable(df, k, lake[k]), base_lake_type(lake[k])
         if kind in NUMERIC and held[k] != stored[k]:
-            col = col.cast("double" if kind in ("FLOAT", "DOUBLE") else "decimal(38,10)")
+            col = col.try_cast("double" if kind in ("FLOAT", "DOUBLE") else lake[k].lower() if kind == "DECIMAL" else "decimal(38,10)")
         return col.alias(f"_key_{k}")
 
     def prepared(df: DataFrame, *more: str) -> DataFrame:
-        row = F.struct(*[comparable(df, c, lake[c]).alias(c) for c in values]).alias("_row")
+        value = lambda c: F.struct(comparable(df, c, lake[c]).alias("held"), unread(df, c, lake[c]).alias("unread"))
+        row = F.struct(*[value(c).alias(c) for c in values]).alias("_row")
         return df.select(*more, *[key(df, k) for k in keys], row)
 
     def hashed(df: DataFrame) -> DataFrame:
@@ -204,20 +222,23 @@ def find_sample(sample: DataFrame, target: DataFrame, lake: dict[str, str], id_c
     """Lake rows that equal each sampled row on all columns but dates and empty text.
 
     The sample is counted before it is broadcast, and a large one is refused; the lake
-    table is scanned once without a shuffle.
+    table is scanned once without a shuffle. The id is the join's key, so a table of text
+    columns is looked up by hash too; a row without an id is found nowhere.
     """
     check_sample(sample.limit(MAX_SAMPLE_ROWS + 1).count())
-    looked_up = [c for c, t in lake.items() if base_lake_type(t) not in DATES]
+    looked_up = [c for c, t in lake.items() if base_lake_type(t) not in DATES or c == id_column]
     wanted = sample.select(
         F.col(id_column).alias("_id"), *[comparable(sample, c, lake[c]).alias(f"_s_{c}") for c in looked_up]
     )
     big = target.select(*[comparable(target, c, lake[c]).alias(f"_t_{c}") for c in looked_up])
 
     def same(c: str) -> Column:
+        if c == id_column:
+            return F.col(f"_t_{c}") == F.col(f"_s_{c}")
         equal = F.col(f"_t_{c}").eqNullSafe(F.col(f"_s_{c}"))
         return equal | (F.col(f"_s_{c}") == "") if base_lake_type(lake[c]) in TEXT else equal
 
-    condition = reduce(lambda a, b: a & b, [same(c) for c in looked_up])
+    condition = reduce(lambda a, b: a & b, [same(c) for c in dict.fromkeys([id_column, *looked_up])])
     hits = big.join(F.broadcast(wanted), condition).groupBy("_id").agg(F.count("*").alias("n_matches"))
     return (
         sample.select(F.col(id_column))

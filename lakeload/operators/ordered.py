@@ -70,23 +70,28 @@ def with_slice(df: DataFrame, order: str) -> DataFrame:
 def next_value(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Add ``next_<value>``: the first non-null value after the row, by ``order`` within ``keys``.
 
-    ``order[0]`` is a long that is cut into slices; ``order`` as a whole must leave no ties.
+    ``order[0]`` is a long that is cut into slices; ``order`` as a whole must leave no ties. A
+    NULL in it comes after all values, and rows with a NULL key are a key of their own.
     """
     sliced = with_slice(df, order[0])
-    position = F.struct(*order)
+    position = F.struct(*[part for c in order for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))])
 
-    backwards = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc() for c in order])
+    backwards = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).desc_nulls_first() for c in order])
     inside = F.last(value, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1))
 
     heads = sliced.groupBy(*keys, "_slice").agg(
         F.min_by(F.col(value), F.when(F.col(value).isNotNull(), position)).alias("_head")
     )
     later = Window.partitionBy(*keys).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.select(*keys, "_slice", F.last("_head", ignorenulls=True).over(later).alias("_later"))
+    held = [F.col(k).alias(f"_of_{k}") for k in keys]
+    heads = heads.select(*held, F.col("_slice").alias("_of_slice"), F.last("_head", ignorenulls=True).over(later).alias("_later"))
 
+    same = F.col("_slice") == F.col("_of_slice")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     return (
         sliced.withColumn("_inside", inside)
-        .join(heads, [*keys, "_slice"])
+        .join(heads, same)
         .withColumn(f"next_{value}", F.coalesce("_inside", "_later"))
-        .drop("_slice", "_inside", "_later")
+        .drop("_slice", "_inside", "_later", "_of_slice", *[f"_of_{k}" for k in keys])
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.literals import find
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 NO_SPLIT = "no-split"
 LENGTH_IF_EMPTY = 38
 
@@ -45,16 +46,36 @@ def split_bounds(df: DataFrame, column: str, n: int) -> DataFrame:
     )
 
 
+def splittable(df: DataFrame) -> list[str]:
+    """The columns a range reader can take: whole numbers, decimals, dates and times."""
+    return [c for c, kind in df.dtypes if kind in WHOLE or kind.startswith(("decimal", "date", "timestamp"))]
+
+
+def _value(name: str, kind: str, plain: bool) -> Column:
+    """A column's value in the one type all profiled columns share: a long where that holds them all, else text."""
+    col = F.col(name)
+    if not plain:
+        return col.cast("string")
+    if kind in WHOLE:
+        return col.cast("bigint")
+    return F.unix_micros(col.cast("timestamp"))
+
+
 def split_quality(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: how many groups its values form and how evenly rows spread over them.
 
+    Whole numbers and times are counted as longs, which is what is shuffled; one decimal or
+    text column among ``columns`` makes all of them text.
+
     All columns are profiled by one job: unpivot, count per (column, value), then one row
     per column from exact whole-number sums. NULL is a group of size 0.
     """
     columns = columns or df.columns
     place = {c: i for i, c in enumerate(columns, start=1)}
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], columns, "column_name", "value")
+    kinds = dict(df.dtypes)
+    plain = all(kinds[c] in WHOLE or kinds[c].startswith(("date", "timestamp")) for c in columns)
+    values = df.select(*[_value(c, kinds[c], plain).alias(c) for c in columns])
+    long = values.unpivot([], columns, "column_name", "value")
     sizes = long.groupBy("column_name", "value").agg(F.count("value").cast("decimal(38,0)").alias("size"))
     sums = sizes.groupBy("column_name").agg(
         F.count("*").alias("n_groups"),

@@ -32,14 +32,10 @@ def lake_types(fields: list[Field], vendor: str) -> list[str]:
         word = "".join(c if c.isalnum() else " " for c in f.data_type.upper()).split()
         lake = known.get(f.data_type.upper().strip()) or known.get(word[0] if word else "", "STRING")
         if lake == "DECIMAL":
-            p = types.DEFAULT_PRECISION if f.precision is None else f.precision
-            s = types.DEFAULT_SCALE if f.precision is None else f.scale or 0
+            p, s = types.decimal_size(f.precision, f.scale)
             lake = f"DECIMAL({p},{s})"
         elif lake in ("VARCHAR", "CHAR"):
-            n = f.char_length
-            if vendor in types.UNBOUNDED_VENDORS and n == -1:
-                n = types.UNBOUNDED_LENGTH
-            lake = "STRING" if n is None else f"{lake}({n})"
+            lake = "STRING" if f.char_length in (None, types.UNBOUNDED) else f"{lake}({f.char_length})"
         found.append(lake)
     return found
 

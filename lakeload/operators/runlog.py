@@ -62,7 +62,7 @@ def log_time(col: Column) -> Column:
 
 
 def seconds_of(col: Column) -> Column:
-    return F.unix_timestamp(F.substring(col, 6, 20), TIME_PATTERN)
+    return F.unix_timestamp(F.try_to_timestamp(F.substring(col, 6, 20), F.lit(TIME_PATTERN)))
 
 
 def setting(conf: Column, name: str) -> Column:

@@ -37,6 +37,8 @@ class Table:
     check_column: str | None = None
     live_table: str | None = None
     views: list[str] = field(default_factory=list)
+    # Values that may be lost, cut or rounded in the cast before a load is held back; None for any number.
+    tolerated: int | None = 0
 
 
 def source_catalog(spark: SparkSession, table: Table) -> DataFrame:
@@ -66,6 +68,13 @@ def stored_type(lake: str) -> str:
     return "timestamp_ntz" if lake.startswith("TIMESTAMP") else lake.lower()
 
 
+def _require_whole(table: Table, seen) -> None:
+    """Hold the load back if more values than tolerated did not reach their lake type whole."""
+    bad = {c: n for c, n in seen.get.items() if c != "_rows" and n}
+    if table.tolerated is not None and sum(bad.values()) > table.tolerated:
+        raise QualityError(f"values of {table.name} do not fit the lake: " + ", ".join(f"{c} {n}" for c, n in sorted(bad.items())))
+
+
 def _passed(stages: DataFrame) -> bool:
     return stages.agg(F.bool_and("passed")).first()[0]
 
@@ -103,7 +112,9 @@ def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
         landed, extracted = files.land_counted(source, to.landing)
         compare.require_equal_counts(extracted, landed.count())
         pulled = time.monotonic()
-        staged = publish.write_stage(loads.stamped(landed, table.fields, table.vendor, at, full=True), to.stage)
+        typed, seen = loads.observed(landed, table.fields, table.vendor, at, full=True)
+        staged = publish.write_stage(typed, to.stage)
+        _require_whole(table, seen)
         stages = check_schema(spark, table, staged)
         if not _passed(stages):
             raise QualityError(f"the schema of {table.name} does not match its source")
@@ -145,10 +156,13 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
         compare.require_equal_counts(extracted, landed.count())
         pulled = time.monotonic()
         if extracted:
-            typed = loads.stamped(landed, table.fields, table.vendor, at, full=False)
+            typed, seen = loads.observed(landed, table.fields, table.vendor, at, full=False)
             if not _passed(check_schema(spark, table, typed)) or dict(typed.dtypes) != dict(live.dtypes):
                 raise QualityError(f"the increment of {table.name} does not match its live table")
-            merged = publish.merge_partition(typed, to.live)
+            # Staged first: the live table must not see rows that the gate holds back.
+            staged = publish.write_stage(typed, to.stage)
+            _require_whole(table, seen)
+            merged = publish.merge_partition(staged, to.live)
             _show(spark, table, merged)
     except Exception:
         _record(spark, table, at, audit.FAILED)
@@ -177,7 +191,9 @@ def export_out(
     size_shuffles(lake)
     rows = project.without_system_columns(lake)
     rows = export.export_columns(rows, columns or rows.columns)
-    described = catalog.describe_frame(rows, table.name).withColumn("vendor", F.lit(table.vendor))
+    declared = dict(zip([names.clean(f.name) for f in table.fields], project.lake_types(table.fields, table.vendor)))
+    declared = {c: t.replace("TIMESTAMP_DATE", "TIMESTAMP").lower() for c, t in declared.items()}
+    described = catalog.describe_frame(rows, table.name, declared).withColumn("vendor", F.lit(table.vendor))
     if not _passed(quality.before_export(described, target_catalog)):
         raise QualityError(f"the target of {table.name} does not match the lake table")
     began = time.monotonic()

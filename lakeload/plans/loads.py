@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions import names
 from ..functions.literals import find
@@ -44,6 +44,28 @@ def stamped(landed: DataFrame, fields: list[Field], vendor: str, at: dt.datetime
     return project.with_system_columns(typed, at.strftime("%Y-%m-%d %H:%M:%S"), project.load_stamp(at, full))
 
 
+def observed(landed: DataFrame, fields: list[Field], vendor: str, at: dt.datetime, full: bool) -> tuple[DataFrame, Observation]:
+    """``stamped`` rows, and what their write will have seen: the rows, and for each column the values that did not arrive whole.
+
+    Such a value's lake type cannot hold it, or holds it only cut or rounded. It is counted
+    while the rows are written; nothing is read again.
+    """
+    rows, flags = [], []
+    for i, (f, lake) in enumerate(zip(fields, project.lake_types(fields, vendor))):
+        landing = names.clean_for_landing(f.name)
+        source, held = F.col(f"`{landing}`"), project.cast_to_lake(F.col(f"`{landing}`"), lake, vendor)
+        bad = source.isNotNull() & held.isNull()
+        if lake != "TIMESTAMP_DATE":
+            bad = bad | ~compare.conforms(landed, landing, lake)
+        rows.append(held.alias(names.clean(f.name)))
+        flags.append(bad.alias(f"_bad_{i}"))
+    seen = Observation()
+    counts = [F.count_if(F.col(f"_bad_{i}")).alias(names.clean(f.name)) for i, f in enumerate(fields)]
+    typed = landed.select(*rows, *flags).observe(seen, F.count(F.lit(1)).alias("_rows"), *counts)
+    typed = typed.drop(*[f"_bad_{i}" for i in range(len(fields))])
+    return project.with_system_columns(typed, at.strftime("%Y-%m-%d %H:%M:%S"), project.load_stamp(at, full)), seen
+
+
 def full_load(source: DataFrame, fields: list[Field], vendor: str, to: Folders, at: dt.datetime) -> DataFrame:
     """Extract, check the count, cast, stage and publish; gives the live rows."""
     spark = source.sparkSession

@@ -78,6 +78,12 @@ def append_log(rows: DataFrame, path: str, batch: str | None = None) -> DataFram
     return rows.sparkSession.read.schema(QA_LOG).parquet(path).drop("batch")
 
 
+def latest_log(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
+    """The newest ``n`` rows of the stored quality log."""
+    log = spark.read.schema(QA_LOG).parquet(path).drop("batch")
+    return log.orderBy(F.col("log_time").desc(), "table_name", "log").limit(n)
+
+
 def log_lines(rows: DataFrame) -> DataFrame:
     """The log's delimited text form; only here is its text escaped."""
     time = F.date_format("log_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -71,21 +71,37 @@ def insert_jdbc(df: DataFrame, url: str, table: str, writers: int, **login: str)
     df.write.format("jdbc").options(**settings).mode("append").save()
 
 
+def once_per_key(vendor: str, staging: str, columns: list[str], keys: list[str]) -> str:
+    """Staged rows, one for each key: a retried task may have written some twice, and large objects know no DISTINCT."""
+    listed = ", ".join(quoted(vendor, c) for c in columns)
+    by = ", ".join(quoted(vendor, k) for k in keys)
+    return f"(SELECT {listed} FROM (SELECT {listed}, ROW_NUMBER() OVER (PARTITION BY {by} ORDER BY {by}) AS copy_no FROM {staging}) c WHERE copy_no = 1)"
+
+
 def merge_statement(
-    vendor: str, target: str, staging: str, columns: list[str], keys: list[str], insert: bool = True
+    vendor: str, target: str, staging: str, columns: list[str], keys: list[str], insert: bool = True,
+    target_names: dict[str, str] | None = None,
 ) -> str:
-    """The one statement that moves a staging table's rows into the target, run in the database."""
+    """The one statement that moves a staging table's rows into the target, run in the database.
+
+    ``target_names`` gives the target's own spelling of its columns, from its catalog; both
+    tables are taken to use it. A table of key columns alone is only inserted into.
+    """
     if not keys:
         raise ValueError("an upsert or update needs its update key")
-    q = {c: quoted(vendor, c) for c in columns}
+    spelled = target_names or {}
+    q = {c: quoted(vendor, spelled.get(c, c)) for c in columns}
     values = [c for c in columns if c not in keys]
+    if not values and not insert:
+        raise ValueError("an update needs a column besides its key")
     listed = ", ".join(q.values())
     if vendor in ("postgresql", "mysql") and insert:
         if vendor == "mysql":
-            action = "ON DUPLICATE KEY UPDATE " + ", ".join(f"{q[c]} = VALUES({q[c]})" for c in values)
+            action = "ON DUPLICATE KEY UPDATE " + ", ".join(f"{q[c]} = VALUES({q[c]})" for c in values or keys[:1])
         else:
             changed = ", ".join(f"{q[c]} = EXCLUDED.{q[c]}" for c in values)
-            action = f"ON CONFLICT ({', '.join(q[k] for k in keys)}) DO UPDATE SET {changed}"
+            then = f"DO UPDATE SET {changed}" if values else "DO NOTHING"
+            action = f"ON CONFLICT ({', '.join(q[k] for k in keys)}) {then}"
         return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} s {action}"
     match = " AND ".join(f"t.{q[k]} = s.{q[k]}" for k in keys)
     changed = ", ".join(f"{'' if vendor in ('db2', 'teradata') else 't.'}{q[c]} = s.{q[c]}" for c in values)
@@ -94,7 +110,9 @@ def merge_statement(
     if vendor == "postgresql":
         plain = ", ".join(f"{q[c]} = s.{q[c]}" for c in values)
         return f"UPDATE {target} t SET {plain} FROM {staging} s WHERE {match}"
-    merge = f"MERGE INTO {target} t USING {staging} s ON ({match}) WHEN MATCHED THEN UPDATE SET {changed}"
+    merge = f"MERGE INTO {target} t USING {staging} s ON ({match})"
+    if values:
+        merge += f" WHEN MATCHED THEN UPDATE SET {changed}"
     if insert:
         merge += f" WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({', '.join(f's.{c}' for c in q.values())})"
     return merge + (";" if vendor == "sqlserver" else "")
@@ -104,7 +122,7 @@ def run_statement(spark: SparkSession, statement: str, url: str, user: str = "",
     """Run one statement in the target database; the rows themselves stay there."""
     connection = spark._jvm.java.sql.DriverManager.getConnection(url, user, password)
     try:
-        return connection.createStatement().executeUpdate(statement)
+        return connection.createStatement().executeLargeUpdate(statement)
     finally:
         connection.close()
 
@@ -117,25 +135,34 @@ def _stage_jdbc(df: DataFrame, url: str, staging: str, writers: int, **login: st
 
 def merge_jdbc(
     df: DataFrame, vendor: str, url: str, target: str, staging: str, keys: list[str], writers: int,
-    insert: bool = True, **login: str,
+    insert: bool = True, target_names: dict[str, str] | None = None, **login: str,
 ) -> int:
     """Load a staging table in parallel, then merge it in the database by one statement.
 
     The statement reads each staged row once, so rows a retried task wrote twice do no harm.
     """
-    _stage_jdbc(df, url, staging, writers, **login)
-    statement = merge_statement(vendor, target, f"(SELECT DISTINCT * FROM {staging})", df.columns, keys, insert)
+    spelled = target_names or {}
+    named = df.toDF(*[spelled.get(c, c) for c in df.columns])
+    _stage_jdbc(named, url, staging, writers, **login)
+    own = [spelled.get(k, k) for k in keys]
+    statement = merge_statement(vendor, target, once_per_key(vendor, staging, named.columns, own), named.columns, own, insert)
     return run_statement(df.sparkSession, statement, url, login.get("user", ""), login.get("password", ""))
 
 
-def staged_insert_jdbc(df: DataFrame, url: str, target: str, staging: str, writers: int, **login: str) -> int:
+def insert_statement(vendor: str, target: str, staging: str, columns: list[str]) -> str:
+    """Move staged rows by column name, whatever order the target's columns have."""
+    listed = ", ".join(quoted(vendor, c) for c in columns)
+    return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging}"
+
+
+def staged_insert_jdbc(df: DataFrame, vendor: str, url: str, target: str, staging: str, writers: int, **login: str) -> int:
     """Insert by way of a staging table, once it holds exactly the exported rows."""
     seen = Observation()
     _stage_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, staging, writers, **login)
     counting = write_options(url, f"(SELECT COUNT(*) AS n FROM {staging}) s", 1, **login)
     staged = int(df.sparkSession.read.format("jdbc").options(**counting).load().first()[0])
     require_equal_counts(seen.get["n"], staged)
-    statement = f"INSERT INTO {target} SELECT * FROM {staging}"
+    statement = insert_statement(vendor, target, staging, df.columns)
     return run_statement(df.sparkSession, statement, url, login.get("user", ""), login.get("password", ""))
 
 

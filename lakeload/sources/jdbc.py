@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import names
+from ..functions import names, types
 from ..operators.catalog import dictionary_query, from_dictionary
 from ..operators.project import Field, lands_as_text
 from ..operators.registry import DEFAULT_FETCH_SIZE, DEFAULT_MAPPERS
@@ -21,7 +22,16 @@ SESSION_STATEMENTS = {
     "mysql": "SET SESSION TRANSACTION ISOLATION LEVEL READ UNCOMMITTED",
     "db2": "SET CURRENT ISOLATION = UR",
 }
-LOCK_FREE_PREFIX = {"teradata": "LOCKING ROW FOR ACCESS "}
+# What stands at the head of every request, before the SELECT that Spark builds around a query.
+REQUEST_PREFIX = {"teradata": "LOCKING ROW FOR ACCESS"}
+# How each vendor deals text keys into buckets; a vendor without one reads them with one reader.
+TEXT_BUCKETS = {
+    "oracle": "ORA_HASH({column}, {last}) = {bucket}",
+    "sqlserver": "ABS(CAST(CHECKSUM({column}) AS BIGINT)) % {buckets} = {bucket}",
+    "mysql": "CRC32({column}) % {buckets} = {bucket}",
+    "postgresql": "ABS(HASHTEXT({column})::BIGINT) % {buckets} = {bucket}",
+    "teradata": "HASHBUCKET(HASHROW({column})) MOD {buckets} = {bucket}",
+}
 # Types a source has to hand over as text.
 TEXT_ONLY_TYPES = {"postgresql": ("xid", "oid", "array", "macaddr")}
 CLOB_FROM_XML = {"oracle": ("xmltype", "t.{quoted}.getclobval()")}
@@ -58,7 +68,7 @@ def check_split(source: Source, columns: list[str]) -> None:
     if source.split_by and source.split_by not in columns:
         raise ValueError(f"split column {source.split_by} is not one of: {', '.join(columns)}")
     for role, column in (("split", source.split_by), ("check", source.check_column)):
-        if column and column in source.where:
+        if column and re.search(rf"(?<![\w$#]){re.escape(column)}(?![\w$#])", source.where, re.IGNORECASE):
             raise ValueError(f"the custom filter may not use the {role} column {column}")
 
 
@@ -82,9 +92,8 @@ def extract_query(source: Source, fields: list[Field], increment: str = "") -> s
     """The SELECT the source database runs, with the custom filter and the increment filter."""
     check_split(source, [f.name for f in fields])
     filters = "".join(f" AND ({f})" for f in (source.where, increment) if f)
-    prefix = LOCK_FREE_PREFIX.get(source.vendor, "")
     columns = ", ".join(select_list(source.vendor, fields))
-    return f"{prefix}SELECT {columns} FROM {source.full_name()} t WHERE 1=1{filters}"
+    return f"SELECT {columns} FROM {source.full_name()} t WHERE 1=1{filters}"
 
 
 def object_type_query(source: Source) -> str:
@@ -108,6 +117,8 @@ def options(source: Source, query: str, bounds: tuple | None = None) -> dict[str
         chosen["password"] = source.password
     if source.vendor in SESSION_STATEMENTS:
         chosen["sessionInitStatement"] = SESSION_STATEMENTS[source.vendor]
+    if source.vendor in REQUEST_PREFIX:
+        chosen["prepareQuery"] = REQUEST_PREFIX[source.vendor]
     readers = reader_count(source)
     if readers > 1 and bounds and bounds[0] is not None:
         chosen |= {
@@ -125,17 +136,39 @@ def bounds_query(source: Source, increment: str = "") -> str:
     return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {source.full_name()} t WHERE 1=1{filters}"
 
 
+def splits_as_text(source: Source, fields: list[Field]) -> bool:
+    """Whether the split column is text, which has no ranges to read by."""
+    kinds = {f.name: types.pairs().get(f.data_type.upper().strip().split("(")[0], "STRING") for f in fields}
+    return kinds.get(source.split_by) in ("VARCHAR", "CHAR", "STRING")
+
+
+def bucket_filters(source: Source) -> list[str]:
+    """One filter for each reader of a text key, over the extract's columns; NULL keys go with the first. Empty without a hash."""
+    form, n = TEXT_BUCKETS.get(source.vendor), reader_count(source)
+    if not form or n < 2:
+        return []
+    column = quoted(source.vendor, names.clean_for_extract(source.split_by))
+    dealt = [form.format(column=column, last=n - 1, buckets=n, bucket=k) for k in range(n)]
+    return [f"({dealt[0]} OR {column} IS NULL)", *dealt[1:]]
+
+
 def read(spark: SparkSession, source: Source, fields: list[Field], increment: str = "") -> DataFrame:
-    """Read the table in parallel ranges of its split column; further filters are pushed down.
+    """Read the table in parallel ranges of its split column, or buckets of a text key; further filters are pushed down.
 
-    Times and large objects arrive as text, as the vendor writes them.
+    Times and large objects arrive as text, as the vendor writes them, but for the split column.
     """
-    bounds = None
-    if reader_count(source) > 1:
+    bounds, by_text = None, bool(source.split_by) and splits_as_text(source, fields)
+    if reader_count(source) > 1 and not by_text:
         one_reader = options(source, bounds_query(source, increment))
         bounds = tuple(spark.read.format("jdbc").options(**one_reader).load().first())
     chosen = options(source, extract_query(source, fields, increment), bounds)
-    text = [names.clean_for_extract(name) for name in lands_as_text(fields)]
+    text = [names.clean_for_extract(name) for name in lands_as_text(fields) if by_text or name != source.split_by]
+    filters = bucket_filters(source) if by_text else []
+    if filters:
+        table, url = chosen.pop("dbtable"), chosen.pop("url")
+        if text:
+            chosen["customSchema"] = ", ".join(f"`{name}` STRING" for name in text)
+        return spark.read.jdbc(url, table, predicates=filters, properties=chosen)
     if text:
         chosen["customSchema"] = ", ".join(f"`{name}` STRING" for name in text)
     return spark.read.format("jdbc").options(**chosen).load()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,9 +22,13 @@ def run_available(
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     files_per_batch: int | None = None,
     label: str = BATCH_LABEL,
+    ingest_time: str | None = None,
 ) -> None:
     """Take up every landing file not taken up before, then stop.
 
+    Rows get both system columns: the partition label and ``ingest_timestamp``, which is
+    ``ingest_time`` or else the time at which the run starts.
+
     The checkpoint remembers the files. The partition label ends in the batch number and the
     write replaces that partition, so a batch repeated after a failure is stored once. Take
     another label when the checkpoint is started anew, as its numbers then begin at 0 again.
@@ -32,9 +37,11 @@ def run_available(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = transform(reader.parquet(landing))
+    started = ingest_time or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        merge_partition(batch.withColumn(PARTITION, F.lit(f"{label}{batch_id}")), live)
+        known = {"ingest_timestamp": F.lit(started), PARTITION: F.lit(f"{label}{batch_id}")}
+        merge_partition(batch.withColumns(known), live)
 
     query = (
         stream.writeStream.foreachBatch(store)

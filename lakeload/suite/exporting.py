@@ -41,13 +41,12 @@ EXPORT_TEXT_SQL = inp.with_inputs(f"SELECT {_line_sql(_DOCUMENT_COLUMNS, 'chr(1)
 
 
 def export_text_distinct(spark, sf):
-    lineitem = inp.tables(spark, sf)["lineitem"].select("l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber")
-    return export.write_text(lineitem, scratch(spark, "export_distinct"), separator="|", distinct=True)
+    """Every column of documents, whose rows stand there twice."""
+    documents = inp.derive(spark, sf, _edge_text(SPARK))
+    return export.write_text(documents.unionByName(documents), scratch(spark, "export_distinct"), separator="|", distinct=True)
 
 
-EXPORT_DISTINCT_SQL = (
-    "SELECT DISTINCT l_suppkey || '|' || l_returnflag || '|' || l_linestatus || '|' || l_linenumber AS value FROM lineitem"
-)
+EXPORT_DISTINCT_SQL = inp.with_inputs(f"""SELECT DISTINCT {_line_sql(_DOCUMENT_COLUMNS, "'|'")} AS value FROM d""", d=_edge_text(DUCK))
 
 
 def export_columns(spark, sf):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import catalog, incremental, profile, project, sample
 from ..plans import loads
@@ -158,11 +159,9 @@ def high_watermark(spark, sf):
     marks = None
     for name, column in checks:
         mode = incremental.mode_of(t[name], column)
-        top = F.max(column)
-        text = F.date_format(top, project.TEXT_TIMESTAMP_PATTERN) if mode == "lastmodified" else top.cast("string")
-        one = t[name].agg(text.alias("mark")).select(
-            F.lit(name).alias("table_name"), F.lit(column).alias("check_column"), F.lit(mode).alias("mode"), "mark"
-        )
+        mark = incremental.mark_literal(incremental.high_watermark(t[name], column))
+        text = F.date_format(mark, project.TEXT_TIMESTAMP_PATTERN) if mode == "lastmodified" else mark.cast("string")
+        one = spark.range(1).select(F.lit(name).alias("table_name"), F.lit(column).alias("check_column"), F.lit(mode).alias("mode"), text.alias("mark"))
         marks = one if marks is None else marks.unionByName(one)
     return marks
 
@@ -179,13 +178,13 @@ def incr_empty_skip(spark, sf):
     """Each event type is a source; two of them are already loaded whole."""
     events = inp.tables(spark, sf)["events"]
     live = events.where((F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")) | F.col("event_type").isin("error", "view"))
-    marks = live.groupBy("event_type").agg(F.max("ts").alias("mark"))
-    newest = events.groupBy("event_type").agg(F.max("ts").alias("newest"))
-    has_rows = F.col("mark").isNull() | (F.col("newest") > F.col("mark"))
-    return newest.join(marks, "event_type", "left").select(
-        "event_type", has_rows.cast("int").alias("has_rows"),
-        F.when(has_rows, F.lit("publish")).otherwise(F.lit("skip")).alias("action"),
-    )
+    found = []
+    for (kind,) in events.select("event_type").distinct().collect():
+        of_kind = F.col("event_type") == kind
+        mark = incremental.high_watermark(live.where(of_kind), "ts")
+        some = incremental.has_rows(incremental.above(events.where(of_kind), "ts", mark))
+        found.append((kind, int(some), "publish" if some else "skip"))
+    return spark.createDataFrame(found, "event_type string, has_rows int, action string")
 
 
 INCR_EMPTY_SQL = f"""
@@ -284,13 +283,13 @@ def stream_ingest(spark, sf):
     for drop in (_older(events), newer):
         drop.write.mode("append").parquet(landing)
         ingest.run_available(
-            spark, landing, events.schema, live, checkpoint, lambda df: project.typed(df, _EVENT_FIELDS, "mysql")
+            spark, landing, events.schema, live, checkpoint, lambda df: project.typed(df, _EVENT_FIELDS, "mysql"), ingest_time=SPLIT_AT
         )
-    return publish.read_partitioned(spark, live, events.schema)
+    return publish.read_partitioned(spark, live, T.StructType([*events.schema.fields, T.StructField("ingest_timestamp", T.StringType())]))
 
 
 STREAM_SQL = f"""
-SELECT *, CASE WHEN ts < TIMESTAMP '{SPLIT_AT}' THEN 'batch_0' ELSE 'batch_1' END AS incr_ingest_timestamp FROM events
+SELECT *, '{SPLIT_AT}' AS ingest_timestamp, CASE WHEN ts < TIMESTAMP '{SPLIT_AT}' THEN 'batch_0' ELSE 'batch_1' END AS incr_ingest_timestamp FROM events
 """
 
 KEYS = {

@@ -14,7 +14,9 @@ from ..functions import codes
 from ..session import table, tune
 
 SPARK, DUCK = "spark", "duck"
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def pick(number: str, values: list[str | None]) -> str:

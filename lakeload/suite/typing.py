@@ -48,13 +48,14 @@ _TYPE_ROWS = inp.values(list(types.pairs().items()), "vendor_type, lake")
 def lake_catalog_sql() -> str:
     """A catalog's lake side in the check's SQL: needs ``c`` (catalog) and ``ty`` (type pairs)."""
     return f"""
-      SELECT *, CASE WHEN lake = 'DECIMAL' THEN 'DECIMAL(' || coalesce(num_precision, 38) || ',' ||
-                          CASE WHEN num_precision IS NULL THEN 0 ELSE coalesce(num_scale, 0) END || ')'
-                     WHEN lake IN ('VARCHAR', 'CHAR') THEN lake || '(' || len || ')'
+      SELECT *, CASE WHEN lake = 'DECIMAL' THEN 'DECIMAL(' ||
+                          CASE WHEN num_precision IS NULL THEN 38 ELSE least(38, num_precision - least(coalesce(num_scale, 0), 0)) END || ',' ||
+                          CASE WHEN num_precision IS NULL THEN 18 ELSE greatest(coalesce(num_scale, 0), 0) END || ')'
+                     WHEN lake IN ('VARCHAR', 'CHAR') THEN coalesce(lake || '(' || len || ')', 'STRING')
                      WHEN lake = 'TIMESTAMP_DATE' THEN 'TIMESTAMP' ELSE lake END AS col_type
       FROM (SELECT c.*, lower({lake_name_sql("c.column_name")}) AS lake_column,
                    coalesce(f.lake, w.lake, 'STRING') AS lake, coalesce(f.lake, w.lake) IS NOT NULL AS known_type,
-                   CASE WHEN vendor IN ('sqlserver', 'postgresql') AND char_length = -1 THEN 1000 ELSE char_length END AS len
+                   nullif(char_length, -1) AS len
             FROM c LEFT JOIN ty f ON f.vendor_type = upper(trim(c.data_type))
                    LEFT JOIN ty w ON w.vendor_type = regexp_extract(upper(c.data_type), '([A-Z0-9]+)', 1)) x"""
 
@@ -179,19 +180,19 @@ def row_count(spark, sf):
 
 ROW_COUNT_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in inp.TABLES)
 
-_QUALITY_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_tax",
-]
+# All columns of lineitem that a range reader can take.
+_QUALITY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 
 
 def _profiled(spark, sf):
     # One column with gaps, since a NULL group counts as a group of size 0.
     lineitem = inp.tables(spark, sf)["lineitem"]
-    return lineitem.withColumn("l_tax", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_tax")))
+    return lineitem.withColumn("l_suppkey", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_suppkey")))
 
 
 def split_quality(spark, sf):
-    return profile.split_quality(_profiled(spark, sf), _QUALITY_COLUMNS)
+    lineitem = _profiled(spark, sf)
+    return profile.split_quality(lineitem, profile.splittable(lineitem))
 
 
 def _quality_sql() -> str:
@@ -205,13 +206,13 @@ def _quality_sql() -> str:
       FROM ({groups}) g GROUP BY ordinal, column_name"""
 
 
-_PROFILED_SQL = "SELECT * REPLACE (CASE WHEN l_orderkey % 3 <> 0 THEN l_tax END AS l_tax) FROM lineitem"
+_PROFILED_SQL = "SELECT * REPLACE (CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey END AS l_suppkey) FROM lineitem"
 SPLIT_QUALITY_SQL = inp.with_inputs("SELECT * FROM q", p=_PROFILED_SQL, q=_quality_sql())
 
 
 def split_choice(spark, sf):
     """The choice for several numbers of readers, and the rules that need no profile."""
-    quality = profile.split_quality(_profiled(spark, sf), _QUALITY_COLUMNS)
+    quality = split_quality(spark, sf)
     return profile.split_choice(
         quality,
         [(2, None, "db2"), (10, None, "mysql"), (60, None, "mysql"), (10, "l_orderkey", "db2"), (10, None, "oracle")],
@@ -231,13 +232,16 @@ SPLIT_CHOICE_SQL = inp.with_inputs(
 
 def max_lengths(spark, sf):
     t = inp.tables(spark, sf)
-    documents = t["documents"].select("text", "lang", "source").withColumn("empty", F.nullif("lang", "lang"))
-    return profile.max_lengths({"documents": documents, "part": t["part"].select("p_partkey", "p_name", "p_brand")})
+    documents = t["documents"].withColumn("empty", F.nullif("lang", "lang"))
+    return profile.max_lengths({"documents": documents, "part": t["part"]})
 
 
 MAX_LENGTHS_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(coalesce(max(length(CAST({c} AS VARCHAR))), 38) AS INTEGER) AS max_length FROM {t}"
-    for t, c in [("documents", "text"), ("documents", "lang"), ("documents", "source"), ("part", "p_partkey"), ("part", "p_name"), ("part", "p_brand")]
+    for t, columns in {
+        "documents": "doc_id text lang source n_chars", "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    }.items()
+    for c in columns.split()
 ) + " UNION ALL SELECT 'documents', 'empty', 38"
 
 

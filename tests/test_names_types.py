@@ -49,11 +49,12 @@ def test_type_of_every_vendor_type_on_driver_and_in_columns(spark):
 @pytest.mark.parametrize(
     "field, vendor, lake",
     [
-        (Field("n", "NUMBER"), "oracle", "DECIMAL(38,0)"),
+        (Field("n", "NUMBER"), "oracle", "DECIMAL(38,18)"),
+        (Field("n", "NUMBER", None, 10, -2), "oracle", "DECIMAL(12,0)"),
         (Field("n", "NUMBER", None, 10, None), "oracle", "DECIMAL(10,0)"),
         (Field("n", "D", None, 18, 2), "teradata", "DECIMAL(18,2)"),
-        (Field("v", "varchar", -1), "sqlserver", "VARCHAR(1000)"),
-        (Field("v", "varchar", -1), "postgresql", "VARCHAR(1000)"),
+        (Field("v", "varchar", -1), "sqlserver", "STRING"),
+        (Field("v", "varchar", -1), "postgresql", "STRING"),
         (Field("v", "VARCHAR2", 30), "oracle", "VARCHAR(30)"),
         (Field("t", "TIMESTAMP(6) WITH TIME ZONE"), "oracle", "STRING"),
         (Field("t", "TIMESTAMP(6)"), "oracle", "TIMESTAMP"),

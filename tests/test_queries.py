@@ -30,7 +30,6 @@ def test_filters_and_columns_reach_the_scan(spark):
         "incr_lastmodified": ["GreaterThan(ts,"],
         "export_columns": ["struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>"],
         "qa_count_match": ["struct<l_suppkey:bigint>"],
-        "max_lengths": ["struct<p_partkey:bigint,p_name:string,p_brand:string>"],
     }.items():
         plan = q[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
         for text in wanted:

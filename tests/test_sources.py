@@ -46,7 +46,9 @@ def test_extract_query_renames_casts_and_filters():
         'SELECT "ID", "1 a$b" AS "i_1ab", t."DOC".getclobval() AS "DOC", "_u" AS "i_u" '
         'FROM "SALES"."ORDERS" t WHERE 1=1 AND (REGION = \'EU\') AND (TS > 5)'
     )
-    assert jdbc.extract_query(Source("teradata", "u", "d", "t"), fields[:1]).startswith("LOCKING ROW FOR ACCESS SELECT")
+    teradata = Source("teradata", "u", "d", "t")
+    assert jdbc.extract_query(teradata, fields[:1]).startswith("SELECT")
+    assert jdbc.options(teradata, "q")["prepareQuery"] == "LOCKING ROW FOR ACCESS"
     assert "[d].[dbo].[t]" in jdbc.extract_query(Source("sqlserver", "u", "d", "t", schema="dbo"), fields[:1])
     assert 'CAST("k" AS VARCHAR) AS "k"' in jdbc.extract_query(Source("postgresql", "u", "d", "t"), [Field("k", "oid")])
 
@@ -162,14 +164,43 @@ def test_staged_insert_refuses_an_incomplete_staging_table(monkeypatch):
     monkeypatch.setattr(export, "run_statement", lambda spark, statement, *login: statements.append(statement) or 3)
     monkeypatch.setattr(export, "Observation", lambda: MagicMock(get={"n": 3}))
     for staged, ok in ((3, True), (4, False)):
-        df = MagicMock()
+        df = MagicMock(columns=["ID", "V"])
         df.sparkSession.read.format.return_value.options.return_value.load.return_value.first.return_value = (staged,)
         if ok:
-            assert export.staged_insert_jdbc(df, "u", "T", "S", 4) == 3
+            assert export.staged_insert_jdbc(df, "oracle", "u", "T", "S", 4) == 3
         else:
             with pytest.raises(ValueError):
-                export.staged_insert_jdbc(df, "u", "T", "S", 4)
-    assert statements == ["INSERT INTO T SELECT * FROM S"]
+                export.staged_insert_jdbc(df, "oracle", "u", "T", "S", 4)
+    assert statements == ['INSERT INTO T ("ID", "V") SELECT "ID", "V" FROM S']
+
+
+def test_text_keys_are_dealt_into_buckets():
+    fields = [Field("NAME", "VARCHAR2", 20), Field("DAY", "DATE")]
+    source = Source("oracle", "u", "SALES", "ORDERS", readers=3, split_by="NAME")
+    assert jdbc.splits_as_text(source, fields) and not jdbc.splits_as_text(Source("oracle", "u", "S", "O", split_by="DAY"), fields)
+    assert jdbc.bucket_filters(source) == [
+        '(ORA_HASH("NAME", 2) = 0 OR "NAME" IS NULL)', 'ORA_HASH("NAME", 2) = 1', 'ORA_HASH("NAME", 2) = 2',
+    ]
+    assert jdbc.bucket_filters(Source("db2", "u", "S", "O", readers=3, split_by="NAME")) == []
+
+
+def test_a_filter_may_hold_a_column_name_within_another():
+    source = Source("oracle", "u", "S", "O", split_by="ID", where="VALID = 1")
+    jdbc.check_split(source, ["ID", "VALID"])
+    with pytest.raises(ValueError):
+        jdbc.check_split(Source("oracle", "u", "S", "O", split_by="ID", where="id > 3"), ["ID"])
+
+
+def test_merges_of_key_only_tables_and_of_the_targets_names():
+    assert export.merge_statement("oracle", "T", "S", ["k"], ["k"]) == (
+        'MERGE INTO T t USING S s ON (t."k" = s."k") WHEN NOT MATCHED THEN INSERT ("k") VALUES (s."k")'
+    )
+    assert export.merge_statement("postgresql", "T", "S", ["k"], ["k"]).endswith("DO NOTHING")
+    assert export.merge_statement("mysql", "T", "S", ["k"], ["k"]).endswith("ON DUPLICATE KEY UPDATE `k` = VALUES(`k`)")
+    assert 't."ID" = s."ID"' in export.merge_statement("oracle", "T", "S", ["id", "v"], ["id"], target_names={"id": "ID", "v": "V"})
+    with pytest.raises(ValueError):
+        export.merge_statement("oracle", "T", "S", ["k"], ["k"], insert=False)
+    assert "DISTINCT" not in export.once_per_key("oracle", "S", ["k", "doc"], ["k"])
 
 
 def test_catalog_is_read_from_the_vendor_dictionary(spark):
