@@ -5,10 +5,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Batches are worked on in slices of about so many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 19
 
+#: Texts come to Python in Arrow batches of about so many bytes, however long they are.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Set the session's batch size for the Python step that follows on ``df``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
