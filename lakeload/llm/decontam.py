@@ -55,7 +55,7 @@ class Items:
                     self.index.setdefault((block, near), []).append(item)
         self.index = {k: np.array(v) for k, v in self.index.items()}
         self.by_size = {size: np.unique(np.concatenate([s for (s, _), w in zip(self.shingles, self.words, strict=True) if min(w, SIZE) == size])) for size in sorted({min(w, SIZE) for w in self.words.tolist()})}
-        self.lengths = np.unique(self.words).tolist()
+        self.by_length = {n: np.unique(np.concatenate([s for (s, _), w in zip(self.shingles, self.words, strict=True) if w == n])) for n in np.unique(self.words).tolist()}
 
     def near(self, fingerprint: int, length: int) -> list[int]:
         """Items of ``length`` words within the radius."""
@@ -111,8 +111,8 @@ def _runs(hashes: np.ndarray, of_row: np.ndarray, size: int) -> tuple[np.ndarray
 def leaks_in(items: Items, column) -> list[tuple[int, int, float, int]]:
     """(row, item, similarity, first word) of the best window for each row and item that reaches the threshold.
 
-    A window can reach it only if enough of its shingles are shingles of some item, which is
-    counted first; other windows need no fingerprint.
+    A window can reach it only if enough of its shingles are shingles of an item of its length,
+    which is counted first; other windows need no fingerprint.
     """
     best: dict[tuple[int, int], tuple[float, int]] = {}
     data, bounds = bytestext.flat(column)
@@ -134,11 +134,10 @@ def leaks_in(items: Items, column) -> list[tuple[int, int, float, int]]:
 
 
 def _windows(items: Items, size: int, runs, hit, of_row, first_row: int, best: dict) -> None:
-    seen = np.zeros(len(runs) + 1, np.int64)
-    seen[hit + 1] = 1
-    np.cumsum(seen, out=seen)
-    row_of_hit = np.searchsorted(of_row, hit, side="right") - 1
-    for length in (n for n in items.lengths if min(n, SIZE) == size):
+    every, told = hit, runs[hit]
+    for length, known in ((n, k) for n, k in items.by_length.items() if min(n, SIZE) == size):
+        hit = every[np.isin(told, known)]
+        row_of_hit = np.searchsorted(of_row, hit, side="right") - 1
         wide = length - size + 1  # shingles in a window
         least = -(-2 * NUMERATOR * wide // (NUMERATOR + DENOMINATOR))
         low = np.maximum(hit - wide + 1, of_row[row_of_hit])
@@ -150,7 +149,7 @@ def _windows(items: Items, size: int, runs, hit, of_row, first_row: int, best: d
         fresh = np.maximum(low, np.concatenate([[0], ends[:-1]]))
         take = np.maximum(high - fresh, 0)
         begins = np.repeat(fresh - np.cumsum(take) + take, take) + np.arange(take.sum())
-        begins = begins[seen[begins + wide] - seen[begins] >= least]
+        begins = begins[np.searchsorted(hit, begins + wide) - np.searchsorted(hit, begins) >= least]
         if not len(begins):
             continue
         # Windows of one stretch share their running sums; a gap begins another stretch.
@@ -189,7 +188,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                     ["doc_id", "item_id", "similarity", "first_word", "n_words"],
                 )
 
-        return narrow.mapInArrow(search, schema)
+        return bytestext.small_batches(narrow).mapInArrow(search, schema)
 
     out = documents.sparkSession.createDataFrame([], schema)
     for items in read_items(benchmark):
@@ -213,5 +212,5 @@ def clean(documents: DataFrame, benchmark: DataFrame, text_column: str = "text")
                 mask[leaking] = False
                 yield batch.filter(pa.array(mask))
 
-        out = out.mapInArrow(keep, documents.schema)
+        out = bytestext.small_batches(out).mapInArrow(keep, documents.schema)
     return out
