@@ -83,7 +83,7 @@ def signatures(keyed: DataFrame) -> DataFrame:
                 ["doc_id", "th", "n_shingles", "d1", "d2", "s1", "s2", "label"],
             )
 
-    return keyed.mapInArrow(sign, SIGNED)
+    return bytestext.small_batches(keyed).mapInArrow(sign, SIGNED)
 
 
 def classes(signed: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def sets_of(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "th", "shingles"])
 
     wanted = nodes.select(F.col("node.doc_id").alias("doc_id"), F.col("node.th").alias("th"))
-    texts = keyed.join(wanted, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    texts = keyed.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
     return texts.select("doc_id", "th", "text").mapInArrow(collect, "doc_id long, th long, shingles binary").select(F.struct("doc_id", "th").alias("node"), "shingles")
 
 
