@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import itertools
 import zlib
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ from tokenizers import Tokenizer
 
 from lakeload.session import settle
 
+from .bytestext import small_batches
+
 #: Distinct words whose ids a Python worker remembers.
 REMEMBERED = 800_000
 #: White space as the tokenizer's \s has it; str.split() also cuts at the four separators below 0x20.
@@ -51,26 +54,48 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
         self.places = Places()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.begins = np.zeros(1 << 16, np.int64)
+        self.begins, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.used = 0
 
     def learn(self) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(self.places.new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        first, total = len(self.places) - len(encoded), int(sizes.sum())
+        """Encode the new words: letters, with or without one point, in one text, cut after ids that end a pre-token; others one by one."""
+        words, self.places.new = self.places.new, []
+        first = len(self.places) - len(words)
+        parts = np.fromiter((1 if w.isalpha() else 2 if w[-1] in ".,;:!?" and w[:-1].isalpha() else 0 for w in words), np.int64, len(words))
+        plain = np.flatnonzero(parts)
+        flat = np.array(self._encode([" ".join([words[k] for k in plain.tolist()])])[0], np.uint32)
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) == parts.sum():
+            stops = ends[np.cumsum(parts[plain]) - 1]
+        else:  # a letter that lower case turns into more than letters
+            plain, flat, stops = plain[:0], flat[:0], ends[:0]
+        sizes = np.zeros(len(words), np.int64)
+        sizes[plain] = np.diff(stops, prepend=0)
+        other = np.flatnonzero(np.bincount(plain, minlength=len(words)) == 0)
+        encoded = self._encode([words[k] for k in other.tolist()])
+        sizes[other] = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        total = len(flat) + int(sizes[other].sum())
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.places) + 1 > len(self.begins):
-            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
-        self.ids[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, total)
-        self.begins[first + 1 : len(self.places) + 1] = self.used + np.cumsum(sizes)
+        while len(self.places) > len(self.begins):
+            self.begins, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begins, self.sizes))
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.ids[self.used + len(flat) : self.used + total] = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, total - len(flat))
+        order = np.concatenate([plain, other])
+        self.begins[first + order] = self.used + np.cumsum(sizes[order]) - sizes[order]
+        self.sizes[first : len(self.places)] = sizes
         self.used += total
-        self.places.new = []
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.places) > REMEMBERED:
@@ -83,8 +108,7 @@ class WordIds:
             self.learn()
         out = []
         for at in places:
-            begin = self.begins[at]
-            size = self.begins[at + 1] - begin
+            begin, size = self.begins[at], self.sizes[at]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
             out.append(self.ids[np.arange(total) + np.repeat(begin - ends + size, size)])
@@ -126,7 +150,7 @@ def cut(documents: DataFrame, tokenizer: str, length: int, end_id: int, id_colum
                 )
 
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    out = narrow.mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = small_batches(narrow).mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
     return out.withColumns({"block": F.spark_partition_id().cast("long"), "item": F.monotonically_increasing_id()})
 
 
@@ -167,7 +191,7 @@ def pack(pieces: DataFrame, length: int, fan: int = 8, slack: int = 8, hand_on:
     """
 
     def round_of(level: int):
-        def one(key, items: pd.DataFrame) -> pd.DataFrame:
+        def one(key: tuple[Any, ...], items: pd.DataFrame) -> pd.DataFrame:
             bins, offsets, filled = best_fit(items["size"].to_numpy(), length)
             final = filled >= length - slack
             roomy = np.argsort(filled, kind="stable")
