@@ -32,7 +32,7 @@ LENGTH, ANCHOR = 100, 50
 #: Symbols of a window when its anchor is one symbol.
 DEPTH = LENGTH - ANCHOR + 1
 #: A collection of strings that is merged at once, and the shards it is made of, in symbols.
-COLLECTION, SHARD = 1 << 20, 1 << 17
+COLLECTION, SHARD = 1 << 18, 1 << 16
 #: Documents looked at for anchors so common that their rows are dealt out further, and how many must hold one. Balance only.
 SAMPLE_DOCUMENTS, COMMON = 20_000, 200
 SALTS = 64
@@ -90,6 +90,7 @@ def anchored(documents: DataFrame, common: np.ndarray) -> DataFrame:
                      pa.array(_packed(low - first, high - first, at - first)), pa.array(salt.astype(np.int8))],
                     ["anchor", "string", "ord", "place", "salt"],
                 )
+        pa.default_memory_pool().release_unused()
 
     return documents.select("ord", "text").mapInArrow(find, "anchor long, string long, ord long, place long, salt byte")
 
@@ -275,6 +276,7 @@ def repeats_by_merge(strings: DataFrame) -> DataFrame:
                 size += len(row[3]) - ANCHOR + 2
         if held:
             yield _as_runs(*_repeats(held))
+        pa.default_memory_pool().release_unused()
 
     return strings.repartition("anchor").sortWithinPartitions("anchor", "ord", "place").mapInArrow(merge, REPEATS)
 
@@ -304,7 +306,7 @@ def in_order(documents: DataFrame, id_column: str, text_column: str) -> DataFram
 
     ``ord`` is the id where ids are unique; else rows are numbered by id (null last), text hash and place.
     """
-    rows = documents.select(
+    rows = bytestext.small_batches(documents).select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.struct(*documents.columns).alias("row")
     )
     twice = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id IS NULL OR n > 1")
