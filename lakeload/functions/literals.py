@@ -18,8 +18,8 @@ def array_of(values) -> str:
 
 
 def map_of(entries: dict) -> Column:
-    """A constant map; a list as value becomes an array."""
-    parts = [f"{quoted(k)}, {array_of(v) if isinstance(v, list) else quoted(v)}" for k, v in entries.items()]
+    """A constant map; a list or tuple as value becomes an array."""
+    parts = [f"{quoted(k)}, {array_of(v) if isinstance(v, (list, tuple)) else quoted(v)}" for k, v in entries.items()]
     return F.expr(f"map({', '.join(parts)})")
 
 

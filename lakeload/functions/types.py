@@ -7,30 +7,34 @@ from pyspark.sql import Column, functions as F
 from .literals import find
 
 # Lake type, then the vendor types stored as it. One list for all vendors.
-LAKE_TYPES = """
-DECIMAL: D, DECIMAL, DEC, NUMBER
-VARCHAR: CV, VARCHAR, VARCHAR2, NVARCHAR2
-CHAR: CF, CHAR
-TIMESTAMP: AT, DA, TS, TIMESTAMP, TIMESTMP, DATETIME, DATETIME2, SMALLDATETIME
-TIMESTAMP_DATE: DATE, TIMESTAMP_DATE
-INT: I, I1, N, INT, INTEGER, MEDIUMINT, BIT
-SMALLINT: I2, SMALLINT
-BIGINT: I8, BIGINT
-TINYINT: TINYINT
-FLOAT: FLOAT
-DOUBLE: F, DOUBLE, DOUBLE PRECISION
-BOOLEAN: BOOL, BOOLEAN
-STRING: A1, AN, BF, BO, BV, CO, DH, DM, DS, DY, HM, HS, HR, JN, MI, MO, MS, PD, PM, PS, PT, PZ, SC, SZ, TZ, UT, XM, YM, YR, ++
-STRING: STRING, NUMERIC, REAL, TIME, XML, BINARY, VARBINARY, BINARY_FLOAT, BINARY_DOUBLE, INTERVAL
-STRING: TIMESTAMP(6) WITH TIME ZONE, TIMESTAMP(6) WITH LOCAL TIME ZONE, TIMESTAMP WITH TIME ZONE, TIMESTAMP WITHOUT TIME ZONE
-STRING: INTERVAL YEAR(2) TO MONTH, INTERVAL DAY(2) TO SECOND(6)
-STRING: GRAPHIC, VARGRAPHIC, LONG VARCHAR, LONG VARGRAPHIC, DECFLOAT, DBCLOB
-STRING: BLOB, CLOB, NCLOB, BFILE, RAW, LONG, LONG RAW, ROWID, UROWID, XMLTYPE, URITYPE
-STRING: DATETIMEOFFSET, UNIQUEIDENTIFIER, MONEY, SMALLMONEY, TEXT, NTEXT, IMAGE, CURSOR, HIERARCHYID, SQL_VARIANT, TABLE, GEOGRAPHY, GEOMETRY, NVARCHAR, NCHAR
-STRING: YEAR, LONGTEXT, LONGBLOB, MEDIUMTEXT, MEDIUMBLOB, TINYTEXT, TINYBLOB
-STRING: OID, ARRAY, XID, MACADDR, UUID, REGPROC, PG_NODE_TREE, PG_LSN, ANYARRAY, NAME, BOX, BIGSERIAL, BYTEA, CHARACTER, CIDR, CIRCLE, JSON, JSONB
-STRING: LINE, LSEG, POINT, POLYGON, SMALLSERIAL, SERIAL, TSQUERY, TSVECTOR, TXID_SNAPSHOT
-"""
+LAKE_TYPES = {
+    "DECIMAL": ("D", "DECIMAL", "DEC", "NUMBER"),
+    "VARCHAR": ("CV", "VARCHAR", "VARCHAR2", "NVARCHAR2"),
+    "CHAR": ("CF", "CHAR"),
+    "TIMESTAMP": ("AT", "DA", "TS", "TIMESTAMP", "TIMESTMP", "DATETIME", "DATETIME2", "SMALLDATETIME"),
+    "TIMESTAMP_DATE": ("DATE", "TIMESTAMP_DATE"),
+    "INT": ("I", "I1", "N", "INT", "INTEGER", "MEDIUMINT", "BIT"),
+    "SMALLINT": ("I2", "SMALLINT"),
+    "BIGINT": ("I8", "BIGINT"),
+    "TINYINT": ("TINYINT",),
+    "FLOAT": ("FLOAT",),
+    "DOUBLE": ("F", "DOUBLE", "DOUBLE PRECISION"),
+    "BOOLEAN": ("BOOL", "BOOLEAN"),
+    "STRING": (
+        "A1", "AN", "BF", "BO", "BV", "CO", "DH", "DM", "DS", "DY", "HM", "HS", "HR", "JN", "MI", "MO", "MS", "PD",
+        "PM", "PS", "PT", "PZ", "SC", "SZ", "TZ", "UT", "XM", "YM", "YR", "++", "STRING", "NUMERIC", "REAL", "TIME",
+        "XML", "BINARY", "VARBINARY", "BINARY_FLOAT", "BINARY_DOUBLE", "INTERVAL", "TIMESTAMP(6) WITH TIME ZONE",
+        "TIMESTAMP(6) WITH LOCAL TIME ZONE", "TIMESTAMP WITH TIME ZONE", "TIMESTAMP WITHOUT TIME ZONE",
+        "INTERVAL YEAR(2) TO MONTH", "INTERVAL DAY(2) TO SECOND(6)", "GRAPHIC", "VARGRAPHIC", "LONG VARCHAR",
+        "LONG VARGRAPHIC", "DECFLOAT", "DBCLOB", "BLOB", "CLOB", "NCLOB", "BFILE", "RAW", "LONG", "LONG RAW",
+        "ROWID", "UROWID", "XMLTYPE", "URITYPE", "DATETIMEOFFSET", "UNIQUEIDENTIFIER", "MONEY", "SMALLMONEY", "TEXT",
+        "NTEXT", "IMAGE", "CURSOR", "HIERARCHYID", "SQL_VARIANT", "TABLE", "GEOGRAPHY", "GEOMETRY", "NVARCHAR",
+        "NCHAR", "YEAR", "LONGTEXT", "LONGBLOB", "MEDIUMTEXT", "MEDIUMBLOB", "TINYTEXT", "TINYBLOB", "OID", "ARRAY",
+        "XID", "MACADDR", "UUID", "REGPROC", "PG_NODE_TREE", "PG_LSN", "ANYARRAY", "NAME", "BOX", "BIGSERIAL",
+        "BYTEA", "CHARACTER", "CIDR", "CIRCLE", "JSON", "JSONB", "LINE", "LSEG", "POINT", "POLYGON", "SMALLSERIAL",
+        "SERIAL", "TSQUERY", "TSVECTOR", "TXID_SNAPSHOT",
+    ),
+}
 # Decimal size where the vendor gives no precision; the scale keeps fractions.
 MOST_PRECISION = 38
 DEFAULT_PRECISION, DEFAULT_SCALE = MOST_PRECISION, 18
@@ -45,11 +49,7 @@ SIZED = ("DECIMAL", "VARCHAR", "CHAR")
 
 def pairs() -> dict[str, str]:
     """Vendor type -> lake type."""
-    found = {}
-    for line in LAKE_TYPES.strip().splitlines():
-        lake, vendor_types = line.split(": ")
-        found.update({t: lake for t in vendor_types.split(", ")})
-    return found
+    return {t: lake for lake, vendor_types in LAKE_TYPES.items() for t in vendor_types}
 
 
 def first_word(data_type: Column) -> Column:

@@ -98,16 +98,17 @@ def without_system_columns(df: DataFrame) -> DataFrame:
 
 # Vendor types that land as text whatever the driver offers.
 TEXT_TIMESTAMPS = (
-    "AT, DA, TS, DATE, TIMESTAMP, TIMESTAMP WITH TIME ZONE, TIMESTAMP WITH LOCAL TIME ZONE, "
-    "INTERVAL YEAR TO MONTH, INTERVAL DAY TO SECOND, TIMESTAMP(6), TIMESTAMP(6) WITH TIME ZONE, "
-    "TIMESTMP, DATETIME, TIME, YEAR"
-).split(", ")
+    "AT", "DA", "TS", "DATE", "TIMESTAMP", "TIMESTAMP WITH TIME ZONE", "TIMESTAMP WITH LOCAL TIME ZONE",
+    "INTERVAL YEAR TO MONTH", "INTERVAL DAY TO SECOND", "TIMESTAMP(6)", "TIMESTAMP(6) WITH TIME ZONE", "TIMESTMP",
+    "DATETIME", "TIME", "YEAR",
+)
 TEXT_LOBS = (
-    "CLOB, DBCLOB, BLOB, NCLOB, TEXT, NTEXT, IMAGE, FILESTREAM, BFILE, XMLTYPE, LONG, LONG RAW, RAW, "
-    "UROWID, ROWID, URITYPE, BINARY_FLOAT, BINARY_DOUBLE, OID, ARRAY, XID, MACADDR, UUID, NAME, REGPROC, "
-    "PG_NODE_TREE, PG_LSN, ANYARRAY, BOX, BIGSERIAL, BYTEA, CHARACTER, CIDR, CIRCLE, JSON, JSONB, LINE, "
-    "LSEG, POINT, POLYGON, REAL, SMALLSERIAL, SERIAL, TSQUERY, TSVECTOR, TXID_SNAPSHOT"
-).split(", ")
+    "CLOB", "DBCLOB", "BLOB", "NCLOB", "TEXT", "NTEXT", "IMAGE", "FILESTREAM", "BFILE", "XMLTYPE", "LONG",
+    "LONG RAW", "RAW", "UROWID", "ROWID", "URITYPE", "BINARY_FLOAT", "BINARY_DOUBLE", "OID", "ARRAY", "XID",
+    "MACADDR", "UUID", "NAME", "REGPROC", "PG_NODE_TREE", "PG_LSN", "ANYARRAY", "BOX", "BIGSERIAL", "BYTEA",
+    "CHARACTER", "CIDR", "CIRCLE", "JSON", "JSONB", "LINE", "LSEG", "POINT", "POLYGON", "REAL", "SMALLSERIAL",
+    "SERIAL", "TSQUERY", "TSVECTOR", "TXID_SNAPSHOT",
+)
 TEXT_TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 

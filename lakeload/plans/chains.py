@@ -81,21 +81,21 @@ def _passed(stages: DataFrame) -> bool:
 
 def _mark(spark: SparkSession, table: Table, at: dt.datetime) -> None:
     tables = spark.createDataFrame([(table.domain, table.name)], "domain string, `table` string")
-    stores.record_audit(spark, f"{table.audit_root}/ingest", audit.in_progress(tables, _text(at)), _text(at))
+    stores.replace_audit(spark, f"{table.audit_root}/ingest", audit.in_progress(tables, _text(at)), _text(at))
 
 
 def _text(at: dt.datetime) -> str:
     return at.strftime("%Y-%m-%d %H:%M:%S")
 
 
-def _record(spark: SparkSession, table: Table, at: dt.datetime, state: int, **known) -> DataFrame:
+def _record(spark: SparkSession, table: Table, at: dt.datetime, state: int, **known) -> None:
     shape = spark.createDataFrame([], audit.AUDIT).schema
     row = {
         "directory": table.folders.root, "ingest_timestamp": _text(at), "lifespan": table.lifespan, "ack": 0, "cleaned": 0,
         "current_repull": state, "domain": table.domain, "table": table.name, **known,
     }
     changes = spark.createDataFrame([[row.get(f.name) for f in shape.fields]], shape)
-    return stores.record_audit(spark, f"{table.audit_root}/ingest", changes, _text(at))
+    stores.replace_audit(spark, f"{table.audit_root}/ingest", changes, _text(at))
 
 
 def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
@@ -137,6 +137,7 @@ def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
         spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=publish.folder_bytes(spark, to.landing),
         parquet_time=int(time.monotonic() - pulled), parquet_size=publish.folder_bytes(spark, to.live),
     )
+    publish.delete(spark, to.landing)
     return verdict
 
 
@@ -163,7 +164,7 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
             staged = publish.write_stage(typed, to.stage)
             _require_whole(table, seen)
             merged = publish.merge_partition(staged, to.live)
-            _show(spark, table, merged)
+            _show(spark, table, merged, project.load_stamp(at, full=False))
     except Exception:
         _record(spark, table, at, audit.FAILED)
         raise
@@ -171,13 +172,19 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
         spark, table, at, audit.DONE, rows=extracted, pull_time=int(pulled - began), avro_size=publish.folder_bytes(spark, to.landing),
         parquet_time=int(time.monotonic() - pulled), parquet_size=publish.folder_bytes(spark, to.live),
     )
+    publish.delete(spark, to.landing)
     return extracted
 
 
-def _show(spark: SparkSession, table: Table, rows: DataFrame) -> None:
+def _show(spark: SparkSession, table: Table, rows: DataFrame, stamp: str | None = None) -> None:
+    """Make the load visible: an increment adds its one partition, a full load brings all up to date."""
     if not table.live_table:
         return
-    publish.register_live(spark, table.live_table, table.folders.live, rows.schema)
+    if stamp and spark.catalog.tableExists(table.live_table):
+        publish.add_partition(spark, table.live_table, stamp)
+        spark.catalog.refreshTable(table.live_table)
+    else:
+        publish.register_live(spark, table.live_table, table.folders.live, rows.schema)
     for view in table.views:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {view}")
         views.view_over(spark, f"{view}.{table.live_table.split('.')[-1]}", table.live_table)
@@ -206,7 +213,7 @@ def export_out(
         "current_repull": audit.DONE if outcome.count_ok else audit.FAILED,
     }
     changes = spark.createDataFrame([[row.get(f.name) for f in shape.fields]], shape)
-    stores.record_audit(
+    stores.replace_audit(
         spark, f"{table.audit_root}/export", changes, _text(at), audit.EXPORT_AUDIT, audit.EXPORT_KEYS, "export_timestamp"
     )
     return checked

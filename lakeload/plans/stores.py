@@ -6,7 +6,9 @@ nothing else, so loads of different tables can keep their rows at the same time.
 
 from __future__ import annotations
 
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,6 +29,26 @@ def read_store(spark: SparkSession, root: str, schema: str, folder: str = "curre
     return stored.select(*[f"`{c}`" for c in columns])
 
 
+# Values that stand in a partition's folder name as they are.
+PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
+FEW_KEYS = 1_000
+COPIES_AT_ONCE = 8
+
+
+def read_keys(spark: SparkSession, root: str, schema: str, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The stored rows of the keys in ``wanted``. Few keys are read from their own folders, no other is listed."""
+    values = wanted.select(*keys).distinct().limit(FEW_KEYS + 1).collect()
+    if len(values) > FEW_KEYS or not all(isinstance(v, str) and PLAIN.fullmatch(v) for row in values for v in row):
+        return read_store(spark, root, schema)
+    folders = ["/".join([f"{root}/current", *[f"{k}={v}" for k, v in zip(keys, row)]]) for row in values]
+    there = [f for f in folders if publish.exists(spark, f)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    columns = spark.createDataFrame([], schema).columns
+    stored = spark.read.schema(schema).option("basePath", f"{root}/current").parquet(*there)
+    return stored.select(*[f"`{c}`" for c in columns])
+
+
 def put_rows(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Replace the rows of the given keys; one file per key."""
     (
@@ -43,21 +65,30 @@ def upsert_store(spark: SparkSession, root: str, changes: DataFrame, keys: list[
     return read_store(spark, root, schema)
 
 
-def record_audit(
+def replace_audit(
     spark: SparkSession, root: str, changes: DataFrame, archived_at: str,
     schema: str = audit.AUDIT, keys: list[str] = audit.KEYS, time_column: str = "ingest_timestamp",
-) -> DataFrame:
-    """Replace the audit rows of the given tables; the replaced rows go to the history first.
+) -> None:
+    """Replace the audit rows of the given tables; the replaced rows go to the history first. Other tables are not looked at.
 
     An archived row is kept under its own time and state. A run that is repeated after a
     failure so writes the row it archived before again, and never over another one.
     """
-    current = read_store(spark, root, schema)
+    current = read_keys(spark, root, schema, keys, changes)
     history = current.withColumn(ARCHIVED_AT, F.lit(archived_at)).limit(0)
     replaced = audit.to_history(history, current, changes, archived_at, keys)
     named = replaced.withColumn(ARCHIVED_ROW, F.concat_ws(" ", F.lit("row"), time_column, "current_repull"))
     put_rows(named, f"{root}/history", [*keys, ARCHIVED_ROW])
-    return upsert_store(spark, root, changes, keys, schema)
+    put_rows(changes, f"{root}/current", keys)
+
+
+def record_audit(
+    spark: SparkSession, root: str, changes: DataFrame, archived_at: str,
+    schema: str = audit.AUDIT, keys: list[str] = audit.KEYS, time_column: str = "ingest_timestamp",
+) -> DataFrame:
+    """``replace_audit``, and the rows of all tables after it."""
+    replace_audit(spark, root, changes, archived_at, schema, keys, time_column)
+    return read_store(spark, root, schema)
 
 
 def read_history(spark: SparkSession, root: str, schema: str = audit.AUDIT) -> DataFrame:
@@ -93,13 +124,20 @@ def log_lines(rows: DataFrame) -> DataFrame:
 def rebuild_team(spark: SparkSession, registry: DataFrame, team: str, live_root: str, team_root: str) -> list[str]:
     """Copy every table of a team space anew and swap it in; gives the names of the tables.
 
-    One job per table, as each is a table of its own; the list of names is all the driver holds.
+    One job per table, as each is a table of its own; a few run side by side, so that small
+    tables do not wait for each other. Tables that are no longer the team's go afterwards.
     """
-    done = []
-    for row in teams.members(registry, team).select("full_table_name").distinct().toLocalIterator():
-        name = row.full_table_name
+    names = sorted(r.full_table_name for r in teams.members(registry, team).select("full_table_name").distinct().toLocalIterator())
+
+    def copy(name: str) -> None:
         live = spark.read.parquet(f"{live_root}/{name}")
         views.copy_full(live, f"{team_root}/{name}_next")
         publish.swap(spark, f"{team_root}/{name}_next", f"{team_root}/{name}", f"{team_root}/{name}_backup")
-        done.append(name)
-    return done
+
+    with ThreadPoolExecutor(COPIES_AT_ONCE) as pool:
+        list(pool.map(copy, names))
+    kept = {f"{name}{end}" for name in names for end in ("", "_backup")}
+    for folder in publish.folders(spark, team_root):
+        if folder not in kept:
+            publish.delete(spark, f"{team_root}/{folder}")
+    return names

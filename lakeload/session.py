@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
@@ -20,6 +21,7 @@ RUNTIME_CONF = {
 }
 
 _local_shared: dict[str, str] = {}
+_scratched: dict[str, list[str]] = {}
 
 
 def build(app: str = "lakeload", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -45,10 +47,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
-MOST_SHUFFLE_PARTITIONS = 30_000
+# 200,000 partitions of 256 MB are 51 TB; at 100 TB one is 512 MB, which still fits an executor. More is the caller's to allow.
+MOST_SHUFFLE_PARTITIONS = 200_000
 
 
-def size_shuffles(df: DataFrame, per_partition: int = BYTES_PER_SHUFFLE_PARTITION) -> int:
+def size_shuffles(df: DataFrame, per_partition: int = BYTES_PER_SHUFFLE_PARTITION, most: int = MOST_SHUFFLE_PARTITIONS) -> int:
     """Raise the number of shuffle partitions to fit what ``df`` reads; it is never lowered.
 
     Adaptive execution merges partitions that turn out small but does not add any, so the
@@ -60,7 +63,10 @@ def size_shuffles(df: DataFrame, per_partition: int = BYTES_PER_SHUFFLE_PARTITIO
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= 1 << 60:
         return current
-    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-size // per_partition))
+    wanted = -(-size // per_partition)
+    if wanted > most:
+        logging.getLogger(__name__).warning("%d shuffle partitions wanted for %d bytes, %d allowed", wanted, size, most)
+        wanted = most
     if wanted > current:
         conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)
@@ -85,7 +91,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _scratched.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch folders this session has made, once its results are stored elsewhere; gives their number."""
+    paths = _scratched.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

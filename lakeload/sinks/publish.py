@@ -29,6 +29,13 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"could not rename {old} to {new}")
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder; none where it is not there."""
+    if not exists(spark, path):
+        return []
+    return sorted(s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path)) if s.isDirectory())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
@@ -127,7 +134,14 @@ def columns_ddl(schema: T.StructType) -> str:
 
 
 def register_live(spark: SparkSession, table: str, path: str, schema: T.StructType) -> DataFrame:
-    """External partitioned table over the live folder, with its partitions discovered."""
+    """External partitioned table over the live folder, with its partitions discovered.
+
+    A table that already has this place and these columns stays, so that readers always find
+    one; its partitions are brought up to date.
+    """
+    if _is_registered(spark, table, path, schema):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        return spark.table(table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE {table} ({columns_ddl(_with_partition(schema))}) USING parquet "
@@ -137,6 +151,21 @@ def register_live(spark: SparkSession, table: str, path: str, schema: T.StructTy
     return spark.table(table)
 
 
+def _is_registered(spark: SparkSession, table: str, path: str, schema: T.StructType) -> bool:
+    if not spark.catalog.tableExists(table):
+        return False
+    wanted = [(f.name, f.dataType) for f in _with_partition(schema).fields]
+    if [(f.name, f.dataType) for f in spark.table(table).schema.fields] != wanted:
+        return False
+    place = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
+    return place is not None and _path(spark, place[0]).toUri().getPath() == _path(spark, path).toUri().getPath()
+
+
+def add_partition(spark: SparkSession, table: str, stamp: str) -> None:
+    """Register the one partition a load has written; no other is looked at."""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({PARTITION}='{stamp}')")
+
+
 def register_plain(spark: SparkSession, table: str, path: str) -> DataFrame:
     """External table over a folder or file of Parquet, without a copy of its rows."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -175,7 +204,7 @@ def partition_sizes(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
     )
     base = _fs(spark, root).makeQualified(_path(spark, root)).toString()
-    inside = F.substring("path", len(base) + 2, 100_000)
+    inside = F.expr(f"substring(path, {len(base) + 2})")
     partition = f"(?:^|/){PARTITION}=([^/]+)/"
     listed = files.select(
         F.regexp_extract(inside, f"^(.*?){partition}", 1).alias("directory"),

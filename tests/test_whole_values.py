@@ -12,6 +12,8 @@ from lakeload.operators.project import Field
 from lakeload.plans import chains, stores
 from lakeload.plans.chains import QualityError, Table
 from lakeload.plans.loads import Folders
+from lakeload.plans.steps import unique_name
+from lakeload.sinks import publish
 
 AT = dt.datetime(2016, 1, 1, 10)
 
@@ -127,3 +129,65 @@ def test_a_table_with_times_and_fixed_text_can_be_exported(spark, folder):
     table = Table("db2", "crm", "customer", [Field(f.name.lower(), f.data_type, f.char_length) for f in fields], Folders(f"{folder}/customer"), f"{folder}/audit")
     check = chains.export_out(lake, spark.createDataFrame(target, columns), f"{folder}/out", table, AT).first()
     assert check.count_ok
+
+
+def test_a_change_reads_its_own_tables_folder_alone(spark, folder, monkeypatch):
+    shape = spark.createDataFrame([], audit.AUDIT).schema
+    row = lambda name, n: spark.createDataFrame([[{"domain": "d", "table": name, "rows": n}.get(f.name) for f in shape.fields]], shape)
+    for name in ("t", "u", "name with space"):
+        stores.replace_audit(spark, folder, row(name, 1), "2016-01-01")
+    monkeypatch.setattr(stores, "read_store", lambda *a, **k: pytest.fail("the whole store was listed"))
+    stores.replace_audit(spark, folder, row("t", 2), "2016-01-02")
+    kept = stores.read_keys(spark, folder, audit.AUDIT, audit.KEYS, row("t", 0)).collect()
+    assert [(r.table, r.rows) for r in kept] == [("t", 2)]
+    monkeypatch.undo()
+    assert {r.table: r.rows for r in stores.read_store(spark, folder, audit.AUDIT).collect()} == {"t": 2, "u": 1, "name with space": 1}
+    assert [r.rows for r in stores.read_history(spark, folder).collect()] == [1]
+
+
+def test_the_landing_goes_once_it_is_published(spark, folder):
+    table = _table(folder, [Field("ID", "NUMBER", None, 5, 0)], check_column="ID")
+    chains.ingest_full(spark.createDataFrame([("1",)], "ID string"), table, AT)
+    assert not publish.exists(spark, table.folders.landing)
+    assert chains.ingest_increment(spark.createDataFrame([(1,), (2,)], "ID int"), table, AT + dt.timedelta(days=1)) == 1
+    assert not publish.exists(spark, table.folders.landing)
+
+
+def test_a_full_ceiling_of_shuffle_partitions_is_told(spark, caplog):
+    from lakeload.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark.range(10_000), per_partition=1, most=int(before))
+    assert "shuffle partitions wanted" in caplog.text and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_table_that_left_a_team_goes_from_its_space(spark, folder):
+    for name in ("d_t", "d_u"):
+        publish.write_stage(spark.range(2).selectExpr("id", "'x' ingest_timestamp", "'full_1' incr_ingest_timestamp"), f"{folder}/live/{name}")
+    rows = lambda *names: spark.createDataFrame([(n, "team_a") for n in names], "full_table_name string, views string")
+    assert stores.rebuild_team(spark, rows("d_t", "d_u"), "team_a", f"{folder}/live", f"{folder}/team") == ["d_t", "d_u"]
+    assert stores.rebuild_team(spark, rows("d_t"), "team_a", f"{folder}/live", f"{folder}/team") == ["d_t"]
+    assert publish.folders(spark, f"{folder}/team") == ["d_t", "d_t_backup"]
+
+
+def test_a_live_table_stays_registered_through_loads(spark, folder):
+    name = unique_name("live")
+    rows = lambda n, stamp: spark.range(n).selectExpr("id", f"'{stamp}' incr_ingest_timestamp")
+    publish.write_stage(rows(2, "full_1"), f"{folder}/t")
+    publish.register_live(spark, name, f"{folder}/t", rows(1, "x").schema)
+    publish.merge_partition(rows(3, "20160102100000"), f"{folder}/t")
+    publish.add_partition(spark, name, "20160102100000")
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 5
+    publish.write_stage(rows(4, "full_2"), f"{folder}/t")
+    assert publish.register_live(spark, name, f"{folder}/t", rows(1, "x").schema).count() == 4
+    assert publish.register_live(spark, name, f"{folder}/t", spark.range(1).selectExpr("id AS other", "'x' incr_ingest_timestamp").schema).columns[0] == "other"
+
+
+def test_scratch_folders_can_be_released(spark):
+    from lakeload import session
+
+    spark.range(3).write.parquet(session.scratch(spark, "released"))
+    path = session._scratched[spark.sparkContext.applicationId][-1]
+    session._scratched[spark.sparkContext.applicationId] = [path]
+    assert publish.exists(spark, path) and session.release(spark) == 1 and not publish.exists(spark, path)
