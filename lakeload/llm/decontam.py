@@ -188,7 +188,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                     ["doc_id", "item_id", "similarity", "first_word", "n_words"],
                 )
 
-        return bytestext.small_batches(narrow).mapInArrow(search, schema)
+        return bytestext.small_batches(narrow).mapInArrow(bytestext.tidy(search), schema)
 
     out = documents.sparkSession.createDataFrame([], schema)
     for items in read_items(benchmark):
@@ -212,5 +212,5 @@ def clean(documents: DataFrame, benchmark: DataFrame, text_column: str = "text")
                 mask[leaking] = False
                 yield batch.filter(pa.array(mask))
 
-        out = bytestext.small_batches(out).mapInArrow(keep, documents.schema)
+        out = bytestext.small_batches(out).mapInArrow(bytestext.tidy(keep), documents.schema)
     return out

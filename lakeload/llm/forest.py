@@ -83,7 +83,7 @@ def signatures(keyed: DataFrame) -> DataFrame:
                 ["doc_id", "th", "n_shingles", "d1", "d2", "s1", "s2", "label"],
             )
 
-    return bytestext.small_batches(keyed).mapInArrow(sign, SIGNED)
+    return bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(sign), SIGNED)
 
 
 def classes(signed: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def sets_of(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
 
     wanted = nodes.select(F.col("node.doc_id").alias("doc_id"), F.col("node.th").alias("th"))
     texts = keyed.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
-    return texts.select("doc_id", "th", "text").mapInArrow(collect, "doc_id long, th long, shingles binary").select(F.struct("doc_id", "th").alias("node"), "shingles")
+    return texts.select("doc_id", "th", "text").mapInArrow(bytestext.tidy(collect), "doc_id long, th long, shingles binary").select(F.struct("doc_id", "th").alias("node"), "shingles")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     out = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
     out = out.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a").select("a", "b", "_a", "_b")
     kind = "struct<doc_id:bigint,th:bigint>"
-    return out.mapInArrow(check, f"a {kind}, b {kind}")
+    return out.mapInArrow(bytestext.tidy(check), f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -23,10 +23,10 @@ from tokenizers import Tokenizer
 
 from lakeload.session import settle
 
-from .bytestext import small_batches
+from .bytestext import small_batches, tidy
 
-#: Distinct words whose ids a Python worker remembers.
-REMEMBERED = 800_000
+#: Distinct words whose ids a task remembers; beyond that, and from task to task, those met at least so often are kept.
+REMEMBERED, OFTEN = 600_000, 2
 #: White space as the tokenizer's \s has it; str.split() also cuts at the four separators below 0x20.
 ODD = regex.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -62,9 +62,30 @@ class WordIds:
     def forget(self) -> None:
         self.places = Places()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.begins, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.begins, self.sizes, self.met = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.used = 0
 
+    def keep_frequent(self) -> None:
+        """Forget the words met less than OFTEN, and start counting anew; all of them if too many are left."""
+        known = np.flatnonzero(self.met[: len(self.places)] >= OFTEN)
+        words, begins, sizes, ids = list(self.places), self.begins[known], self.sizes[known], self.ids
+        self.forget()
+        if len(known) > REMEMBERED // 2:
+            return
+        for k in known.tolist():
+            self.places[words[k]] = len(self.places)
+        ends = np.cumsum(sizes)
+        self.used = int(ends[-1]) if len(ends) else 0
+        self._grow()
+        self.ids[: self.used] = ids[np.arange(self.used) + np.repeat(begins - ends + sizes, sizes)]
+        self.begins[: len(known)], self.sizes[: len(known)] = ends - sizes, sizes
+
+    def _grow(self, more: int = 0) -> None:
+        while self.used + more > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.places) > len(self.begins):
+            self.begins, self.sizes, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begins, self.sizes, self.met))
+
     def learn(self) -> None:
         """Encode the new words: letters, with or without one point, in one text, cut after ids that end a pre-token; others one by one."""
         words, self.places.new = self.places.new, []
@@ -83,10 +104,7 @@ class WordIds:
         encoded = self._encode([words[k] for k in other.tolist()])
         sizes[other] = np.fromiter(map(len, encoded), np.int64, len(encoded))
         total = len(flat) + int(sizes[other].sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.places) > len(self.begins):
-            self.begins, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begins, self.sizes))
+        self._grow(total)
         self.ids[self.used : self.used + len(flat)] = flat
         self.ids[self.used + len(flat) : self.used + total] = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, total - len(flat))
         order = np.concatenate([plain, other])
@@ -99,13 +117,16 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.places) > REMEMBERED:
-            self.forget()
+            self.keep_frequent()
         find, places = self.places.__getitem__, []
         for text in texts:
             words = SPACE.split(text) if ODD.search(text) else text.split()
             places.append(np.fromiter(map(find, words), np.int64, len(words)))
         if self.places.new:
             self.learn()
+        if places:
+            times = np.bincount(np.concatenate(places), minlength=1)
+            self.met[: len(times)] += times
         out = []
         for at in places:
             begin, size = self.begins[at], self.sizes[at]
@@ -148,9 +169,10 @@ def cut(documents: DataFrame, tokenizer: str, length: int, end_id: int, id_colum
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        encoder.keep_frequent()
 
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    out = small_batches(narrow).mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = small_batches(narrow).mapInArrow(tidy(pieces), "doc_id long, piece int, start long, length long, ids_crc32 long")
     return out.withColumns({"block": F.spark_partition_id().cast("long"), "item": F.monotonically_increasing_id()})
 
 

@@ -162,7 +162,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text
             out = [features[b:e].tobytes() for _, features, begins in encoded(batch.column(1)) for b, e in zip(begins[:-1], begins[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], ["id", "y", "bag"])
 
-    sample = bytestext.small_batches(texts.select("_id", "text", "_y")).mapInArrow(bags, "id long, y int, bag binary").toArrow()
+    sample = bytestext.small_batches(texts.select("_id", "text", "_y")).mapInArrow(bytestext.tidy(bags), "id long, y int, bag binary").toArrow()
     order = np.lexsort([sample.column(1).to_numpy(), sample.column(0).to_numpy()])
     stored = [np.frombuffer(sample.column(2)[int(k)].as_py(), np.float32).reshape(-1, FEATURES) for k in order]
     features = np.concatenate(stored) if stored else np.zeros((0, FEATURES), np.float32)
@@ -189,7 +189,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(model, batch.column(1)))], ["doc_id", "score"])
 
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = bytestext.small_batches(narrow).mapInArrow(rate, "doc_id long, score double")
+    out = bytestext.small_batches(narrow).mapInArrow(bytestext.tidy(rate), "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -201,4 +201,4 @@ def accepted(documents: DataFrame, model: Model, least: float = 0.5) -> DataFram
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch.column(at)) >= least))
 
-    return bytestext.small_batches(documents).mapInArrow(keep, documents.schema)
+    return bytestext.small_batches(documents).mapInArrow(bytestext.tidy(keep), documents.schema)

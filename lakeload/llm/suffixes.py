@@ -90,9 +90,8 @@ def anchored(documents: DataFrame, common: np.ndarray) -> DataFrame:
                      pa.array(_packed(low - first, high - first, at - first)), pa.array(salt.astype(np.int8))],
                     ["anchor", "string", "ord", "place", "salt"],
                 )
-        pa.default_memory_pool().release_unused()
 
-    return documents.select("ord", "text").mapInArrow(find, "anchor long, string long, ord long, place long, salt byte")
+    return documents.select("ord", "text").mapInArrow(bytestext.tidy(find), "anchor long, string long, ord long, place long, salt byte")
 
 
 def common_anchors(documents: DataFrame) -> np.ndarray:
@@ -135,7 +134,7 @@ def collapsed(strings: DataFrame, by: list[str]) -> DataFrame:
             last = anchor[-1], salt[-1], string[-1]
             yield _with_copy(batch.filter(pa.array(emit)), ~fresh[emit])
 
-    return strings.repartition(*by).sortWithinPartitions(*by, "anchor", "string", "ord", "place").mapInArrow(pick, FOUND)
+    return strings.repartition(*by).sortWithinPartitions(*by, "anchor", "string", "ord", "place").mapInArrow(bytestext.tidy(pick), FOUND)
 
 
 def _with_copy(batch: pa.RecordBatch, copy: np.ndarray) -> pa.RecordBatch:
@@ -161,7 +160,7 @@ def extracted(documents: DataFrame, strings: DataFrame) -> DataFrame:
             )
 
     joined = documents.join(wanted, "ord").select("ord", "packed", "wanted")
-    return joined.mapInArrow(cut, "anchor long, ord long, place long, bytes binary")
+    return joined.mapInArrow(bytestext.tidy(cut), "anchor long, ord long, place long, bytes binary")
 
 
 def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,9 +275,8 @@ def repeats_by_merge(strings: DataFrame) -> DataFrame:
                 size += len(row[3]) - ANCHOR + 2
         if held:
             yield _as_runs(*_repeats(held))
-        pa.default_memory_pool().release_unused()
 
-    return strings.repartition("anchor").sortWithinPartitions("anchor", "ord", "place").mapInArrow(merge, REPEATS)
+    return strings.repartition("anchor").sortWithinPartitions("anchor", "ord", "place").mapInArrow(bytestext.tidy(merge), REPEATS)
 
 
 def repeats_by_window(strings: DataFrame) -> DataFrame:
@@ -295,7 +293,7 @@ def repeats_by_window(strings: DataFrame) -> DataFrame:
                     ["key", "ord", "start"],
                 )
 
-    rows = settle(strings.mapInArrow(spread, "key binary, ord long, start long"), "windows")
+    rows = settle(strings.mapInArrow(bytestext.tidy(spread), "key binary, ord long, start long"), "windows")
     first = rows.groupBy("key").agg(F.min(F.struct("ord", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = rows.join(first, "key").where(F.struct("ord", "start") > F.col("first"))
     return later.select("ord", "start", (F.col("start") + LENGTH).alias("stop"))
@@ -346,7 +344,7 @@ def packed_texts(documents: DataFrame) -> DataFrame:
             texts = batch.column(2).fill_null("").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packer.compress(t) for t in texts], pa.binary())], ["ord", "doc_id", "packed"])
 
-    return documents.select("ord", "doc_id", "text").mapInArrow(pack, "ord long, doc_id long, packed binary")
+    return documents.select("ord", "doc_id", "text").mapInArrow(bytestext.tidy(pack), "ord long, doc_id long, packed binary")
 
 
 def cut_out(text: bytes, runs: np.ndarray) -> tuple[bytes, int]:
@@ -383,7 +381,7 @@ def with_kept(documents: DataFrame) -> DataFrame:
                 ["ord", "doc_id", "kept", "n_bytes", "n_spans"],
             )
 
-    return joined.mapInArrow(cut, "ord long, doc_id long, kept binary, n_bytes long, n_spans long")
+    return joined.mapInArrow(bytestext.tidy(cut), "ord long, doc_id long, kept binary, n_bytes long, n_spans long")
 
 
 def deduplicated(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -410,6 +408,6 @@ def with_texts_cut(documents: DataFrame, id_column: str = "doc_id", text_column:
             texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["ord", "_text"])
 
-    texts = with_kept(rows).select("ord", "kept").mapInArrow(read, "ord long, _text string")
+    texts = with_kept(rows).select("ord", "kept").mapInArrow(bytestext.tidy(read), "ord long, _text string")
     both = texts.join(rows.select("ord", "row"), "ord")
     return both.select(*[F.col("_text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in documents.columns])

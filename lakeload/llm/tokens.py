@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bytestext import small_batches
+from .bytestext import small_batches, tidy
 
 # Fixed value: the pattern by which byte-level tokenizers of this kind split a text before merging.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -103,5 +103,5 @@ def count_tokens(documents: DataFrame, tokenizer: str, limit: int, id_column: st
             )
 
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    counted = small_batches(narrow).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    counted = small_batches(narrow).mapInArrow(tidy(count), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
