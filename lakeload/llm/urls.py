@@ -141,7 +141,7 @@ def fit(labelled: DataFrame, trees: int = 12, depth: int = 2, bins: int = 8, rat
     model = Model(edges, shares, math.log(prior / (1 - prior)))
     if not 0 < y < n:
         return model
-    cells = settle(model.binned(labelled).groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).coalesce(1), "cells")
+    cells = settle(model.binned(labelled).groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")), "cells")
     for _ in range(trees):
         model.trees.append(_grow(cells, model.margin(), depth, rate, ridge))
     return model
