@@ -36,6 +36,8 @@ COLLECTION, SHARD = 1 << 18, 1 << 16
 #: Documents looked at for anchors so common that their rows are dealt out further, and how many must hold one. Balance only.
 SAMPLE_DOCUMENTS, COMMON = 20_000, 200
 SALTS = 64
+#: Tasks that the strings of one common anchor are dealt to.
+CHUNKS = 8
 
 _GOLDEN, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -280,23 +282,46 @@ def repeats_by_merge(strings: DataFrame) -> DataFrame:
 
 
 def repeats_by_window(strings: DataFrame) -> DataFrame:
-    """The same for anchors that are too common for one task: every window is a row, the first of equal ones is their minimum."""
+    """The same for anchors that are too common for one task: the first of equal windows is their minimum.
+
+    An anchor's strings are dealt into chunks. A chunk, sorted, hands on the first of its equal
+    windows; the others are repeats already and leave as runs.
+    """
 
     def spread(batches):
+        anchor, seen = None, set()
         for batch in batches:
-            for anchor, order, place, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                del anchor
+            keys, orders, starts, repeated = [], [], [], ([], [])
+            for own, order, place, text, chunk in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if (own, chunk) != anchor:
+                    anchor, seen = (own, chunk), set()
                 low, extra = place >> 16, (place >> 8) & 255
-                keys = [hashlib.blake2b(text[k : k + LENGTH], digest_size=16).digest() for k in range(extra + 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array([order] * len(keys), pa.int64()), pa.array(range(low, low + len(keys)), pa.int64())],
-                    ["key", "ord", "start"],
-                )
-
-    rows = settle(strings.mapInArrow(bytestext.tidy(spread), "key binary, ord long, start long"), "windows")
+                for k in range(extra + 1):
+                    key = hashlib.blake2b(text[k : k + LENGTH], digest_size=16).digest()
+                    if key in seen:
+                        repeated[0].append(order)
+                        repeated[1].append(low + k)
+                    else:
+                        seen.add(key)
+                        keys.append(key)
+                        orders.append(order)
+                        starts.append(low + k)
+            runs = _as_runs(*(np.array(r, np.int64) for r in repeated))
+            stops = [s + LENGTH for s in starts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*keys, *[None] * len(runs)], pa.binary()), pa.array([*orders, *runs.column(0).to_pylist()], pa.int64()),
+                 pa.array([*starts, *runs.column(1).to_pylist()], pa.int64()), pa.array([*stops, *runs.column(2).to_pylist()], pa.int64())],
+                ["key", "ord", "start", "stop"],
+            )
+
+    chunks = strings.withColumn("chunk", F.pmod(F.xxhash64("ord"), F.lit(CHUNKS)))
+    sorted_ = chunks.repartition("anchor", "chunk").sortWithinPartitions("anchor", "chunk", "ord", "place")
+    rows = settle(sorted_.mapInArrow(bytestext.tidy(spread), f"key binary, {REPEATS}"), "windows")
+    known = rows.where("key IS NULL").drop("key")
+    rows = rows.where("key IS NOT NULL")
     first = rows.groupBy("key").agg(F.min(F.struct("ord", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = rows.join(first, "key").where(F.struct("ord", "start") > F.col("first"))
-    return later.select("ord", "start", (F.col("start") + LENGTH).alias("stop"))
+    return known.union(later.select("ord", "start", "stop"))
 
 
 def in_order(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
