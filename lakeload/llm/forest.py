@@ -3,7 +3,8 @@
 In each order (tree) a document's neighbours are those whose labels share the longest prefix
 with its own; they are the candidates. A region, all labels with one prefix, is looked at
 two hashes deep where it is small and deeper where it is crowded. Candidates are confirmed on
-the full shingle sets, and links are joined into components.
+the full shingle sets, and links are joined into components. What neighbours miss is then
+looked up exactly: sets of different components meet at their rarest shingles.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ NEIGHBOURS = 6
 #: Of the sketch's 96 bits so many may differ; 0.75 alike texts differ in 12 on average, the deviation is 3.2.
 SKETCH_BITS = 26
 NOBODY = (1 << 63) - 1
+#: Buckets that shingles are counted in, by their highest bits, to tell frequent ones.
+BUCKET_BITS = 20
+#: Bits in which a set's shingles are counted modulo two; bits that differ are at most the shingles that do.
+PARITY_BITS = 512
 
 _FACTORS = bytestext.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = bytestext.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) + np.uint64(1 << 32))
@@ -208,11 +213,106 @@ def link(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     return links.union(settle(confirmed(rest, sets), "links"))
 
 
+def frequent(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of shingles that stand out in some task, with their counts. They set an order only, results do not rest on them."""
+
+    def count(batches):
+        times = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            for _, hashes, _ in shingle_sets(batch.column(2)):
+                times += np.bincount((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(times))
+        often = np.flatnonzero(times > 2 * times.mean() + 8)
+        yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(times[often])], ["bucket", "times"])
+
+    counted = bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(count), "bucket long, times long")
+    table = counted.groupBy("bucket").agg(F.sum("times").alias("times")).toArrow()
+    return table.column(0).to_numpy(), table.column(1).to_numpy()
+
+
+def rarest(keyed: DataFrame, buckets: np.ndarray, times: np.ndarray) -> DataFrame:
+    """The first shingles of each text in one order of all shingles, rare before frequent: one more than a set 0.75 alike may lack.
+
+    ``cold`` of them are not in a frequent bucket; these come first. ``parity`` is of the whole set.
+    """
+
+    def pick(batches):
+        weights = np.zeros(1 << BUCKET_BITS, np.int64)
+        weights[buckets] = times
+        for batch in batches:
+            cold, found, parity = [], [], []
+            for _, hashes, begins in shingle_sets(batch.column(2)):
+                for b, e in zip(begins[:-1], begins[1:], strict=True):
+                    own = np.unique(hashes[b:e])
+                    weight = weights[(own >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                    first = np.argsort(weight, kind="stable")[: len(own) - -(-3 * len(own) // 4) + 1]
+                    cold.append(int((weight[first] == 0).sum()))
+                    found.append(own[first].view(np.int64))
+                    odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            bounds = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+            even = pa.array(np.arange(len(parity) + 1, dtype=np.int32) * (PARITY_BITS // 64))
+            bits = pa.ListArray.from_arrays(even, pa.array(np.concatenate([np.zeros(0, np.int64), *parity])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cold, pa.int32()), lists, bits], ["doc_id", "th", "cold", "first", "parity"])
+
+    return bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(pick), "doc_id long, th long, cold int, first array<long>, parity array<long>")
+
+
+def tidy_shuffles(df: DataFrame) -> None:
+    """Let Spark delete the shuffles of steps whose results are written; it does so when the driver's JVM collects."""
+    df.sparkSession._jvm.System.gc()
+
+
+def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
+    """All links between different components, by the prefix filter.
+
+    Two sets of which 3/7 of the summed sizes are shared have a first common shingle that
+    leaves so many in both, and it is among the ``rarest`` of both. Shingles met once or in one
+    component alone need nothing. A frequent one's rows are dealt into cells of about
+    CROWDED: its largest component's once each, the others to each of those cells and to
+    the cells in which they meet one another. Pairs whose parities differ in more than 1/7 of
+    the summed sizes are not 0.75 alike; the sets of the others confirm.
+    """
+    keys = F.xxhash64("node").alias("key"), F.xxhash64(F.coalesce("home", "node")).alias("h"), F.col("n_shingles").cast("int").alias("n")
+    narrow = nodes.select("node", "n_shingles").join(homes, "node", "left").select(F.col("node.doc_id").alias("doc_id"), F.col("node.th").alias("th"), *keys)
+    first = rarest(keyed, *frequent(keyed)).join(narrow.hint("merge"), ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
+    first = settle(first, "rarest")
+    rows = first.select("key", "h", "n", "cold", F.posexplode("first").alias("at", "t"))
+    rows = rows.select("t", "key", "h", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") >= F.col("cold")).alias("hot"))
+    hot = rows.where("hot").groupBy("t", "h").agg(F.count(F.lit(1)).alias("c")).groupBy("t").agg(F.sum("c").alias("c"), F.max(F.struct("c", "h")).alias("_l"))
+    hot = hot.where(F.col("c") > F.col("_l.c")).select(
+        "t", F.col("_l.h").alias("_large"), F.ceil(F.col("_l.c") / CROWDED).alias("_m"), F.ceil((F.col("c") - F.col("_l.c")) / CROWDED).alias("_s")
+    )
+    rest = F.pmod(F.xxhash64("key"), "_s")
+    cell = lambda at, side: F.struct(at.cast("long").alias("cell"), side.cast("long").alias("side"))
+    once = F.array(cell(-1 - F.pmod(F.xxhash64("key"), "_m"), F.lit(0)))
+    with_large = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1), lambda j: cell(-1 - j, F.lit(1)))
+    with_rest = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1), lambda j: cell(F.shiftleft(F.least(rest, j), 31) + F.greatest(rest, j), rest))
+    cells = F.when(F.col("h") == F.col("_large"), once).otherwise(F.concat(with_large, with_rest))
+    dealt = rows.where("hot").join(hot, "t").select("t", "key", "h", "n", "left", F.inline(cells))
+    plain = rows.where("NOT hot").select("t", "key", "h", "n", "left", F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("side"))
+    rows = plain.union(dealt)
+    alone = "a.cell >= 0 AND shiftright(a.cell, 31) = (a.cell & 2147483647)"
+    met = f"a.t = b.t AND a.cell = b.cell AND a.key < b.key AND a.h != b.h AND (a.side != b.side OR {alone}) AND 7L * least(a.left, b.left) >= 3L * (a.n + b.n)"
+    pairs = settle(rows.alias("a").join(rows.alias("b"), F.expr(met)).select(F.col("a.key").alias("_a"), F.col("b.key").alias("_b")).distinct(), "missed")
+    node = lambda side: first.select(F.col("key").alias(f"_{side}"), F.struct("doc_id", "th").alias(side), F.col("n").alias(f"_n{side}"), F.col("parity").alias(f"_p{side}"))
+    apart = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    pairs = settle(pairs.join(node("a"), "_a").join(node("b"), "_b").where(7 * apart <= F.col("_na") + F.col("_nb")).select("a", "b"), "missed")
+    tidy_shuffles(keyed)
+    sets = settle(sets_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    return settle(confirmed(pairs, sets), "links")
+
+
 def _homes(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The signed rows, and each distinct set's digest with the node its component begins with."""
     signed = settle(signatures(keyed), "signatures")
     nodes = settle(classes(signed), "classes")
-    homes = components(link(keyed, nodes))
+    links = link(keyed, nodes)
+    homes = components(links)
+    tidy_shuffles(keyed)
+    more = missed(keyed, nodes, homes)
+    if not more.isEmpty():
+        homes = components(links.union(more))
     return signed, nodes.join(homes, "node", "left").select("d1", "d2", "node", F.coalesce("home", "node").alias("home"))
 
 

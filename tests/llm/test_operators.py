@@ -348,6 +348,20 @@ def test_forest_links_what_brute_force_links(documents, monkeypatch, crowded):
     assert {r.doc_id for r in kept.collect()} == {d for d, g in got.items() if g[2]}
 
 
+@pytest.mark.parametrize("crowded", [2_000, 20])
+def test_forest_links_pairs_within_a_template_family(documents, monkeypatch, crowded):
+    monkeypatch.setattr(forest, "CROWDED", crowded)
+    template, texts = " ".join(f"common{k}" for k in range(124)), []
+    for k in range(130):  # 0.6 alike with the family, 0.76 with one other
+        shared = " ".join(f"pair{k}x{j}" for j in range(19))
+        texts += [f"{template} {shared} " + " ".join(f"own{k}x{side}x{j}" for j in range(21)) for side in "ab"]
+    texts += [template + f" last{k}" for k in range(60)]
+    random.Random(24).shuffle(texts)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in forest.near_duplicates(documents(rows)).collect()}
+    assert got == grouped(rows)
+
+
 def test_chains_join_into_one_component(spark):
     pairs = [((k, 0), (k + 1, 0)) for k in range(200)] + [((500, 1), (501, 0)), ((500, 1), (499, 7))]
     df = spark.createDataFrame(pairs, "a struct<doc_id:bigint,th:bigint>, b struct<doc_id:bigint,th:bigint>")
