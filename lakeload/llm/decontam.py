@@ -4,7 +4,8 @@ Every item and every window of as many words gets a 64-bit SimHash of its word s
 The items' fingerprints stand in a multi-index of eight 8-bit blocks: two fingerprints that
 differ in at most 23 bits differ in at most two bits of some block, so looking up each block
 with up to two bits flipped misses none within that radius. What it finds is verified by the
-exact weighted shingle similarity, weights being how often a shingle occurs.
+exact weighted shingle similarity, weights being how often a shingle occurs. A document shorter
+than an item is a window as a whole, and is compared with the items that share its shingles.
 """
 
 from __future__ import annotations
@@ -57,6 +58,22 @@ class Items:
         self.by_size = {size: np.unique(np.concatenate([s for (s, _), w in zip(self.shingles, self.words, strict=True) if min(w, SIZE) == size])) for size in sorted({min(w, SIZE) for w in self.words.tolist()})}
         self.by_length = {n: np.unique(np.concatenate([s for (s, _), w in zip(self.shingles, self.words, strict=True) if w == n])) for n in np.unique(self.words).tolist()}
 
+        order = np.argsort(every := np.concatenate([s for s, _ in self.shingles]), kind="stable")
+        self.flat, self.times = every[order], np.concatenate([c for _, c in self.shingles])[order]
+        self.owner = np.repeat(np.arange(len(self.shingles)), [len(s) for s, _ in self.shingles])[order]
+
+    def longer(self, hashes: np.ndarray) -> list[tuple[int, float]]:
+        """Items with more than these shingles, all of a document, that are similar to them, and how similar."""
+        there, times = np.unique(hashes, return_counts=True)
+        low, high = np.searchsorted(self.flat, there), np.searchsorted(self.flat, there, side="right")
+        take = high - low
+        at = np.repeat(low - np.cumsum(take) + take, take) + np.arange(take.sum())
+        shared = np.bincount(self.owner[at], np.minimum(np.repeat(times, take), self.times[at]), len(self.words)).astype(np.int64)
+        wide = self.words - SIZE + 1
+        united = wide + len(hashes) - shared
+        found = np.flatnonzero((wide > len(hashes)) & (shared * DENOMINATOR >= united * NUMERATOR))
+        return [(int(k), int(shared[k]) / int(united[k])) for k in found]
+
     def near(self, fingerprint: int, length: int) -> list[int]:
         """Items of ``length`` words within the radius."""
         found = [self.index[k] for b in range(BLOCKS) if (k := (b, (fingerprint >> 8 * b) & 255)) in self.index]
@@ -130,9 +147,21 @@ def leaks_in(items: Items, column) -> list[tuple[int, int, float, int]]:
             hit = hit[known[np.minimum(np.searchsorted(known, runs[hit]), len(known) - 1)] == runs[hit]]
             if len(hit):
                 _windows(items, size, runs, hit, of_row, begin, best)
+                if size == SIZE:
+                    _short(items, runs, hit, of_row, begin, best)
     return [(row, item, similarity, word) for (row, item), (similarity, word) in best.items()]
 
 
+def _short(items: Items, runs, hit, of_row, first_row: int, best: dict) -> None:
+    """Rows of fewer words than an item, each as one window, if enough of its shingles are items'."""
+    wide = np.diff(of_row) - SIZE + 1
+    known = np.bincount(np.searchsorted(of_row, hit, side="right") - 1, minlength=len(wide))
+    enough = (wide > 0) & (wide + SIZE - 1 < items.words.max()) & (known * DENOMINATOR >= (wide + 1) * NUMERATOR)
+    for row in np.flatnonzero(enough).tolist():
+        for item, similarity in items.longer(runs[of_row[row] : of_row[row] + wide[row]]):
+            best[first_row + row, item] = similarity, 0
+
+
 def _windows(items: Items, size: int, runs, hit, of_row, first_row: int, best: dict) -> None:
     every, told = hit, runs[hit]
     for length, known in ((n, k) for n, k in items.by_length.items() if min(n, SIZE) == size):
@@ -168,7 +197,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     """One row for each document and benchmark item of which some window reaches a similarity of 0.75.
 
     ``similarity`` and ``first_word`` are those of the best, then first, window; ``n_words``
-    is its length. Words are runs without ASCII white space, A-Z in lower case; shingles are
+    is the item's length and the window's, but that a document shorter than the item is one
+    window. Words are runs without ASCII white space, A-Z in lower case; shingles are
     five words, or all words of an item that has fewer. Null and empty texts, items without
     words and an empty benchmark have no rows; a repeated row of ``documents`` repeats its
     rows. Other columns are not read. No shuffle: items go to the corpus, in groups of a

@@ -477,6 +477,26 @@ def test_leaks_are_those_of_brute_force(spark, documents, monkeypatch, at_once):
     assert decontam.leaks(documents(rows), benchmark.limit(0)).count() == 0
 
 
+def test_documents_shorter_than_an_item_leak_as_a_whole(spark, documents):
+    items = [(k, " ".join((t + " " + t).split()[: 20 + 4 * k])) for k, t in enumerate(prose(30, 25))] + [(40, "so it goes " * 30), (41, "a b c")]
+    rows = []
+    for k, text in items:
+        words = text.split()
+        for cut in (1, len(words) // 10, len(words) // 5, len(words) // 3):
+            rows += [(len(rows), " ".join(words[cut:]).upper()), (len(rows) + 1, " ".join(words[: len(words) - cut])), (len(rows) + 2, " ".join(words[cut : len(words) - 1]))]
+    want = leaking(rows, items)
+    for (doc, text), (item, passage) in itertools.product(rows, items):
+        words, bag = split(text), shingle_bag(split(passage))
+        there = shingle_bag(words)
+        shared, united = sum((bag & there).values()), sum((bag | there).values())
+        if len(words) < len(split(passage)) and 100 * shared >= 75 * united:
+            want[doc, item] = (shared / united, 0)
+    assert sum(s < 1 for s, _ in want.values()) > 100
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in decontam.leaks(documents(rows), benchmark).collect()} == want
+    assert {r.doc_id for r in decontam.clean(documents(rows), benchmark).collect()} == {d for d, _ in rows} - {d for d, _ in want}
+
+
 # 10
 
 
