@@ -1,6 +1,7 @@
 """Best-fit packing of tokenized documents into fixed-length sequences, as a tree of local rounds.
 
-Blocks of pieces are packed best-fit-decreasing on their own. Nearly full bins are final;
+Pieces' lengths are dealt by hash to blocks of bounded size, so that each has the corpus's mix.
+Blocks are packed best-fit-decreasing on their own. Nearly full bins are final;
 the rest become items of the next round, in which the blocks of several predecessors meet,
 until one block is left. A block hands on a bounded number of bins, those with the most
 room; all others are final as they stand, so no round and no task grows with the input.
@@ -144,8 +145,7 @@ def word_ids(path: str) -> WordIds:
 def cut(documents: DataFrame, tokenizer: str, length: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row for each piece of each document: its ids' place in the document, their number and CRC.
 
-    Only documents of more than ``length`` ids are cut. ``block`` names the task that made
-    the piece, ``item`` numbers the pieces.
+    Only documents of more than ``length`` ids are cut. ``item`` numbers the pieces.
     """
 
     def pieces(batches):
@@ -173,7 +173,7 @@ def cut(documents: DataFrame, tokenizer: str, length: int, end_id: int, id_colum
 
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     out = small_batches(narrow).mapInArrow(tidy(pieces), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    return out.withColumns({"block": F.spark_partition_id().cast("long"), "item": F.monotonically_increasing_id()})
+    return out.withColumn("item", F.monotonically_increasing_id())
 
 
 def best_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,10 +204,11 @@ def best_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np
     return bins, offsets, np.array(filled, np.int64)
 
 
-def pack(pieces: DataFrame, length: int, fan: int = 8, slack: int = 8, hand_on: int = 20_000) -> DataFrame:
+def pack(pieces: DataFrame, length: int, fan: int = 8, slack: int = 8, hand_on: int = 20_000, block_pieces: int = 20_000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``length`` ids.
 
-    ``pieces`` has to be written already, as it is read more than once. ``fan`` blocks meet
+    ``pieces`` has to be written already, as it is read more than once. Pieces are dealt to
+    blocks of about ``block_pieces`` by a hash of ``item``, however they are stored. ``fan`` blocks meet
     in each round; a bin with at most ``slack`` ids of room is final; a block hands on at
     most ``hand_on`` bins. The number of rounds is the logarithm of the number of blocks.
     """
@@ -225,8 +226,9 @@ def pack(pieces: DataFrame, length: int, fan: int = 8, slack: int = 8, hand_on:
 
         return one
 
-    blocks = (pieces.agg(F.max("block")).first()[0] or 0) + 1
-    items = pieces.where(F.col("length") < length).select("item", "block", F.col("length").alias("size"))
+    blocks = max(-(-pieces.where(F.col("length") < length).count() // block_pieces), 1)
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).alias("block")
+    items = pieces.where(F.col("length") < length).select("item", block, F.col("length").alias("size"))
     placed = pieces.where(F.col("length") < length).select("item", F.col("item").alias("_held"), F.lit(0).cast("long").alias("offset"))
     done, level = [], 1
     while True:

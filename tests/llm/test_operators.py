@@ -412,6 +412,19 @@ def test_residual_rounds_meet_across_blocks(spark):
     assert whole <= len(filled) < alone
 
 
+@pytest.mark.parametrize("block_pieces", [20_000, 1_000])
+def test_packing_of_a_corpus_stored_by_length_is_as_tight_as_the_wholes(spark, block_pieces):
+    sizes = [1_200] * 5_000 + [800] * 5_000
+    rows = [(k, k // 1_000, k, 0, 0, s, 0) for k, s in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, block long, item long, piece int, start long, length long, ids_crc32 long")
+    out = packing.pack(df, 2048, block_pieces=block_pieces) if block_pieces < 20_000 else packing.pack(df, 2048)
+    filled = collections.Counter()
+    for r in out.collect():
+        filled[r.sequence_id] += r.length
+    assert sum(filled.values()) == sum(sizes) and max(filled.values()) <= 2048
+    assert len(filled) <= 1.03 * len(packing.best_fit(np.array(sizes), 2048)[2])
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, filled = packing.best_fit(np.array([5, 7, 3, 2, 10]), 10)
     assert bins.tolist() == [2, 1, 1, 2, 0] and filled.tolist() == [10, 10, 7] and offsets.tolist() == [0, 0, 7, 5, 0]
