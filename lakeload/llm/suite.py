@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeload.session import table
 
-from . import chat, decontam, forest, packing, quality, shards, spots, suffixes, tokens, urls
+from . import chat, decontam, forest, merkle, packing, periods, quality, shards, spots, suffixes, superkmers, tokens, urls
 
 RULES = [
     urls.Rule("allow", "org/"),
@@ -169,6 +170,99 @@ def op10_jump_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.assign(table(spark, sf, "documents"), 8)
 
 
+def op11_super_kmers(spark: SparkSession, sf: str) -> DataFrame:
+    kept = superkmers.without_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(ws[s:s + 12], ' ') AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS s FROM docs WHERE len(ws) >= 13)
+), repeats AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY w) AS first FROM windows) WHERE doc_id > first
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM repeats
+), places AS (
+  SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t, count(*) AS n FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_level_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """A manifest checked against texts of which a fifth has lost its capitals."""
+    small = merkle.leaf(*[F.translate("text", CAPITALS, SMALL) if c == "text" else F.col(c) for c in LEAF])
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = merkle.manifest(table(spark, sf, "documents"), LEAF, tampered=F.when(touched, small))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """Levels of a tree over {name}_0 (tree, pos, d, c nodes of the tree), each with what flanks its nodes in their run of 16."""
+    ctes = []
+    for k in range(levels):
+        side = "string_agg(d, '') OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN {})"
+        ctes.append(f"""{name}_flanks_{k} AS (
+  SELECT tree, pos, c, coalesce({side.format("UNBOUNDED PRECEDING AND 1 PRECEDING")}, '') AS l, coalesce({side.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")}, '') AS r FROM {name}_{k}
+), {name}_{k + 1} AS (
+  SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM (
+    SELECT tree, pos // 16 AS pos, CASE WHEN any_value(c) > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE any_value(d) END AS d FROM {name}_{k} GROUP BY tree, pos // 16
+  )
+)""")
+    return ", ".join(ctes)
+
+
+def _fold_sql(name: str, levels: int, before: str, at: str) -> str:
+    """Steps of every row of {before} up that tree; ``at`` is its leaf's place there."""
+    ctes = []
+    for k in range(levels):
+        ctes.append(f"""{name}_at_{k} AS (
+  SELECT b.* REPLACE (CASE WHEN c > 1 THEN sha256(l || f || r) ELSE f END AS f, CASE WHEN c > 1 THEN proof || l || r ELSE proof END AS proof)
+  FROM {before if k == 0 else f"{name}_at_{k - 1}"} b JOIN {name}_flanks_{k} n ON n.tree = b.{"tree" if name == "low" else "whole"} AND n.pos = b.{at} // {16**k}
+)""")
+    return ", ".join(ctes)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+OP12_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, 0 AS whole, sha256({" || ".join(_field_sql(c) for c in LEAF)}) AS leaf,
+         sha256({" || ".join(_field_sql(f"translate(text, '{CAPITALS}', '{SMALL}')" if c == "text" else c) for c in LEAF)}) AS small,
+         xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+           lambda x: list_transform(range(8), lambda k: (ascii(x) >> k) & 1)))),
+           lambda h, b: xor(h >> 1, CASE WHEN xor(h, b) & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos FROM docs
+), low_0 AS (
+  SELECT tree, pos, leaf AS d, count(*) OVER (PARTITION BY tree) AS c FROM placed
+), {_tree_sql("low", 6)}, tops AS (
+  SELECT tree AS own, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS rank FROM low_6
+), high_0 AS (
+  SELECT 0 AS tree, rank AS pos, subroot AS d, count(*) OVER () AS c FROM tops
+), {_tree_sql("high", 4)}, claims AS (
+  SELECT p.*, t.subroot, t.rank, CASE WHEN crc % 5 = 0 THEN small ELSE leaf END AS f, '' AS proof FROM placed p JOIN tops t ON t.own = p.tree
+), {_fold_sql("low", 6, "claims", "pos")}, {_fold_sql("high", 4, "low_at_5", "rank")}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = d AS verified FROM high_at_3 CROSS JOIN high_4
+"""
+
+
+def op13_harmonic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periods.digest(periods.with_runs(periods.looped(table(spark, sf, "documents"))))
+
+
 KEYS = {
     "op1_chat_snapshots": (op1_chat_snapshots, OP1_SQL),
     "op2_attention_quality": (op2_attention_quality, None),
@@ -180,4 +274,7 @@ KEYS = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_simhash_windows": (op9_simhash_windows, OP9_SQL),
     "op10_jump_shards": (op10_jump_shards, None),
+    "op11_super_kmers": (op11_super_kmers, OP11_SQL),
+    "op12_level_strings": (op12_level_strings, OP12_SQL),
+    "op13_harmonic_runs": (op13_harmonic_runs, None),
 }
