@@ -19,6 +19,8 @@ RUN = FAN * DIGEST
 #: Levels within a block, and the nodes it holds.
 LEVELS = 3
 BLOCK = FAN**LEVELS
+#: Blocks of a tree that meet its subroot in one key.
+PIECE = 16
 PATH = "array<struct<left:binary,right:binary>>"
 
 
@@ -46,7 +48,7 @@ def _flanks(level: str, at: str) -> str:
 
 
 def _nodes_before(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
-    """Add ``pos``, the place of each row among its tree's rows, by range-sorted blocks of rows that are never gathered."""
+    """Add ``pos``, the place of each row among its tree's rows, and their number ``n``, by range-sorted rows that are never gathered."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [tree, *order, "_at"]
     rows = settle(rows.withColumn("_at", F.monotonically_increasing_id()), "leaves")
@@ -56,34 +58,33 @@ def _nodes_before(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
     rows = rows.withColumn("_task", F.shiftright("_id", 33))
     seen = rows.groupBy(tree, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_low"))
     before = Window.partitionBy(tree).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    seen = seen.select(tree, "_task", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    whole = F.sum("_n").over(Window.partitionBy(tree)).alias("n")
+    seen = seen.select(tree, "_task", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), whole)
     return rows.join(seen, [tree, "_task"]).withColumn("pos", F.expr("_before + _id - _low")).drop("_task", "_id", "_low", "_before")
 
 
 def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For nodes (tree, pos, digest, payload): blocks with their members and the path above them, and (tree, top) for every tree.
+    """For nodes (tree, pos, n of the tree, leaves of the tree, digest, payload): blocks with their members and the path above them, and each tree's top.
 
     A block row has ``members`` (pos, digest, payload), ``l0`` to ``l2``, ``depth`` (its levels)
     and ``above``, the flanks of the block's digest from there to the top of its tree.
     """
     own = F.struct("pos", "digest", "payload")
-    blocks = nodes.groupBy("tree", F.expr(f"pos div {BLOCK}").alias("block")).agg(F.sort_array(F.collect_list(own)).alias("members"))
+    same = [F.max(c).alias(c) for c in ("n", "leaves")]
+    blocks = nodes.groupBy("tree", F.expr(f"pos div {BLOCK}").alias("block")).agg(F.sort_array(F.collect_list(own)).alias("members"), *same)
     blocks = blocks.withColumn("l0", F.expr("CAST(array_join(transform(members, m -> m.digest), '') AS BINARY)"))
     for level in range(1, LEVELS + 1):
         blocks = blocks.withColumn(f"l{level}", _parents(f"l{level - 1}"))
-    blocks = settle(blocks, "levels")
-    sizes = blocks.groupBy("tree").agg(F.sum(F.size("members")).alias("_n"))
-    depth = F.expr(f"CASE WHEN _n > {BLOCK} THEN {LEVELS} ELSE " + " + ".join(f"int(_n > {FAN**k})" for k in range(LEVELS)) + " END")
-    blocks = blocks.join(sizes, "tree").withColumn("depth", depth)
+    depth = F.expr(f"CASE WHEN n > {BLOCK} THEN {LEVELS} ELSE " + " + ".join(f"int(n > {FAN**k})" for k in range(LEVELS)) + " END")
+    blocks = settle(blocks.withColumn("depth", depth), "levels")
     digest = F.expr("CAST(CASE depth " + " ".join(f"WHEN {k} THEN l{k}" for k in range(LEVELS + 1)) + " END AS STRING)")
-    upper = blocks.select("tree", F.col("block").alias("pos"), digest.alias("digest"), F.lit(None).cast("string").alias("payload"), "_n")
-    tops = upper.where(f"_n <= {BLOCK}").select("tree", F.col("digest").alias("top"))
+    tops = blocks.where(f"n <= {BLOCK}").select("tree", digest.alias("top"), "leaves")
     none = F.array().cast(PATH)
-    more = settle(upper.where(f"_n > {BLOCK}").drop("_n"), "blocks")
-    blocks = blocks.drop("_n")
+    more = blocks.where(f"n > {BLOCK}")
     if more.isEmpty():
         return blocks.withColumn("above", none), tops
-    higher, higher_tops = _climb(more)
+    wider = F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("n")
+    higher, higher_tops = _climb(more.select("tree", F.col("block").alias("pos"), wider, "leaves", digest.alias("digest"), F.lit(None).cast("string").alias("payload")))
     above = _paths(higher).select("tree", F.col("pos").alias("block"), F.col("path").alias("above"))
     return blocks.join(above, ["tree", "block"], "left").withColumn("above", F.coalesce("above", none)), tops.union(higher_tops)
 
@@ -120,12 +121,17 @@ def manifest(documents: DataFrame, columns: list[str], key: str = "doc_id", tree
         own.alias("digest"),
     )
     rows = rows.withColumn("_key", F.col("payload.key"))
-    blocks, tops = _climb(_nodes_before(rows, "tree", ["_key", "digest"]).drop("_key"))
-    subroots = settle(tops.select(F.lit(0).alias("_all"), F.col("tree").alias("payload"), F.col("top").alias("digest")), "subroots")
-    ranked = _nodes_before(subroots.withColumn("_key", F.col("payload")), "_all", ["_key"]).drop("_key")
-    upper, root = _climb(ranked.withColumnRenamed("_all", "tree"))
-    upper = _paths(upper).join(root, "tree").select(F.col("payload").alias("tree"), F.col("digest").alias("subroot"), F.col("path").alias("_over"), F.col("top").alias("root"))
-    paths = _paths(blocks.join(upper, "tree").withColumn("above", F.concat("above", "_over")), "subroot", "root")
+    placed = _nodes_before(rows, "tree", ["_key", "digest"]).drop("_key")
+    blocks, tops = _climb(placed.withColumn("leaves", F.col("n")))
+    subroots = tops.select(F.lit(0).alias("tree"), F.struct(F.col("tree").alias("own"), "leaves").alias("payload"), F.col("top").alias("digest"))
+    ranked = _nodes_before(subroots.withColumn("_key", F.col("payload.own")), "tree", ["_key"]).drop("_key")
+    upper, root = _climb(ranked.withColumn("leaves", F.col("n")))
+    upper = _paths(upper).join(root, "tree").select("payload.*", F.col("digest").alias("subroot"), F.col("path").alias("_over"), F.col("top").alias("root"))
+    # A large tree's blocks meet its subroot in pieces.
+    pieces = F.explode(F.expr(f"sequence(0, (leaves - 1) div {BLOCK * PIECE})")).alias("_piece")
+    upper = upper.select(F.col("own").alias("tree"), "subroot", "_over", "root", pieces)
+    blocks = blocks.withColumn("_piece", F.expr(f"block div {PIECE}")).join(upper, ["tree", "_piece"])
+    paths = _paths(blocks.withColumn("above", F.concat("above", "_over")), "subroot", "root")
     siblings = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"]).cast("string")), "")
     out = paths.select(
         F.col("payload.key").alias(key),
