@@ -9,6 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def one_per_key(changes: DataFrame, keys: list[str], newest: str | None = None) -> DataFrame:
+    """One row of each key: that of the greatest ``newest``, of equals or without one that of the greatest values."""
+    first = [newest] if newest else []
+    values = [c for c in changes.columns if c not in (*keys, *first)]
+    row = F.max(F.struct(*first, *values)).alias("_row")
+    if not first and not values:
+        return changes.select(*keys).distinct()
+    return changes.groupBy(*keys).agg(row).select(*[c if c in keys else F.col(f"_row.{c}") for c in changes.columns])
+
+
 def insert_absent(current: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Current rows plus the new rows whose key is not there yet."""
     absent = new.join(current.select(*keys), keys, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import FIELD_SEPARATOR, export_line
 from ..operators.compare import require_equal_counts
-from ..operators.merge import replace_present, upsert
+from ..operators.merge import one_per_key, replace_present, upsert
 from ..session import size_shuffles
 from ..sources.jdbc import quoted, write_options
 
@@ -48,7 +48,7 @@ def upsert_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) ->
     if not keys:
         raise ValueError("an upsert needs its update key")
     size_shuffles(target)
-    upsert(target, df, keys).write.parquet(out)
+    upsert(target, one_per_key(df, keys), keys).write.parquet(out)
     return df.sparkSession.read.schema(target.schema).parquet(out)
 
 
@@ -56,7 +56,7 @@ def update_rows(target: DataFrame, df: DataFrame, keys: list[str], out: str) ->
     if not keys:
         raise ValueError("an update needs its update key")
     size_shuffles(target)
-    replace_present(target, df, keys).write.parquet(out)
+    replace_present(target, one_per_key(df, keys), keys).write.parquet(out)
     return df.sparkSession.read.schema(target.schema).parquet(out)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import sample
 from ..session import scratch
-from ..sinks import export
+from ..sinks import export, touched
 from . import inputs as inp
 from .inputs import DUCK, SPARK
 
@@ -77,6 +79,36 @@ def export_update_only(spark, sf):
     return export.update_rows(orders, changes, ["o_orderkey"], scratch(spark, "export_update"))
 
 
+def _many_files(spark, sf, label):
+    """A lake folder of the orders in files of neighbouring keys."""
+    folder = scratch(spark, label)
+    inp.tables(spark, sf)["orders"].repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(folder)
+    return folder
+
+
+def export_upsert_files(spark, sf):
+    """The upsert, by rewriting the files that hold a changed order; the changes stand there twice."""
+    folder, changes = _many_files(spark, sf, "upsert_files"), inp.derive(spark, sf, inp.order_changes(SPARK))
+    touched.rewrite_touched(spark, folder, changes.unionByName(changes), ["o_orderkey"])
+    return spark.read.parquet(folder)
+
+
+def export_update_files(spark, sf):
+    folder, changes = _many_files(spark, sf, "update_files"), inp.derive(spark, sf, inp.order_changes(SPARK))
+    touched.rewrite_touched(spark, folder, changes, ["o_orderkey"], insert=False)
+    return spark.read.parquet(folder)
+
+
+def upsert_touches(spark, sf):
+    """Which slices of a thousand order keys a set of late changes touches, and in how many rows."""
+    orders = inp.tables(spark, sf)["orders"]
+    folder = scratch(spark, "touches")
+    orders.withColumn("slice", F.expr("o_orderkey div 1000")).write.partitionBy("slice").parquet(folder)
+    late = orders.where("o_totalprice > 400000").select("o_orderkey")
+    found = touched.files_with(spark.read.parquet(folder), late, ["o_orderkey"])
+    return found.groupBy(F.regexp_extract("file_path", "slice=([0-9]+)", 1).cast("bigint").alias("slice")).agg(F.sum("n_rows").alias("n_rows"))
+
+
 def _merged_sql(join: str) -> str:
     columns = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     shown = ", ".join(f"CASE WHEN c.o_orderkey IS NOT NULL THEN c.{x} ELSE o.{x} END AS {x}" for x in columns)
@@ -110,7 +142,12 @@ KEYS = {
     "export_text": (export_text, EXPORT_TEXT_SQL),
     "export_text_distinct": (export_text_distinct, EXPORT_DISTINCT_SQL),
     "export_update_only": (export_update_only, _merged_sql("LEFT")),
+    "export_update_files": (export_update_files, _merged_sql("LEFT")),
     "export_upsert": (export_upsert, _merged_sql("FULL")),
+    "export_upsert_files": (export_upsert_files, _merged_sql("FULL")),
     "sample_from_id": (sample_from_id, "SELECT * FROM events WHERE event_id % 7 = 3 AND event_id >= 50 ORDER BY event_id LIMIT 1"),
     "sample_rows": (sample_rows, SAMPLE_SQL),
+    "upsert_touches": (
+        upsert_touches, "SELECT o_orderkey // 1000 AS slice, count(*) AS n_rows FROM orders WHERE o_totalprice > 400000 GROUP BY 1"
+    ),
 }
