@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.literals import find
+from ..session import settle
 
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 NO_SPLIT = "no-split"
@@ -220,3 +221,84 @@ def by_rules(tables: DataFrame, rules: list[DataFrame]) -> DataFrame:
     return tables.select("table_name").join(first, "table_name", "left").select(
         "table_name", F.coalesce("split_column", F.lit(NO_SPLIT)).alias("split_column"), F.coalesce("rule", F.lit(0)).alias("rule")
     )
+
+
+# Sketches of the same profile: what they say is within known bands, and no value is shuffled.
+
+#: Counters of a column's sketch, its registers (as a power of two), and how many deviations its bands are wide.
+COUNTERS, REGISTERS, DEVIATIONS = 2048, 12, 4.0
+
+
+def sketched_quality(df: DataFrame, columns: list[str] | None = None, counters: int = COUNTERS) -> DataFrame:
+    """Bands for ``split_quality``: per column ``groups_low`` to ``groups_high`` and ``stddev_low`` to ``stddev_high``.
+
+    The number of groups comes from a HyperLogLog sketch. The sum of squared group sizes comes
+    from a tug-of-war sketch: every value's hash picks a counter and a sign, rows are added up
+    with their sign, and the counters' squares add up to that sum, give or take its
+    sqrt(2 / counters). What leaves a task is one row per column and counter. Bands are
+    DEVIATIONS standard deviations wide on either side; the squares are also never under what
+    even groups would give. A column of NULLs alone has one group and no spread.
+    """
+    columns = columns or df.columns
+    names = {f"_{i}": c for i, c in enumerate(columns, start=1)}
+    hashed = df.select(*[F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(i), c)).alias(f"_{i}") for i, c in enumerate(columns, start=1)])
+    drawn = hashed.unpivot([], list(names), "column", "h").where("h IS NOT NULL")
+    tug = drawn.groupBy("column", F.pmod("h", F.lit(counters)).alias("counter")).agg(
+        F.sum(F.when(F.shiftright("h", 40).bitwiseAND(1) == 0, 1).otherwise(-1)).cast("double").alias("pull")
+    )
+    squares = tug.groupBy("column").agg(F.sum(F.col("pull") * F.col("pull")).alias("squares"))
+    counted = hashed.agg(
+        F.count("*").alias("n_rows"),
+        *[F.count(k).alias(f"n{k}") for k in names],
+        *[F.hll_sketch_estimate(F.hll_sketch_agg(k, REGISTERS)).alias(f"g{k}") for k in names],
+    )
+    each = F.array(*[F.struct(F.lit(k).alias("column"), F.lit(c).alias("column_name"), F.lit(int(k[1:])).alias("ordinal"), F.col(f"n{k}").alias("total"), F.col(f"g{k}").alias("seen")) for k, c in names.items()])
+    rows = counted.select("n_rows", F.explode(each).alias("e")).select("n_rows", "e.*").join(squares, "column", "left")
+    # NULL is a group of size 0.
+    null = F.when(F.col("n_rows") > F.col("total"), 1).otherwise(0)
+    off, wide = DEVIATIONS * 1.04 / (1 << REGISTERS) ** 0.5, DEVIATIONS * (2.0 / counters) ** 0.5
+    low = F.greatest(F.ceil(F.col("seen") / (1 + off)), F.least("seen", F.lit(1))) + null
+    high = F.least(F.floor(F.col("seen") / (1 - off)), F.col("total")) + null
+    t = F.col("total").cast("double")
+    rows = rows.select("ordinal", "column_name", "total", low.alias("groups_low"), high.alias("groups_high"), F.coalesce("squares", F.lit(0.0)).alias("_f"), t.alias("_t"))
+    variance = lambda f, n: F.greatest(f / n - (F.col("_t") / n) * (F.col("_t") / n), F.lit(0.0))
+    ends = F.col("groups_low"), F.greatest("groups_high", "groups_low")
+    small, large = F.greatest(F.col("_f") * (1 - wide), F.col("_t")), F.greatest(F.col("_f") * (1 + wide), F.col("_t"))
+    # At a given sum of squares the variance is greatest at 2 t² / f groups, if that many are possible.
+    top = F.least(F.greatest(2 * F.col("_t") * F.col("_t") / large, ends[0]), ends[1])
+    none = F.col("total") == 0
+    return rows.select(
+        "ordinal",
+        "column_name",
+        F.col("groups_low").cast("long").alias("groups_low"),
+        ends[1].cast("long").alias("groups_high"),
+        F.when(none, 0.0).otherwise(F.sqrt(F.least(variance(small, ends[0]), variance(small, ends[1])))).alias("stddev_low"),
+        F.when(none, 0.0).otherwise(F.sqrt(F.greatest(variance(large, ends[0]), variance(large, ends[1]), variance(large, top)))).alias("stddev_high"),
+    )
+
+
+def contenders(bands: DataFrame, readers: int) -> list[str]:
+    """Columns that may be the evenest with more groups than readers. One row per column reaches the driver."""
+    possible = bands.where(F.col("groups_high") > readers)
+    best = possible.agg(F.min(F.when(F.col("groups_low") > readers, F.col("stddev_high")))).first()[0]
+    if best is not None:
+        possible = possible.where(F.col("stddev_low") <= best)
+    return [r["column_name"] for r in possible.orderBy("ordinal").select("column_name").collect()]
+
+
+def sketched_choice(df: DataFrame, tables: list[tuple[int, str | None, str]], columns: list[str] | None = None) -> DataFrame:
+    """``split_choice`` of the exact profile, which is taken of the columns alone that the sketches cannot tell apart."""
+    columns = columns or splittable(df)
+    asked = sorted({readers for readers, key, vendor in tables if not key and vendor != "oracle"})
+    wanted: set[str] = set()
+    if asked and columns:
+        bands = settle(sketched_quality(df, columns), "bands")
+        for readers in asked:
+            wanted |= set(contenders(bands, readers))
+    named = [c for c in columns if c in wanted]
+    place = {c: i for i, c in enumerate(columns, start=1)}
+    if not named:
+        kind = "ordinal int, column_name string, n_groups bigint, group_stddev double"
+        return split_choice(df.sparkSession.createDataFrame([], kind), tables)
+    exact = split_quality(df, named)
+    return split_choice(exact.withColumn("ordinal", find(place, F.col("column_name"))), tables)

@@ -230,6 +230,25 @@ SPLIT_CHOICE_SQL = inp.with_inputs(
 )
 
 
+def split_choice_sketched(spark, sf):
+    """The same choice where only columns that sketches cannot tell apart are profiled exactly."""
+    return profile.sketched_choice(
+        _profiled(spark, sf),
+        [(2, None, "db2"), (10, None, "mysql"), (60, None, "mysql"), (10, "l_orderkey", "db2"), (10, None, "oracle")],
+    )
+
+
+def split_bands(spark, sf):
+    """The exact profile beside the sketches' bands."""
+    lineitem = _profiled(spark, sf)
+    bands = profile.sketched_quality(lineitem, profile.splittable(lineitem)).drop("ordinal")
+    return split_quality(spark, sf).join(bands, "column_name").select(
+        "ordinal", "column_name", "n_groups", "group_stddev",
+        F.col("n_groups").between(F.col("groups_low"), F.col("groups_high")).alias("groups_within"),
+        F.col("group_stddev").between(F.col("stddev_low") - 1e-9, F.col("stddev_high") + 1e-9).alias("stddev_within"),
+    )
+
+
 def max_lengths(spark, sf):
     t = inp.tables(spark, sf)
     documents = t["documents"].withColumn("empty", F.nullif("lang", "lang"))
@@ -400,7 +419,12 @@ KEYS = {
     "parse_vendor_date": (parse_vendor_date, PARSE_DATE_SQL),
     "reader_parallelism": (reader_parallelism, READERS_SQL),
     "row_count": (row_count, ROW_COUNT_SQL),
+    "split_bands": (
+        split_bands,
+        inp.with_inputs("SELECT *, true AS groups_within, true AS stddev_within FROM q", p=_PROFILED_SQL, q=_quality_sql()),
+    ),
     "split_choice": (split_choice, SPLIT_CHOICE_SQL),
+    "split_choice_sketched": (split_choice_sketched, SPLIT_CHOICE_SQL),
     "split_first_int": (split_first_int, SPLIT_INT_SQL),
     "split_index_rank": (split_index_rank, SPLIT_RANK_SQL),
     "split_primary_key": (split_primary_key, SPLIT_PK_SQL),

@@ -106,3 +106,58 @@ def test_shuffles_grow_with_the_table_and_never_shrink(spark, folder):
         assert size_shuffles(df, 1) == MOST_SHUFFLE_PARTITIONS
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+KINDS = "a long, b long, c long, d string, e long, f timestamp, g decimal(12,2)"
+
+
+def _columns(spark, rows=20_000):
+    """Unique, even, skewed, two-valued, NULL, time and decimal columns."""
+    return spark.range(rows).select(
+        F.col("id").alias("a"), (F.col("id") % 700).alias("b"), F.floor(F.log2(F.col("id") + 1)).cast("long").alias("c"),
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("d"), F.lit(None).cast("long").alias("e"),
+        F.timestamp_seconds(F.col("id") % 1000).alias("f"), F.when(F.col("id") % 3 > 0, (F.col("id") % 5000).cast("decimal(12,2)")).alias("g"),
+    )
+
+
+@pytest.mark.parametrize("counters", [256, 2048])
+def test_sketched_bands_hold_the_exact_profile(spark, counters):
+    df = _columns(spark)
+    exact = {r.column_name: r for c in df.columns for r in profile.split_quality(df, [c]).collect()}
+    bands = {r.column_name: r for r in profile.sketched_quality(df, counters=counters).collect()}
+    assert set(bands) == set(exact)
+    for name, b in bands.items():
+        assert b.groups_low <= exact[name].n_groups <= b.groups_high, (name, b, exact[name])
+        assert b.stddev_low - 1e-9 <= exact[name].group_stddev <= b.stddev_high + 1e-9, (name, b, exact[name])
+        assert b.groups_high <= 1.2 * b.groups_low + 1
+    assert profile.sketched_quality(df.limit(0)).where("groups_high > 0 OR stddev_high > 0").count() == 0
+
+
+def test_sketches_shuffle_counters_and_not_values(spark):
+    df = spark.range(0, 400_000, 1, 8).select("id", F.hash("id").alias("h"))
+    bands = profile.sketched_quality(df, counters=64)
+    bands.collect()
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(column" in plan and "value" not in plan
+    partial = df.select(F.xxhash64("id").alias("h")).groupBy(F.pmod("h", F.lit(64)).alias("counter")).count()
+    assert partial.count() == 64
+
+
+def test_only_columns_the_sketches_cannot_tell_apart_are_profiled(spark, monkeypatch):
+    df, asked = _columns(spark), []
+    real = profile.split_quality
+    monkeypatch.setattr(profile, "split_quality", lambda df, columns=None: (asked.append(columns), real(df, columns))[1])
+    tables = [(4, None, "db2"), (800, None, "mysql"), (4, "pk", "db2"), (4, None, "oracle")]
+    got = [r.split_column for r in profile.sketched_choice(df.drop("a"), tables).collect()]
+    assert asked == [["f"]] or "c" not in asked[0] and "e" not in asked[0]
+    want = profile.split_choice(real(df.drop("a"), ["b", "c", "e", "f", "g"]), tables)
+    assert got == [r.split_column for r in want.collect()]
+    assert [r.split_column for r in profile.sketched_choice(df, [(100_000, None, "db2")]).collect()] == [None]
+
+
+def test_sketched_choice_is_the_exact_one_on_every_table(spark):
+    for name in ("lineitem", "orders", "events", "customer", "part", "supplier", "documents", "pages"):
+        df = spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+        columns, tables = profile.splittable(df), [(n, None, "db2") for n in (2, 10, 60, 1000)]
+        want = profile.split_choice(profile.split_quality(df, columns), tables).collect()
+        assert profile.sketched_choice(df, tables).collect() == want, name
