@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import compat
 from ..functions.text import escape_log
-from ..operators import catalog, compare, project
+from ..operators import catalog, compare, project, reconcile
 from ..plans import quality, stores
 from ..sinks import export
 from ..session import scratch
@@ -235,6 +235,12 @@ def qa_row_match(spark, sf):
     return compare.match_rows(orders, inp.derive(spark, sf, inp.changed_orders(SPARK)), ["o_orderkey"], ORDER_TYPES)
 
 
+def qa_reconcile(spark, sf):
+    """The same verdicts, by joining the rows of differing buckets alone."""
+    orders = inp.tables(spark, sf)["orders"]
+    return reconcile.reconcile(orders, inp.derive(spark, sf, inp.changed_orders(SPARK)), ["o_orderkey"], ORDER_TYPES)
+
+
 ROW_MATCH_SQL = inp.with_inputs(
     """SELECT o.o_orderkey, coalesce(n, 0) AS n_matches, coalesce(CASE WHEN n = 1 THEN concat_ws(',',
               CASE WHEN o.o_custkey IS DISTINCT FROM f.o_custkey THEN 'o_custkey' END,
@@ -357,6 +363,7 @@ KEYS = {
         "FROM events ORDER BY ts DESC, table_name, log LIMIT 20",
     ),
     "qa_nullable": (qa_nullable, NULLABLE_SQL),
+    "qa_reconcile": (qa_reconcile, ROW_MATCH_SQL),
     "qa_row_match": (qa_row_match, ROW_MATCH_SQL),
     "qa_sampling": (qa_sampling, SAMPLING_SQL),
     "qa_schema_match": (qa_schema_match, _schema_sql(_match_sql("ingest", "fz"))),
