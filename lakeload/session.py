@@ -105,6 +105,17 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def discard(spark: SparkSession, *settled: DataFrame) -> None:
+    """Delete what ``settle`` wrote for these, once the steps that read it have been written themselves."""
+    known = _scratched.get(spark.sparkContext.applicationId, [])
+    files = [f for df in settled for f in df.inputFiles()]
+    # The last part of a scratch path occurs once.
+    for path in [p for p in known if any(f"/{p.rsplit('/', 1)[-1]}/" in f for f in files)]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        known.remove(path)
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
