@@ -13,10 +13,11 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeload.session import settle
+from lakeload.session import discard, settle
 
 from . import bytestext
 
@@ -141,37 +142,51 @@ def _far(one: Column, two: Column) -> Column:
     return F.bit_count(one["s1"].bitwiseXOR(two["s1"])) + F.bit_count(one["s2"].bitwiseXOR(two["s2"]))
 
 
-def sets_of(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The sorted shingle hashes of the texts that ``nodes`` names, each once."""
+def texts_of(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts that ``nodes`` names, each once, compressed: a third of what its shingles' hashes would take."""
 
-    def collect(batches):
+    def pack(batches):
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            out = []
-            for _, hashes, begins in shingle_sets(batch.column(2)):
-                out += [np.unique(hashes[b:e]).tobytes() for b, e in zip(begins[:-1], begins[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "th", "shingles"])
+            texts = batch.column(2).fill_null("").cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packer.compress(t) for t in texts], pa.binary())], ["doc_id", "th", "packed"])
 
     wanted = nodes.select(F.col("node.doc_id").alias("doc_id"), F.col("node.th").alias("th"))
     texts = keyed.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
-    return texts.select("doc_id", "th", "text").mapInArrow(bytestext.tidy(collect), "doc_id long, th long, shingles binary").select(F.struct("doc_id", "th").alias("node"), "shingles")
+    return texts.select("doc_id", "th", "text").mapInArrow(bytestext.tidy(pack), "doc_id long, th long, packed binary").select(F.struct("doc_id", "th").alias("node"), "packed")
+
+
+def _sets(texts: list[bytes]) -> list[np.ndarray]:
+    """The distinct shingles of each text."""
+    out: list[np.ndarray] = []
+    for _, hashes, begins in shingle_sets(pa.array(texts, pa.large_binary()).cast(pa.large_string())):
+        out += [np.unique(hashes[b:e]) for b, e in zip(begins[:-1], begins[1:], strict=True)]
+    return out
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs of which at least three quarters of the united set is shared."""
 
     def check(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * shared >= 75 * (len(one) + len(two) - shared))
+            keep, begin = [], 0
+            packed = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            while begin < len(batch):
+                one, two, size = [], [], 0
+                while begin < len(batch) and (not one or size < bytestext.SLICE_BYTES):
+                    one.append(unpack.decompress(packed[0][begin]))
+                    two.append(unpack.decompress(packed[1][begin]))
+                    size, begin = size + len(one[-1]) + len(two[-1]), begin + 1
+                for x, y in zip(_sets(one), _sets(two), strict=True):
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
-    out = out.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a").select("a", "b", "_a", "_b")
+    out = pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("_b")), "b")
+    out = out.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("_a")), "a").select("a", "b", "_a", "_b")
     kind = "struct<doc_id:bigint,th:bigint>"
-    return out.mapInArrow(bytestext.tidy(check), f"a {kind}, b {kind}")
+    return bytestext.small_batches(out).mapInArrow(bytestext.tidy(check), f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -203,14 +218,16 @@ def link(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     those between different components are left to confirm.
     """
     pairs = settle(candidates(nodes), "candidates")
-    sets = settle(sets_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    texts = settle(texts_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "texts")
     likest = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("_l")).select(F.col("_l.a").alias("a"), "b")
-    links = settle(confirmed(likest, sets), "links")
+    links = settle(confirmed(likest, texts), "links")
     homes = components(links)
     home = lambda side: homes.select(F.col("node").alias(side), F.col("home").alias(f"_{side}"))
     rest = pairs.select("a", "b").join(home("a"), "a", "left").join(home("b"), "b", "left")
     rest = rest.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b").join(likest, ["a", "b"], "left_anti")
-    return links.union(settle(confirmed(rest, sets), "links"))
+    links = links.union(settle(confirmed(rest, texts), "links"))
+    discard(keyed.sparkSession, pairs, texts)
+    return links
 
 
 def frequent(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -258,11 +275,6 @@ def rarest(keyed: DataFrame, buckets: np.ndarray, times: np.ndarray) -> DataFram
     return bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(pick), "doc_id long, th long, cold int, first array<long>, parity array<long>")
 
 
-def tidy_shuffles(df: DataFrame) -> None:
-    """Let Spark delete the shuffles of steps whose results are written; it does so when the driver's JVM collects."""
-    df.sparkSession._jvm.System.gc()
-
-
 def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
     """All links between different components, by the prefix filter.
 
@@ -293,23 +305,29 @@ def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
     plain = rows.where("NOT hot").select("t", "key", "h", "n", "left", F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("side"))
     rows = plain.union(dealt)
     alone = "a.cell >= 0 AND shiftright(a.cell, 31) = (a.cell & 2147483647)"
-    met = f"a.t = b.t AND a.cell = b.cell AND a.key < b.key AND a.h != b.h AND (a.side != b.side OR {alone}) AND 7L * least(a.left, b.left) >= 3L * (a.n + b.n)"
-    pairs = settle(rows.alias("a").join(rows.alias("b"), F.expr(met)).select(F.col("a.key").alias("_a"), F.col("b.key").alias("_b")).distinct(), "missed")
+    common = f"a.t = b.t AND a.cell = b.cell AND a.key < b.key AND a.h != b.h AND (a.side != b.side OR {alone}) AND 7L * least(a.left, b.left) >= 3L * (a.n + b.n)"
+    met = settle(rows.alias("a").join(rows.alias("b"), F.expr(common)).select(F.col("a.key").alias("_a"), F.col("b.key").alias("_b")).distinct(), "missed")
     node = lambda side: first.select(F.col("key").alias(f"_{side}"), F.struct("doc_id", "th").alias(side), F.col("n").alias(f"_n{side}"), F.col("parity").alias(f"_p{side}"))
     apart = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    pairs = settle(pairs.join(node("a"), "_a").join(node("b"), "_b").where(7 * apart <= F.col("_na") + F.col("_nb")).select("a", "b"), "missed")
-    tidy_shuffles(keyed)
-    sets = settle(sets_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
-    return settle(confirmed(pairs, sets), "links")
+    pairs = settle(met.join(node("a"), "_a").join(node("b"), "_b").where(7 * apart <= F.col("_na") + F.col("_nb")).select("a", "b"), "missed")
+    discard(keyed.sparkSession, first, met)
+    texts = settle(texts_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "texts")
+    links = settle(confirmed(pairs, texts), "links")
+    discard(keyed.sparkSession, pairs, texts)
+    return links
 
 
 def _homes(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The signed rows, and each distinct set's digest with the node its component begins with."""
-    signed = settle(signatures(keyed), "signatures")
-    nodes = settle(classes(signed), "classes")
+    spark = keyed.sparkSession
+    labelled = settle(signatures(keyed), "signatures")
+    nodes = settle(classes(labelled), "classes")
+    signed = settle(labelled.select("doc_id", "th", "n_shingles", "d1", "d2"), "signed")
+    discard(spark, labelled)
     links = link(keyed, nodes)
+    labelled, nodes = nodes, settle(nodes.select("d1", "d2", "node", "n_shingles"), "nodes")
+    discard(spark, labelled)
     homes = components(links)
-    tidy_shuffles(keyed)
     more = missed(keyed, nodes, homes)
     if not more.isEmpty():
         homes = components(links.union(more))
