@@ -34,7 +34,8 @@ NOBODY = (1 << 63) - 1
 #: Buckets that shingles are counted in, by their highest bits, to tell frequent ones.
 BUCKET_BITS = 20
 #: Bits in which a set's shingles are counted modulo two; bits that differ are at most the shingles that do.
-PARITY_BITS = 512
+#: Sets of more than LARGE shingles are counted in many bits as well, as few would fill up.
+PARITY_BITS, WIDE_BITS, LARGE = 512, 4096, 64
 
 _FACTORS = bytestext.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = bytestext.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) + np.uint64(1 << 32))
@@ -246,17 +247,26 @@ def frequent(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table.column(0).to_numpy(), table.column(1).to_numpy()
 
 
+def _parity(own: np.ndarray, bits: int) -> np.ndarray:
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
+
+
 def rarest(keyed: DataFrame, buckets: np.ndarray, times: np.ndarray) -> DataFrame:
     """The first shingles of each text in one order of all shingles, rare before frequent: one more than a set 0.75 alike may lack.
 
-    ``cold`` of them are not in a frequent bucket; these come first. ``parity`` is of the whole set.
+    ``cold`` of them are not in a frequent bucket; these come first. ``parity`` is of the whole set, ``wide`` too, if it is large.
     """
 
     def pick(batches):
         weights = np.zeros(1 << BUCKET_BITS, np.int64)
         weights[buckets] = times
         for batch in batches:
-            cold, found, parity = [], [], []
+            cold, found, parity, wide = [], [], [], []
             for _, hashes, begins in shingle_sets(batch.column(2)):
                 for b, e in zip(begins[:-1], begins[1:], strict=True):
                     own = np.unique(hashes[b:e])
@@ -264,15 +274,15 @@ def rarest(keyed: DataFrame, buckets: np.ndarray, times: np.ndarray) -> DataFram
                     first = np.argsort(weight, kind="stable")[: len(own) - -(-3 * len(own) // 4) + 1]
                     cold.append(int((weight[first] == 0).sum()))
                     found.append(own[first].view(np.int64))
-                    odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
-                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            bounds = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
-            even = pa.array(np.arange(len(parity) + 1, dtype=np.int32) * (PARITY_BITS // 64))
-            bits = pa.ListArray.from_arrays(even, pa.array(np.concatenate([np.zeros(0, np.int64), *parity])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cold, pa.int32()), lists, bits], ["doc_id", "th", "cold", "first", "parity"])
+                    parity.append(_parity(own, PARITY_BITS))
+                    wide.append(_parity(own, WIDE_BITS) if len(own) > LARGE else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(cold, pa.int32()), _lists(found), _lists(parity), _lists(wide)],
+                ["doc_id", "th", "cold", "first", "parity", "wide"],
+            )
 
-    return bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(pick), "doc_id long, th long, cold int, first array<long>, parity array<long>")
+    schema = "doc_id long, th long, cold int, first array<long>, parity array<long>, wide array<long>"
+    return bytestext.small_batches(keyed).mapInArrow(bytestext.tidy(pick), schema)
 
 
 def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
@@ -283,7 +293,7 @@ def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
     component alone need nothing. A frequent one's rows are dealt into cells of about
     CROWDED: its largest component's once each, the others to each of those cells and to
     the cells in which they meet one another. Pairs whose parities differ in more than 1/7 of
-    the summed sizes are not 0.75 alike; the sets of the others confirm.
+    the summed sizes are not 0.75 alike, by few bits first, then by many; the sets of the others confirm.
     """
     keys = F.xxhash64("node").alias("key"), F.xxhash64(F.coalesce("home", "node")).alias("h"), F.col("n_shingles").cast("int").alias("n")
     narrow = nodes.select("node", "n_shingles").join(homes, "node", "left").select(F.col("node.doc_id").alias("doc_id"), F.col("node.th").alias("th"), *keys)
@@ -307,10 +317,13 @@ def missed(keyed: DataFrame, nodes: DataFrame, homes: DataFrame) -> DataFrame:
     alone = "a.cell >= 0 AND shiftright(a.cell, 31) = (a.cell & 2147483647)"
     common = f"a.t = b.t AND a.cell = b.cell AND a.key < b.key AND a.h != b.h AND (a.side != b.side OR {alone}) AND 7L * least(a.left, b.left) >= 3L * (a.n + b.n)"
     met = settle(rows.alias("a").join(rows.alias("b"), F.expr(common)).select(F.col("a.key").alias("_a"), F.col("b.key").alias("_b")).distinct(), "missed")
-    node = lambda side: first.select(F.col("key").alias(f"_{side}"), F.struct("doc_id", "th").alias(side), F.col("n").alias(f"_n{side}"), F.col("parity").alias(f"_p{side}"))
+    own = lambda side, bits: first.select(F.col("key").alias(f"_{side}"), F.struct("doc_id", "th").alias(side), F.col("n").alias(f"_n{side}"), F.col(bits).alias(f"_p{side}"))
     apart = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    pairs = settle(met.join(node("a"), "_a").join(node("b"), "_b").where(7 * apart <= F.col("_na") + F.col("_nb")).select("a", "b"), "missed")
-    discard(keyed.sparkSession, first, met)
+    possible = 7 * apart <= F.col("_na") + F.col("_nb")
+    some = settle(met.join(own("a", "parity"), "_a").join(own("b", "parity"), "_b").where(possible).select("_a", "_b"), "missed")
+    both = (F.size("_pa") > 0) & (F.size("_pb") > 0)
+    pairs = settle(some.join(own("a", "wide"), "_a").join(own("b", "wide"), "_b").where(~both | possible).select("a", "b"), "missed")
+    discard(keyed.sparkSession, first, met, some)
     texts = settle(texts_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "texts")
     links = settle(confirmed(pairs, texts), "links")
     discard(keyed.sparkSession, pairs, texts)
