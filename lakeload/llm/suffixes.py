@@ -4,20 +4,20 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier i
 Sorting the suffixes of a whole corpus in one structure is no job for a cluster, so the
 corpus is first cut, by content, into strings that can be compared apart:
 
-1. Each window of LENGTH bytes names an anchor, the ANCHOR bytes of it with the smallest hash.
+1. Each window of LENGTH bytes names an anchor, the 50 bytes of it with the smallest hash.
    Equal windows name equal anchors. The windows in a row that name one anchor form a string.
 2. Equal strings are kept once, at their first place; all windows of the copies are repeats.
 3. Anchors that stand in different strings go on: their strings are dealt out by anchor, each
    task transforms them shard by shard and merges the shards' transforms by refining their
    interleave one symbol at a time. Places that still agree after a window's length are a
    repeated interval; all but its first place are repeats.
-4. The repeats of a document are joined to its text.
+4. An anchor of more strings than one task may merge has them cut again by longer anchors, and
+   they start over. The longest anchor is the window itself and has one string.
+5. The repeats of a document are joined to its text.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -28,34 +28,33 @@ from lakeload.session import settle
 
 from . import bytestext
 
-LENGTH, ANCHOR = 100, 50
-#: Symbols of a window when its anchor is one symbol.
-DEPTH = LENGTH - ANCHOR + 1
+LENGTH = 100
+#: Bytes of an anchor: at first, and where an anchor has too many strings.
+ANCHORS = (50, 75, 100)
+#: Symbols of a window when its first anchor is one symbol.
+DEPTH = LENGTH - ANCHORS[0] + 1
 #: A collection of strings that is merged at once, and the shards it is made of, in symbols.
 COLLECTION, SHARD = 1 << 18, 1 << 16
-#: Documents looked at for anchors so common that their rows are dealt out further, and how many must hold one. Balance only.
-SAMPLE_DOCUMENTS, COMMON = 20_000, 200
-SALTS = 64
-#: Tasks that the strings of one common anchor are dealt to.
-CHUNKS = 8
+#: Strings of one anchor beyond which it is common and its strings are cut again.
+COMMON = 1 << 14
 
 _GOLDEN, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def windows(data: np.ndarray, bounds: np.ndarray):
+def windows(data: np.ndarray, bounds: np.ndarray, size: int = ANCHORS[0]):
     """Strings of one anchor each: row, anchor hash, string hash, first window, last window, anchor's place (in ``data``)."""
     none = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
-    places = len(data) - ANCHOR + 1
+    places = len(data) - size + 1
     if len(data) < LENGTH:
         return none
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(bytestext.SYMBOLS[data] * bytestext.powers(bytestext._BASE, len(data)), out=sums[1:])
     inverse = bytestext.powers(bytestext._INVERSE, len(data) + 1)
-    hashes = bytestext.mix((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[:places])
-    # The first smallest hash of DEPTH places in a row, by doubling.
+    hashes = bytestext.mix((sums[size:] - sums[:-size]) * inverse[:places])
+    # The first smallest hash of a window's places in a row, by doubling.
     least, where, span = hashes, np.arange(places, dtype=np.int32), 1
-    while span < DEPTH:
-        step = min(span, DEPTH - span)
+    while span <= LENGTH - size:
+        step = min(span, LENGTH - size + 1 - span)
         later = least[step:] < least[:-step]
         least, where = np.where(later, least[step:], least[:-step]), np.where(later, where[step:], where[:-step])
         span += step
@@ -75,44 +74,65 @@ def _packed(low, high, at) -> np.ndarray:
     return (low << 16) | ((high - low) << 8) | (at - low)
 
 
-def anchored(documents: DataFrame, common: np.ndarray) -> DataFrame:
-    """The strings of all documents. Rows of common anchors get a salt, by document, over 0."""
+FOUND = "anchor long, string long, ord long, place long, salt byte, copy boolean"
+
+
+def _told_apart(found: list[tuple]) -> pa.RecordBatch:
+    """The strings of a batch (anchor, string, ord, place): all but the first of equal ones are known for copies and may go anywhere."""
+    anchor, string, order, place = (np.concatenate(c) for c in zip(*found, strict=True))
+    ranked = np.lexsort([place, order, string, anchor])
+    anchor, string, order, place = anchor[ranked], string[ranked], order[ranked], place[ranked]
+    copy = np.zeros(len(anchor), bool)
+    copy[1:] = (anchor[1:] == anchor[:-1]) & (string[1:] == string[:-1])
+    salt = np.where(copy, 1 + (order & 31), 0).astype(np.int8)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(anchor.view(np.int64)), pa.array(string.view(np.int64)), pa.array(order), pa.array(place), pa.array(salt), pa.array(copy)],
+        ["anchor", "string", "ord", "place", "salt", "copy"],
+    )
+
+
+def anchored(documents: DataFrame) -> DataFrame:
+    """The strings of all documents (ord, text)."""
 
     def find(batches):
         for batch in batches:
             data, bounds = bytestext.flat(batch.column(1))
-            order = batch.column(0).to_numpy()
+            order, found = batch.column(0).to_numpy(), []
             for begin, end in bytestext.slices(bounds):
                 own = bounds[begin : end + 1] - bounds[begin]
                 row, anchor, string, low, high, at = windows(data[bounds[begin] : bounds[end]], own)
                 first = own[row]
-                salt = np.where(np.isin(anchor, common), 1 + (begin + row) % SALTS, 0) if len(common) else np.zeros(len(row), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(string.view(np.int64)), pa.array(order[begin + row]),
-                     pa.array(_packed(low - first, high - first, at - first)), pa.array(salt.astype(np.int8))],
-                    ["anchor", "string", "ord", "place", "salt"],
-                )
+                found.append((anchor, string, order[begin + row], _packed(low - first, high - first, at - first)))
+            if found:
+                yield _told_apart(found)
 
-    return documents.select("ord", "text").mapInArrow(bytestext.tidy(find), "anchor long, string long, ord long, place long, salt byte")
+    return documents.select("ord", "text").mapInArrow(bytestext.tidy(find), FOUND)
 
 
-def common_anchors(documents: DataFrame) -> np.ndarray:
-    """Anchors that many documents of a sample hold. They are at most the sample's strings over COMMON."""
-    n = documents.count()
-    sample = documents.sample(min(1.0, SAMPLE_DOCUMENTS / max(n, 1)), seed=1) if n > SAMPLE_DOCUMENTS else documents
-    seen = anchored(sample, np.zeros(0, np.uint64)).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
-    return np.array([r["anchor"] for r in seen.collect()], np.int64).view(np.uint64)
+def anchored_again(strings: DataFrame, size: int) -> DataFrame:
+    """Strings (anchor, ord, place, bytes) cut by anchors of ``size`` bytes."""
 
+    def find(batches):
+        for batch in batches:
+            data, bounds = bytestext.flat(batch.column(2).cast(pa.large_binary()).view(pa.large_string()))
+            order, place, found = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
+            for begin, end in bytestext.slices(bounds):
+                own = bounds[begin : end + 1] - bounds[begin]
+                row, anchor, string, low, high, at = windows(data[bounds[begin] : bounds[end]], own, size)
+                first = own[row] - (place[begin + row] >> 16)
+                found.append((anchor, string, order[begin + row], _packed(low - first, high - first, at - first)))
+            if found:
+                yield _told_apart(found)
 
-FOUND = "anchor long, string long, ord long, place long, salt byte, copy boolean"
+    return bytestext.small_batches(strings).select("ord", "place", "bytes").mapInArrow(bytestext.tidy(find), FOUND)
 
 
-def collapsed(strings: DataFrame, by: list[str]) -> DataFrame:
+def collapsed(strings: DataFrame) -> DataFrame:
     """Copies of strings, and the first of each string whose anchor has another string.
 
-    Works on sorted rows as they come: a copy is told by the row before it (of the same salt),
-    and only the first row of an anchor is held back until its anchor shows another string, so a group of
-    any size passes. All firsts of salted rows are kept, as other strings may stand elsewhere.
+    Works on sorted rows as they come: a copy is told by the row before it, and only the first
+    row of an anchor is held back until its anchor shows another string, so a group of any size
+    passes. What a batch knew for copies was dealt out by salt and passes as it is.
     """
 
     def pick(batches):
@@ -120,7 +140,7 @@ def collapsed(strings: DataFrame, by: list[str]) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            anchor, string, salt = (batch.column(k).to_numpy() for k in (0, 1, 4))
+            anchor, string, salt, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 4, 5))
             opens = np.concatenate([[(anchor[0], salt[0]) != last[:2]], (anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])])
             fresh = opens | np.concatenate([[string[0] != last[2]], string[1:] != string[:-1]])
             group = np.cumsum(opens)
@@ -129,18 +149,18 @@ def collapsed(strings: DataFrame, by: list[str]) -> DataFrame:
                 if more[0]:
                     yield _with_copy(held, np.zeros(1, bool))
                 held = None
-            emit = ~fresh | ~opens | more[group] | (salt != 0)
+            emit = ~fresh | ~opens | more[group] | known
             if opens.any() and not more[-1]:
                 at = int(np.flatnonzero(opens)[-1])
                 held = None if emit[at] else batch.slice(at, 1)
             last = anchor[-1], salt[-1], string[-1]
-            yield _with_copy(batch.filter(pa.array(emit)), ~fresh[emit])
+            yield _with_copy(batch.filter(pa.array(emit)), (~fresh | known)[emit])
 
-    return strings.repartition(*by).sortWithinPartitions(*by, "anchor", "string", "ord", "place").mapInArrow(bytestext.tidy(pick), FOUND)
+    return strings.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "string", "ord", "place").mapInArrow(bytestext.tidy(pick), FOUND)
 
 
 def _with_copy(batch: pa.RecordBatch, copy: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(copy)], [*batch.schema.names, "copy"])
+    return pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(copy)], batch.schema.names)
 
 
 def extracted(documents: DataFrame, strings: DataFrame) -> DataFrame:
@@ -165,15 +185,15 @@ def extracted(documents: DataFrame, strings: DataFrame) -> DataFrame:
     return joined.mapInArrow(bytestext.tidy(cut), "anchor long, ord long, place long, bytes binary")
 
 
-def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffix order (to a depth of DEPTH at least), transform, and LF mapping of a shard, by rank doubling.
+def transform(symbols: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix order (to a depth of ``depth`` at least), transform, and LF mapping of a shard, by rank doubling.
 
     Each string of the shard ends with symbol 0; before a string's first symbol stands the end of the one before it.
     """
     n = len(symbols)
     rank, span = symbols.astype(np.int64), 1
     order = np.argsort(rank, kind="stable")
-    while span < DEPTH:
+    while span < depth:
         after = np.zeros(n, np.int64)
         after[:-span] = rank[span:] + 1 if span < n else 0
         both = rank * (n + (1 << 16) + 2) + after
@@ -188,8 +208,8 @@ def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.where(before >= 0, symbols[before], 0), place[before]
 
 
-def merged(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in the shards laid end to end) whose next DEPTH symbols occur twice or more, and the interval of each.
+def merged(shards: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in the shards laid end to end) whose next ``depth`` symbols occur twice or more, and the interval of each.
 
     The shards' transforms are interleaved and the interleave is refined: in each round every
     row still in play steps to the suffix one symbol longer, by its shard's LF mapping, and
@@ -200,13 +220,13 @@ def merged(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     firsts = np.concatenate([[0], np.cumsum([len(s) for s in shards])])
     suffix, before, lf = [], [], []
     for first, shard in zip(firsts, shards, strict=False):
-        order, symbol, step = transform(shard)
+        order, symbol, step = transform(shard, depth)
         suffix.append(order + first)
         before.append(symbol)
         lf.append(step + first)
     suffix, before, lf = np.concatenate(suffix), np.concatenate(before).astype(np.uint16), np.concatenate(lf)
     rows, block = np.arange(firsts[-1]), np.zeros(firsts[-1], np.int64)
-    for _ in range(DEPTH):
+    for _ in range(depth):
         symbol = before[rows]
         dealt = np.argsort(symbol, kind="stable")
         dealt = dealt[np.searchsorted(symbol[dealt], 1) :]  # a string's first symbol has none before it
@@ -218,7 +238,7 @@ def merged(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return suffix[rows], block
 
 
-def _repeats(strings: list[tuple]) -> list[tuple[int, int]]:
+def _repeats(strings: list[tuple], anchor_size: int) -> list[tuple[int, int]]:
     """(ord, start) of the windows of one collection that are not the first of their interval."""
     anchors: dict[int, int] = {}
     parts, owner, offset = [], [], []
@@ -226,7 +246,7 @@ def _repeats(strings: list[tuple]) -> list[tuple[int, int]]:
         extra, left = (place >> 8) & 255, place & 255
         code = 257 + anchors.setdefault(anchor, len(anchors))
         raw = np.frombuffer(text, np.uint8).astype(np.uint16) + 1
-        parts.append(np.concatenate([raw[:left], np.array([code], np.uint16), raw[left + ANCHOR :], np.zeros(1, np.uint16)]))
+        parts.append(np.concatenate([raw[:left], np.array([code], np.uint16), raw[left + anchor_size :], np.zeros(1, np.uint16)]))
         size = len(parts[-1])
         owner.append(np.full(size, k, np.int32))
         offset.append(np.where(np.arange(size) <= extra, np.arange(size), -1).astype(np.int16))
@@ -239,7 +259,7 @@ def _repeats(strings: list[tuple]) -> list[tuple[int, int]]:
             held, total = [], 0
     if held:
         shards.append(np.concatenate(held))
-    places, interval = merged(shards)
+    places, interval = merged(shards, LENGTH - anchor_size + 1)
     owner, offset = np.concatenate(owner)[places], np.concatenate(offset)[places].astype(np.int64)
     window = offset >= 0
     owner, offset, interval = owner[window], offset[window], interval[window]
@@ -263,7 +283,7 @@ def _as_runs(order: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(order[first]), pa.array(start[first]), pa.array(start[last] + LENGTH)], ["ord", "start", "stop"])
 
 
-def repeats_by_merge(strings: DataFrame) -> DataFrame:
+def repeats_by_merge(strings: DataFrame, anchor_size: int = ANCHORS[0]) -> DataFrame:
     """Repeated runs among strings of the same anchor, merged collection by collection as they come."""
 
     def merge(batches):
@@ -271,59 +291,16 @@ def repeats_by_merge(strings: DataFrame) -> DataFrame:
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if held and row[0] != held[-1][0] and size >= COLLECTION:
-                    yield _as_runs(*_repeats(held))
+                    yield _as_runs(*_repeats(held, anchor_size))
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3]) - ANCHOR + 2
+                size += len(row[3]) - anchor_size + 2
         if held:
-            yield _as_runs(*_repeats(held))
+            yield _as_runs(*_repeats(held, anchor_size))
 
     return strings.repartition("anchor").sortWithinPartitions("anchor", "ord", "place").mapInArrow(bytestext.tidy(merge), REPEATS)
 
 
-def repeats_by_window(strings: DataFrame) -> DataFrame:
-    """The same for anchors that are too common for one task: the first of equal windows is their minimum.
-
-    An anchor's strings are dealt into chunks. A chunk, sorted, hands on the first of its equal
-    windows; the others are repeats already and leave as runs.
-    """
-
-    def spread(batches):
-        anchor, seen = None, set()
-        for batch in batches:
-            keys, orders, starts, repeated = [], [], [], ([], [])
-            for own, order, place, text, chunk in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if (own, chunk) != anchor:
-                    anchor, seen = (own, chunk), set()
-                low, extra = place >> 16, (place >> 8) & 255
-                for k in range(extra + 1):
-                    key = hashlib.blake2b(text[k : k + LENGTH], digest_size=16).digest()
-                    if key in seen:
-                        repeated[0].append(order)
-                        repeated[1].append(low + k)
-                    else:
-                        seen.add(key)
-                        keys.append(key)
-                        orders.append(order)
-                        starts.append(low + k)
-            runs = _as_runs(*(np.array(r, np.int64) for r in repeated))
-            stops = [s + LENGTH for s in starts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*keys, *[None] * len(runs)], pa.binary()), pa.array([*orders, *runs.column(0).to_pylist()], pa.int64()),
-                 pa.array([*starts, *runs.column(1).to_pylist()], pa.int64()), pa.array([*stops, *runs.column(2).to_pylist()], pa.int64())],
-                ["key", "ord", "start", "stop"],
-            )
-
-    chunks = strings.withColumn("chunk", F.pmod(F.xxhash64("ord"), F.lit(CHUNKS)))
-    sorted_ = chunks.repartition("anchor", "chunk").sortWithinPartitions("anchor", "chunk", "ord", "place")
-    rows = settle(sorted_.mapInArrow(bytestext.tidy(spread), f"key binary, {REPEATS}"), "windows")
-    known = rows.where("key IS NULL").drop("key")
-    rows = rows.where("key IS NOT NULL")
-    first = rows.groupBy("key").agg(F.min(F.struct("ord", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = rows.join(first, "key").where(F.struct("ord", "start") > F.col("first"))
-    return known.union(later.select("ord", "start", "stop"))
-
-
 def in_order(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """ord, doc_id, text and ``row``, the document as it came.
 
@@ -345,18 +322,20 @@ def in_order(documents: DataFrame, id_column: str, text_column: str) -> DataFram
 
 def repeats(documents: DataFrame) -> DataFrame:
     """Runs of bytes (ord, start, stop) to be removed from (ord, doc_id, text); runs may overlap."""
-    common = common_anchors(documents)
-    strings = anchored(documents, common)
-    found = settle(collapsed(strings, ["anchor", "salt"]), "strings")
-    run = lambda df: df.select("ord", F.shiftright("place", 16).alias("start"), (F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(255) + LENGTH).alias("stop"))
-    out = run(found.where("copy"))
-    firsts = found.where("NOT copy AND salt = 0")
-    packed = packed_texts(documents)
-    out = out.union(repeats_by_merge(extracted(packed, firsts)))
-    if len(common):
-        crowd = found.where("NOT copy AND salt <> 0").drop("copy").withColumn("salt", F.lit(1).cast("byte"))
-        crowd = settle(collapsed(crowd, ["anchor", "string"]), "common")
-        out = out.union(run(crowd.where("copy"))).union(repeats_by_window(extracted(packed, crowd.where("NOT copy"))))
+    texts, strings, out = packed_texts(documents), anchored(documents), None
+    first, more = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
+    for level, size in enumerate(ANCHORS):
+        found = settle(collapsed(strings), "strings")
+        runs = found.where("copy").select("ord", first.alias("start"), (first + more + LENGTH).alias("stop"))
+        out = runs if out is None else out.union(runs)
+        firsts = found.where("NOT copy")
+        if size == LENGTH:
+            break
+        common = settle(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON).select("anchor"), "common")
+        if common.isEmpty():
+            return out.union(repeats_by_merge(extracted(texts, firsts), size))
+        out = out.union(repeats_by_merge(extracted(texts, firsts.join(common, "anchor", "left_anti")), size))
+        strings = anchored_again(extracted(texts, firsts.join(common, "anchor", "left_semi")), ANCHORS[level + 1])
     return out
 
 
