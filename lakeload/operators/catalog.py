@@ -68,11 +68,11 @@ IDENTITY_EXPRESSIONS = {
 }
 
 
-def dictionary_query(vendor: str, owner: str, table: str | None = None) -> str:
-    """SQL that reads the columns of one owner's tables, or of one table, through JDBC."""
+def dictionary_query(vendor: str, owner: str, table: str | None = None, with_owner: bool = False) -> str:
+    """SQL that reads the columns of one owner's tables, or of one table, through JDBC; ``with_owner`` names the owner in each row."""
     d = DICTIONARIES[vendor]
     marks = IDENTITY_EXPRESSIONS.get(vendor)
-    listed = [d.table, d.ordinal, d.name, d.data_type, d.length, d.precision, d.scale, d.nullable]
+    listed = [d.owner if with_owner else None, d.table, d.ordinal, d.name, d.data_type, d.length, d.precision, d.scale, d.nullable]
     columns = list(dict.fromkeys(c for c in listed if c))
     columns.append(f"{marks} AS {d.identity}" if marks else d.identity)
     quoted = owner.replace("'", "''")
@@ -84,11 +84,13 @@ def dictionary_query(vendor: str, owner: str, table: str | None = None) -> str:
 
 
 def from_dictionary(vendor: str, rows: DataFrame) -> DataFrame:
-    """A vendor dictionary's rows in the catalog's columns."""
+    """A vendor dictionary's rows in the catalog's columns, with ``owner`` where the rows name one."""
     d = DICTIONARIES[vendor]
+    owner = [F.trim(F.col(d.owner)).alias("owner")] if d.owner in rows.columns else []
     nullable = F.col(d.nullable).cast("string") if d.nullable else F.lit(None).cast("string")
     return rows.select(
         F.lit(vendor).alias("vendor"),
+        *owner,
         F.col(d.table).alias("table_name"),
         F.col(d.ordinal).cast("int").alias("ordinal"),
         F.trim(F.col(d.name)).alias("column_name"),
@@ -108,8 +110,7 @@ def lake_catalog(catalog: DataFrame) -> DataFrame:
         lake, F.col("char_length"), F.col("num_precision"), F.col("num_scale")
     )
     described = catalog.select(
-        "vendor",
-        "table_name",
+        *[c for c in ("vendor", "owner", "table_name") if c in catalog.columns],
         "ordinal",
         F.lower(names.lake_name(F.col("column_name"))).alias("column_name"),
         shown.alias("col_type"),

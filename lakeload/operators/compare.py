@@ -53,19 +53,29 @@ def require_equal_counts(source_rows: int, landed_rows: int) -> None:
 
 # schemas --------------------------------------------------------------------------------
 
+#: What names a table in a catalog. The lake's side may leave the vendor out, and catalogs of one owner the owner.
+TABLE = ("vendor", "owner", "table_name")
+
+
+def table_key(*catalogs: DataFrame) -> list[str]:
+    """The columns that name a table in all of the catalogs."""
+    return [c for c in TABLE if all(c in df.columns for df in catalogs)]
+
+
 def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest") -> DataFrame:
     """Each source column beside the lake column at its place, for any number of tables.
 
     ``source`` is a vendor catalog with cleaned names and ``lake`` a lake catalog. Lake columns
     beyond the source's last are left out; a source column without a lake column fails. On the
     way out the identity column is dropped first and the sizes must fit the other way round.
+    Tables of one name are kept apart by vendor and owner, as far as both catalogs have them.
     """
+    named, shared = table_key(source), table_key(source, lake)
     if direction == "export":
         source = source.where(~F.col("is_identity"))
     size = F.when(F.lower("data_type").isin("number", "decimal", "numeric", "d"), F.lit(None).cast("int"))
     left = source.select(
-        "vendor",
-        "table_name",
+        *named,
         "ordinal",
         F.col("column_name").alias("source_column"),
         F.col("data_type").alias("source_type"),
@@ -74,7 +84,7 @@ def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest")
         F.col("num_scale").alias("s_scale"),
     )
     right = lake.select(
-        "table_name",
+        *shared,
         "ordinal",
         F.col("column_name").alias("lake_column"),
         F.col("data_type").alias("lake_type"),
@@ -82,7 +92,7 @@ def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest")
         F.col("num_precision").alias("t_precision"),
         F.col("num_scale").alias("t_scale"),
     )
-    joined = left.join(right, ["table_name", "ordinal"], "left")
+    joined = left.join(right, [*shared, "ordinal"], "left")
 
     def fits(s: str, t: str) -> Column:
         small, large = (F.col(s), F.col(t)) if direction == "ingest" else (F.col(t), F.col(s))
@@ -91,8 +101,7 @@ def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest")
     sized = F.col("lake_type").isin(*types.SIZED)
     fit = fits("s_length", "t_length") & fits("s_precision", "t_precision") & fits("s_scale", "t_scale")
     return joined.select(
-        "vendor",
-        "table_name",
+        *named,
         "ordinal",
         "source_column",
         "lake_column",
@@ -105,29 +114,30 @@ def schema_match(source: DataFrame, lake: DataFrame, direction: str = "ingest")
 def schema_verdict(matched: DataFrame) -> DataFrame:
     """Matched and mismatched columns per table, and whether the table passes."""
     ok = F.col("name_ok") & F.col("type_ok") & F.col("length_ok")
-    return matched.groupBy("vendor", "table_name").agg(
+    return matched.groupBy(*table_key(matched)).agg(
         F.count_if(ok).alias("matched"), F.count_if(~ok).alias("mismatched"), F.bool_and(ok).alias("schema_ok")
     )
 
 
 def nullable_check(catalog: DataFrame) -> DataFrame:
     """Whether every column of each table accepts NULL."""
-    return catalog.groupBy("vendor", "table_name").agg(
+    return catalog.groupBy(*table_key(catalog)).agg(
         F.bool_and(F.coalesce(F.upper("nullable").isin(*NULLABLE_MARKS), F.lit(False))).alias("all_nullable")
     )
 
 
 def column_set_check(source: DataFrame, target: DataFrame) -> DataFrame:
     """Column names that stand on one side only; DB2 requires none, other vendors accept any."""
+    named = table_key(source, target)
     both = (
-        source.select("vendor", "table_name", F.lower("column_name").alias("column_name"), F.lit(1).alias("side"))
+        source.select(*named, F.lower("column_name").alias("column_name"), F.lit(1).alias("side"))
         .unionByName(
-            target.select("vendor", "table_name", F.lower("column_name").alias("column_name"), F.lit(2).alias("side"))
+            target.select(*named, F.lower("column_name").alias("column_name"), F.lit(2).alias("side"))
         )
-        .groupBy("vendor", "table_name", "column_name")
+        .groupBy(*named, "column_name")
         .agg(F.bit_or("side").alias("sides"))
     )
-    return both.groupBy("vendor", "table_name").agg(
+    return both.groupBy(*named).agg(
         F.count_if(F.col("sides") == 1).alias("only_source"),
         F.count_if(F.col("sides") == 2).alias("only_target"),
         (F.bool_and(F.col("sides") == 3) | (F.first("vendor") != "db2")).alias("columns_ok"),

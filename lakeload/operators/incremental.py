@@ -82,3 +82,17 @@ def where_clause(vendor: str, check_column: str, mark) -> str:
 
 def has_rows(increment: DataFrame) -> bool:
     return not increment.isEmpty()
+
+
+def increments(source: DataFrame, live: DataFrame, by: list[str], check_column: str) -> DataFrame:
+    """For each value of ``by`` in the source whether it has rows above its own mark, by one grouped pass over both sides.
+
+    A table that has no live row yet has no mark: all its rows are new. One without a value to compare is left out.
+    """
+    mode_of(source, check_column)
+    both = source.select(*by, F.col(check_column).alias("_new"), F.lit(None).cast(source.schema[check_column].dataType).alias("_mark")).unionByName(
+        live.select(*by, F.lit(None).cast(source.schema[check_column].dataType).alias("_new"), F.col(check_column).alias("_mark"))
+    )
+    top = both.groupBy(*by).agg(F.max("_new").alias("newest"), F.max("_mark").alias("mark"))
+    some = F.col("mark").isNull() | (F.col("newest") > F.col("mark"))
+    return top.where("newest IS NOT NULL").select(*by, "mark", some.alias("has_rows"))

@@ -7,11 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import compare, sample
 from ..session import settle
 
-KEYS = ["vendor", "table_name"]
-
-
 def _stage(df: DataFrame, name: str, ok: str) -> DataFrame:
-    return df.select(*KEYS, F.lit(name).alias("stage"), F.col(ok).alias("passed"))
+    return df.select(*compare.table_key(df), F.lit(name).alias("stage"), F.col(ok).alias("passed"))
 
 
 def full_load(source: DataFrame, lake: DataFrame) -> DataFrame:
@@ -72,4 +69,4 @@ def after_export(counts: DataFrame) -> DataFrame:
 def status_json(stages: DataFrame) -> DataFrame:
     """One row per table with its stages as JSON, as the quality log keeps them."""
     names = F.array_sort(F.collect_list(F.struct("stage", "passed")))
-    return stages.groupBy(*KEYS).agg(F.to_json(F.map_from_entries(names)).alias("status"))
+    return stages.groupBy(*compare.table_key(stages)).agg(F.to_json(F.map_from_entries(names)).alias("status"))

@@ -31,6 +31,15 @@ def require_empty(target: DataFrame) -> None:
         raise ValueError("the target table already has rows; empty it before an insert export")
 
 
+def empty_targets(rows: DataFrame, target: DataFrame, by: list[str]) -> DataFrame:
+    """The same for many targets at once: for each value of ``by`` among the rows, whether its target has none yet."""
+    wanted = rows.select(*by, F.lit(0).alias("_there"))
+    both = wanted.unionByName(target.select(*by, F.lit(1).alias("_there"))).groupBy(*by).agg(
+        F.min("_there").alias("_wanted"), F.max("_there").alias("_full")
+    )
+    return both.where("_wanted = 0").select(*by, (F.col("_full") == 0).alias("target_empty"))
+
+
 # Lake targets. A changed table is written beside the old one and then swapped in.
 
 def insert_rows(df: DataFrame, target: str) -> DataFrame:

@@ -178,13 +178,8 @@ def incr_empty_skip(spark, sf):
     """Each event type is a source; two of them are already loaded whole."""
     events = inp.tables(spark, sf)["events"]
     live = events.where((F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")) | F.col("event_type").isin("error", "view"))
-    found = []
-    for (kind,) in events.select("event_type").distinct().collect():
-        of_kind = F.col("event_type") == kind
-        mark = incremental.high_watermark(live.where(of_kind), "ts")
-        some = incremental.has_rows(incremental.above(events.where(of_kind), "ts", mark))
-        found.append((kind, int(some), "publish" if some else "skip"))
-    return spark.createDataFrame(found, "event_type string, has_rows int, action string")
+    found = incremental.increments(events, live, ["event_type"], "ts")
+    return found.select("event_type", F.col("has_rows").cast("int").alias("has_rows"), F.when(F.col("has_rows"), "publish").otherwise("skip").alias("action"))
 
 
 INCR_EMPTY_SQL = f"""
