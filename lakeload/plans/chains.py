@@ -12,7 +12,7 @@ from ..functions import names
 from ..operators import audit, catalog, compare, incremental, project
 from ..operators.project import Field
 from ..session import size_shuffles
-from ..sinks import export, publish, views
+from ..sinks import export, marks, publish, views
 from ..sources import files
 from . import loads, quality, stores
 from .loads import Folders
@@ -152,7 +152,7 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
     began = time.monotonic()
     try:
         live = spark.read.parquet(to.live)
-        newer = incremental.above(source, table.check_column, incremental.high_watermark(live, table.check_column))
+        newer = incremental.above(source, table.check_column, _high_watermark(spark, table, live))
         landed, extracted = files.land_counted(newer, to.landing)
         compare.require_equal_counts(extracted, landed.count())
         pulled = time.monotonic()
@@ -176,6 +176,13 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
     return extracted
 
 
+def _high_watermark(spark: SparkSession, table: Table, live: DataFrame):
+    """From the spans kept of each load partition; a live folder without partitions is read."""
+    if publish.PARTITION not in live.columns:
+        return incremental.high_watermark(live, table.check_column)
+    return marks.high_watermark(spark, table.folders.live, table.check_column, live.drop(publish.PARTITION).schema)
+
+
 def _show(spark: SparkSession, table: Table, rows: DataFrame, stamp: str | None = None) -> None:
     """Make the load visible: an increment adds its one partition, a full load brings all up to date."""
     if not table.live_table:

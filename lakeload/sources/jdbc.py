@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import names, types
+from ..operators import ranges
 from ..operators.catalog import dictionary_query, from_dictionary
 from ..operators.project import Field, lands_as_text
 from ..operators.registry import DEFAULT_FETCH_SIZE, DEFAULT_MAPPERS
@@ -152,18 +153,35 @@ def bucket_filters(source: Source) -> list[str]:
     return [f"({dealt[0]} OR {column} IS NULL)", *dealt[1:]]
 
 
-def read(spark: SparkSession, source: Source, fields: list[Field], increment: str = "") -> DataFrame:
+def even_filters(source: Source, lake: DataFrame, second: str | None = None) -> list[str]:
+    """One filter for each of about as many parts as there are readers, cut to equal rows by the lake's copy of the table.
+
+    A table that was loaded before shows how its keys are spread, at no cost to the vendor's
+    database. The parts are open at both ends, so keys that are new there are read as well.
+    ``second`` is a column that cuts values of the split column too heavy for one reader.
+    """
+    n = reader_count(source)
+    if n < 2:
+        return []
+    named = tuple(quoted(source.vendor, names.clean_for_extract(c)) for c in (source.split_by, second or source.split_by))
+    held = {c.lower(): c for c in lake.columns}
+    split, cut = (held.get(names.clean(c).lower(), c) if c else None for c in (source.split_by, second))
+    return ranges.filters(lake, split, n, cut, source.vendor, named)
+
+
+def read(spark: SparkSession, source: Source, fields: list[Field], increment: str = "", parts: list[str] | None = None) -> DataFrame:
     """Read the table in parallel ranges of its split column, or buckets of a text key; further filters are pushed down.
 
+    ``parts`` are filters of ``even_filters`` that take the place of ranges of equal width.
     Times and large objects arrive as text, as the vendor writes them, but for the split column.
     """
     bounds, by_text = None, bool(source.split_by) and splits_as_text(source, fields)
-    if reader_count(source) > 1 and not by_text:
+    if reader_count(source) > 1 and not by_text and not parts:
         one_reader = options(source, bounds_query(source, increment))
         bounds = tuple(spark.read.format("jdbc").options(**one_reader).load().first())
     chosen = options(source, extract_query(source, fields, increment), bounds)
     text = [names.clean_for_extract(name) for name in lands_as_text(fields) if by_text or name != source.split_by]
-    filters = bucket_filters(source) if by_text else []
+    filters = bucket_filters(source) if by_text else parts or []
     if filters:
         table, url = chosen.pop("dbtable"), chosen.pop("url")
         if text:

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import catalog, incremental, profile, project, sample
+from ..operators import catalog, incremental, profile, project, ranges, sample
 from ..plans import loads
-from ..sinks import publish
+from ..sinks import marks, publish
 from ..sources import files
 from ..session import scratch
 from ..streaming import ingest
@@ -44,6 +44,37 @@ FROM r LEFT JOIN lineitem ON l_orderkey BETWEEN lower AND upper GROUP BY ALL
 """
 
 
+EVEN_READERS = 10
+# One row in two has key 1, one in three no key at all.
+_EVEN = {
+    "zipf": ("lineitem", "CAST(1000 / (1 + l_partkey % 1000) AS BIGINT)", "l_orderkey"),
+    "nulls": ("events", "CASE WHEN event_id % 3 > 0 THEN user_id END", "event_id"),
+    "gaps": ("orders", "CASE WHEN o_orderkey % 10 > 0 THEN o_orderkey ELSE o_orderkey * 1000000000 END", None),
+    "times": ("events", "ts", "event_id"),
+    "decimals": ("orders", "CAST(o_totalprice AS DECIMAL(15, 2))", None),
+}
+
+
+def split_even(spark, sf):
+    """Parts of about equal rows for ten readers: all rows, those in exactly one part, and whether none is over 1.5 shares."""
+    t = inp.tables(spark, sf)
+    found = None
+    for label, (name, key, second) in _EVEN.items():
+        rows = t[name].select(F.expr(key).alias("k"), *([F.col(second).alias("second")] if second else []))
+        parts = ranges.filters(rows, "k", EVEN_READERS, "second" if second else None)
+        one = ranges.measured(rows, parts).select(
+            F.lit(label).alias("split_key"), "n_rows", "n_once",
+            (F.col("largest") * (2 * EVEN_READERS) <= F.col("n_rows") * 3).cast("int").alias("even"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+SPLIT_EVEN_SQL = " UNION ALL ".join(
+    f"SELECT '{label}' AS split_key, count(*) AS n_rows, count(*) AS n_once, 1 AS even FROM {name}" for label, (name, _, _) in _EVEN.items()
+)
+
+
 def extract_where(spark, sf):
     """Orders under awkward source names, filtered by a custom condition on them."""
     orders = inp.tables(spark, sf)["orders"].select(
@@ -174,6 +205,30 @@ UNION ALL SELECT 'events', 'event_id', 'append', CAST(max(event_id) AS VARCHAR)
 """
 
 
+def _three_loads(spark, sf, live):
+    """A full load, an increment, and a later load of one event in ten, older and newer than the mark."""
+    events, late = inp.tables(spark, sf)["events"], F.col("event_id") % 10 == 0
+    newer = events.where(F.col("ts") >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    for label, rows in {"full_20240115000000": _older(events).where(~late), "20240201063000": newer.where(~late), "20240301000000": events.where(late)}.items():
+        publish.merge_partition(rows.withColumn(publish.PARTITION, F.lit(label)), live)
+        marks.refresh(spark, live, "ts", events.schema)
+    return events.schema
+
+
+def mark_spans(spark, sf):
+    """The span of every load partition as it is kept beside the live table, each partition read once."""
+    live = scratch(spark, "mark_spans")
+    schema = _three_loads(spark, sf, live)
+    return marks.spans(spark, live, "ts", schema)
+
+
+MARK_SPANS_SQL = f"""
+SELECT CASE WHEN event_id % 10 = 0 THEN '20240301000000' WHEN ts < TIMESTAMP '{SPLIT_AT}' THEN 'full_20240115000000' ELSE '20240201063000' END
+       AS incr_ingest_timestamp, count(*) AS n_rows, min(ts) AS low, max(ts) AS high
+FROM events GROUP BY 1
+"""
+
+
 def incr_empty_skip(spark, sf):
     """Each event type is a source; two of them are already loaded whole."""
     events = inp.tables(spark, sf)["events"]
@@ -287,6 +342,29 @@ STREAM_SQL = f"""
 SELECT *, '{SPLIT_AT}' AS ingest_timestamp, CASE WHEN ts < TIMESTAMP '{SPLIT_AT}' THEN 'batch_0' ELSE 'batch_1' END AS incr_ingest_timestamp FROM events
 """
 
+def stream_each_once(spark, sf):
+    """Three drops: the second repeats the last hour before it, the third all of the second and brings one event in ten, most of them late."""
+    events = inp.tables(spark, sf)["events"]
+    folder = scratch(spark, "stream_once")
+    landing, live, late = f"{folder}/landing", f"{folder}/live", f"{folder}/late"
+    held_back, since = F.col("event_id") % 10 == 0, F.lit(SPLIT_AT).cast("timestamp_ntz")
+    second = events.where(~held_back & (F.col("ts") >= since - F.expr("INTERVAL 1 HOUR")))
+    for drop in (_older(events).where(~held_back), second, second.unionByName(events.where(held_back))):
+        drop.write.mode("append").parquet(landing)
+        ingest.run_each_once(spark, landing, events.schema, live, late, f"{folder}/checkpoint", ["event_id"], "ts", "1 DAY")
+    return publish.read_partitioned(spark, live, events.schema).withColumn("is_late", F.lit(0)).unionByName(
+        publish.read_partitioned(spark, late, events.schema).withColumn("is_late", F.lit(1))
+    )
+
+
+STREAM_ONCE_SQL = f"""
+WITH m AS (SELECT max(ts) - INTERVAL 1 DAY AS cutoff FROM events WHERE event_id % 10 <> 0)
+SELECT events.*,
+       CASE WHEN event_id % 10 = 0 THEN 'batch_2' WHEN ts < TIMESTAMP '{SPLIT_AT}' THEN 'batch_0' ELSE 'batch_1' END AS incr_ingest_timestamp,
+       CAST(event_id % 10 = 0 AND ts < cutoff AS INTEGER) AS is_late
+FROM events, m
+"""
+
 KEYS = {
     "catalog_scan": (catalog_scan, CATALOG_SCAN_SQL),
     "csv_inbound": (csv_inbound, "SELECT * FROM customer"),
@@ -310,7 +388,10 @@ KEYS = {
     "incr_rerun": (incr_rerun, INCR_MERGE_SQL),
     "land_as_string": (land_as_string, LAND_AS_STRING_SQL),
     "landing_roundtrip": (landing_roundtrip, "SELECT * FROM customer"),
+    "mark_spans": (mark_spans, MARK_SPANS_SQL),
     "peek_rows": (peek_rows, "SELECT * FROM orders ORDER BY o_orderkey LIMIT 3"),
     "split_bounds": (split_bounds, SPLIT_BOUNDS_SQL),
+    "split_even": (split_even, SPLIT_EVEN_SQL),
+    "stream_each_once": (stream_each_once, STREAM_ONCE_SQL),
     "stream_ingest": (stream_ingest, STREAM_SQL),
 }
