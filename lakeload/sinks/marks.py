@@ -27,7 +27,8 @@ def listed(spark: SparkSession, live: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(live)
         .select("path", "length", "modificationTime")
     )
-    label = F.url_decode(F.regexp_extract("path", f"/{PARTITION}=([^/]+)/", 1))
+    # Folder names escape by percent signs alone; a plus sign is itself.
+    label = F.url_decode(F.replace(F.regexp_extract("path", f"/{PARTITION}=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
     name = F.regexp_extract("path", "([^/]+)$", 1)
     print_ = F.xxhash64(name, "length", "modificationTime").cast("decimal(38,0)")
     return found.groupBy(label.alias(PARTITION)).agg(F.sum(print_).alias("s")).select(PARTITION, F.xxhash64("s").alias("files"))

@@ -53,7 +53,7 @@ def test_values_keep_their_type(spark, folder, kind):
     live = f"{folder}/live"
     made = {"date": "date_add(DATE '2024-01-01', CAST(id AS INT))", "decimal(20,0)": "CAST(id AS DECIMAL(20,0))"}
     values = made.get(kind, f"CAST(timestamp_micros(1704067200123456 + id) AS {kind})")
-    df = spark.range(9).select(F.expr(values).alias("k"), F.lit("x y%").alias(publish.PARTITION))
+    df = spark.range(9).select(F.expr(values).alias("k"), F.lit("x y%+1").alias(publish.PARTITION))
     publish.merge_partition(df, live)
     rows = publish.read_partitioned(spark, live, df.schema)
     assert marks.high_watermark(spark, live, "k", df.drop(publish.PARTITION).schema) == incremental.high_watermark(rows, "k")
