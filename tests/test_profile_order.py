@@ -70,6 +70,33 @@ def test_next_value_against_brute_force(spark, seed, hot):
         assert got[tie] == (min(later)[2] if later else None)
 
 
+@pytest.mark.parametrize("most_tied", [3, 40])
+def test_next_value_cuts_ties(spark, most_tied):
+    rng = random.Random(most_tied)
+    rows = [
+        (rng.choice(["hot", "hot", None, "k"]), rng.choice([7, 7, 7, 8, None, rng.randrange(50)]), rng.randrange(2), i, None if rng.random() < 0.5 else i)
+        for i in range(500)
+    ]
+    df = spark.createDataFrame(rows, "key string, at long, kind int, tie long, v long")
+    out = ordered.next_value(df, ["key"], ["at", "kind", "tie"], "v", most_tied)
+    got = {r.tie: r.next_v for r in out.collect()}
+    assert out.columns == [*df.columns, "next_v"] and len(got) == len(rows)
+    place = lambda at, kind, tie: (at is None, at or 0, kind, tie)
+    for key, at, kind, tie, _ in rows:
+        later = [(place(a, k, t), v) for o, a, k, t, v in rows if o == key and place(a, k, t) > place(at, kind, tie) and v is not None]
+        assert got[tie] == (min(later)[1] if later else None)
+
+
+def test_tied_rows_of_a_hot_key_are_cut(spark):
+    """A third of all rows share key and time: no window holds more than a small part of them."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).cast("long").alias("at"), F.lit("hot").alias("key"), "id")
+    out = ordered.next_value(df, ["key"], ["at", "id"], "id", most_tied=1_000)
+    assert out.count() == 30_000
+    crowd = df.where("at = 5")
+    sizes = [r["count"] for r in ordered.with_slice(crowd, "id").groupBy("key", "at", "_slice").count().collect()]
+    assert max(sizes) < 1_000
+
+
 def test_a_hot_key_is_spread_over_many_slices(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("key"), "id")
     sizes = [r["count"] for r in ordered.with_slice(df, "id").groupBy("key", "_slice").count().collect()]
