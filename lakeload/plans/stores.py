@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import escape_log
 from ..operators import audit, teams
 from ..sinks import publish, views
+from . import folding
 
 ARCHIVED_AT, ARCHIVED_ROW = "archived_at", "archived_row"
 
@@ -91,11 +92,21 @@ def record_audit(
     return read_store(spark, root, schema)
 
 
-def read_history(spark: SparkSession, root: str, schema: str = audit.AUDIT) -> DataFrame:
-    return read_store(spark, root, f"{schema}, {ARCHIVED_AT} STRING, {ARCHIVED_ROW} STRING", "history")
+def read_history(spark: SparkSession, root: str, schema: str = audit.AUDIT, keys: list[str] = audit.KEYS) -> DataFrame:
+    return folding.read_folded(spark, f"{root}/history", _history_schema(schema), [*keys, ARCHIVED_ROW])
+
+
+def fold_history(spark: SparkSession, root: str, schema: str = audit.AUDIT, keys: list[str] = audit.KEYS) -> int:
+    """Fold the folders of archived rows into few files; to be run now and then."""
+    return folding.fold(spark, f"{root}/history", _history_schema(schema), [*keys, ARCHIVED_ROW])
+
+
+def _history_schema(schema: str) -> str:
+    return f"{schema}, {ARCHIVED_AT} STRING, {ARCHIVED_ROW} STRING"
 
 
 QA_LOG = "log_time TIMESTAMP, table_name STRING, log STRING, status STRING"
+QA_LOG_BATCHES = f"{QA_LOG}, batch STRING"
 
 
 def append_log(rows: DataFrame, path: str, batch: str | None = None) -> DataFrame:
@@ -106,12 +117,21 @@ def append_log(rows: DataFrame, path: str, batch: str | None = None) -> DataFram
     """
     folder = f"{path}/batch={batch or uuid.uuid4().hex}"
     rows.select("log_time", "table_name", "log", "status").write.mode("overwrite").parquet(folder)
-    return rows.sparkSession.read.schema(QA_LOG).parquet(path).drop("batch")
+    return read_log(rows.sparkSession, path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return folding.read_folded(spark, path, QA_LOG_BATCHES, ["batch"]).drop("batch")
+
+
+def fold_log(spark: SparkSession, path: str) -> int:
+    """Fold the log's batches into few files; to be run now and then."""
+    return folding.fold(spark, path, QA_LOG_BATCHES, ["batch"])
 
 
 def latest_log(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     """The newest ``n`` rows of the stored quality log."""
-    log = spark.read.schema(QA_LOG).parquet(path).drop("batch")
+    log = read_log(spark, path)
     return log.orderBy(F.col("log_time").desc(), "table_name", "log").limit(n)
 
 

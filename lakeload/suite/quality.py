@@ -337,18 +337,38 @@ SELECT doc_id, replace(replace(replace(replace(replace(trim(text, chr(32) || chr
        '''', '\'''), '"', '\"'), ',', '\,'), chr(10), ' '), chr(13), '') AS log FROM documents"""
 
 
-def qa_log_latest(spark, sf):
-    """The newest rows of a quality log kept over events."""
-    log = inp.tables(spark, sf)["events"].select(
+def _event_log(spark, sf):
+    return inp.tables(spark, sf)["events"].select(
         F.col("ts").cast("timestamp").alias("log_time"), F.concat(F.lit("tab_"), F.col("user_id")).alias("table_name"),
         F.col("event_id").cast("string").alias("log"), F.when(F.col("event_type") == "error", "failed").otherwise("passed").alias("status"),
     )
-    path = scratch(spark, "qa_log")
+
+
+def qa_log_latest(spark, sf):
+    """The newest rows of a quality log kept over events."""
+    log, path = _event_log(spark, sf), scratch(spark, "qa_log")
     for part, batch in ((log.where("status = 'passed'"), "one"), (log.where("status = 'failed'"), "two")):
         stores.append_log(part, path, batch)
     return stores.latest_log(spark, path).withColumn("log_time", F.col("log_time").cast("timestamp_ntz"))
 
 
+def qa_log_folded(spark, sf):
+    """A log of seven batches, folded twice between them; one batch is stored again after it was folded."""
+    log, path = _event_log(spark, sf), scratch(spark, "qa_log")
+    part = lambda i: log.where(F.pmod(F.col("log").cast("bigint"), F.lit(7)) == i)
+    for folded, batches in ((True, range(3)), (True, range(3, 6)), (False, [6, 0])):
+        for i in batches:
+            stores.append_log(part(i), path, f"b{i}")
+        if folded:
+            stores.fold_log(spark, path)
+    return stores.read_log(spark, path).withColumn("log_time", F.col("log_time").cast("timestamp_ntz"))
+
+
+EVENT_LOG_SQL = (
+    "SELECT ts AS log_time, 'tab_' || user_id AS table_name, CAST(event_id AS VARCHAR) AS log, "
+    "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'passed' END AS status FROM events"
+)
+
 KEYS = {
     "qa_column_set": (qa_column_set, _schema_sql(_COLUMN_SET)),
     "qa_conformance": (qa_conformance, CONFORMANCE_SQL),
@@ -359,12 +379,8 @@ KEYS = {
     "qa_full_ingest": (qa_full_ingest, FULL_INGEST_SQL),
     "qa_incremental": (qa_incremental, INCREMENTAL_SQL),
     "qa_log_escape": (qa_log_escape, LOG_ESCAPE_SQL),
-    "qa_log_latest": (
-        qa_log_latest,
-        "SELECT ts AS log_time, 'tab_' || user_id AS table_name, CAST(event_id AS VARCHAR) AS log, "
-        "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'passed' END AS status "
-        "FROM events ORDER BY ts DESC, table_name, log LIMIT 20",
-    ),
+    "qa_log_folded": (qa_log_folded, EVENT_LOG_SQL),
+    "qa_log_latest": (qa_log_latest, f"{EVENT_LOG_SQL} ORDER BY ts DESC, table_name, log LIMIT 20"),
     "qa_nullable": (qa_nullable, NULLABLE_SQL),
     "qa_reconcile": (qa_reconcile, ROW_MATCH_SQL),
     "qa_row_match": (qa_row_match, ROW_MATCH_SQL),
