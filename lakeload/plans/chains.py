@@ -160,11 +160,13 @@ def ingest_increment(source: DataFrame, table: Table, at: dt.datetime) -> int:
             typed, seen = loads.observed(landed, table.fields, table.vendor, at, full=False)
             if not _passed(check_schema(spark, table, typed)) or dict(typed.dtypes) != dict(live.dtypes):
                 raise QualityError(f"the increment of {table.name} does not match its live table")
-            # Staged first: the live table must not see rows that the gate holds back.
+            # Staged first: the live table must not see rows that the gate holds back. What passes moves, and is not written again.
             staged = publish.write_stage(typed, to.stage)
             _require_whole(table, seen)
-            merged = publish.merge_partition(staged, to.live)
-            _show(spark, table, merged, project.load_stamp(at, full=False))
+            stamp = project.load_stamp(at, full=False)
+            publish.move_partition(spark, to.stage, to.live, stamp)
+            _show(spark, table, staged, stamp)
+            publish.delete(spark, to.stage)
     except Exception:
         _record(spark, table, at, audit.FAILED)
         raise

@@ -74,6 +74,48 @@ def merge_partition(df: DataFrame, live: str) -> DataFrame:
     return read_partitioned(df.sparkSession, live, df.schema)
 
 
+def partition_folder(stamp: str) -> str:
+    return f"{PARTITION}={stamp}"
+
+
+def move_partition(spark: SparkSession, stage: str, live: str, stamp: str) -> None:
+    """Publish a staged load partition by renaming its folder into the live table: nothing is written again.
+
+    A load that is repeated replaces its partition. The one it replaces waits beside the live
+    folder until the new one is in place; a move broken off at any rename can be repeated.
+    """
+    name = partition_folder(stamp)
+    staged, target, aside = f"{stage}/{name}", f"{live}/{name}", f"{live}_replaced/{name}"
+    if not exists(spark, staged):
+        if exists(spark, aside) and not exists(spark, target):
+            rename(spark, aside, target)
+        raise FileNotFoundError(staged)
+    if exists(spark, target):
+        # What waits there is older than what is live: a move broken off before its last step.
+        delete(spark, aside)
+        make_folder(spark, f"{live}_replaced")
+        rename(spark, target, aside)
+    make_folder(spark, live)
+    try:
+        rename(spark, staged, target)
+    except Exception:
+        if exists(spark, aside) and not exists(spark, target):
+            rename(spark, aside, target)
+        raise
+    delete(spark, aside)
+
+
+def attach_partition(spark: SparkSession, table: str, stamp: str, place: str) -> None:
+    """Publish a written load partition where it lies, by naming its folder in the table.
+
+    For stores where a rename copies. Readers of the table see all of the load or nothing; a
+    repeated load names its new folder in place of the old one, in one statement.
+    """
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({PARTITION}='{stamp}') LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({PARTITION}='{stamp}') SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+
+
 def swap(spark: SparkSession, stage: str, live: str, backup: str) -> None:
     """Stage becomes live and live becomes the backup.
 

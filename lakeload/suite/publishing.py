@@ -134,6 +134,31 @@ def live_table(spark, sf):
     return publish.register_live(spark, unique_name("live"), live, schema)
 
 
+def _increment_beside(spark, sf, label):
+    """A live table of the even orders, and the odd ones staged beside it as an increment."""
+    root = scratch(spark, label)
+    live, stage = f"{root}/live", f"{root}/stage"
+    first = _staged_orders(spark, sf, live, "o_orderkey % 2 = 0")
+    _staged_orders(spark, sf, stage, "o_orderkey % 2 = 1", LATER, full=False)
+    return live, stage, first.schema, project.load_stamp(LATER, False)
+
+
+def incr_move(spark, sf):
+    """The increment becomes a partition of the live table by one rename."""
+    live, stage, schema, stamp = _increment_beside(spark, sf, "incr_move")
+    publish.move_partition(spark, stage, live, stamp)
+    return publish.read_partitioned(spark, live, schema)
+
+
+def incr_attach(spark, sf):
+    """The increment stays where it was staged, and the table names that place as its partition."""
+    live, stage, schema, stamp = _increment_beside(spark, sf, "incr_attach")
+    table = unique_name("live")
+    publish.register_live(spark, table, live, schema)
+    publish.attach_partition(spark, table, stamp, f"{stage}/{publish.partition_folder(stamp)}")
+    return spark.table(table)
+
+
 def partition_sizes(spark, sf):
     _, live, _ = _two_loads(spark, sf, "sizes")
     sizes = publish.partition_sizes(spark, live)
@@ -260,6 +285,8 @@ KEYS = {
         filtered_view,
         "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 30",
     ),
+    "incr_attach": (incr_attach, BOTH_LOADS_SQL),
+    "incr_move": (incr_move, BOTH_LOADS_SQL),
     "ingest_chain": (
         ingest_chain,
         stamped_sql("o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders)") + " UNION ALL "
