@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import codes, names, types
 from ..operators import catalog, profile, project
+from ..plans import limited
 from ..plans.steps import unique_name
 from ..session import scratch
 from ..sinks import publish
@@ -238,6 +241,14 @@ def split_choice_sketched(spark, sf):
     )
 
 
+def split_limited(spark, sf):
+    """A profile in time, and the same one from the store where a later request has no time for its own."""
+    lineitem, root = _profiled(spark, sf), scratch(spark, "profiles")
+    first = limited.profiled(lineitem, "lineitem", root, dt.datetime(2016, 1, 1), seconds=3_600)
+    later = limited.profiled(lineitem, "lineitem", root, dt.datetime(2016, 1, 2), seconds=0)
+    return first.unionByName(later).drop("table_name")
+
+
 def split_bands(spark, sf):
     """The exact profile beside the sketches' bands."""
     lineitem = _profiled(spark, sf)
@@ -428,6 +439,13 @@ KEYS = {
     "split_first_int": (split_first_int, SPLIT_INT_SQL),
     "split_index_rank": (split_index_rank, SPLIT_RANK_SQL),
     "split_primary_key": (split_primary_key, SPLIT_PK_SQL),
+    "split_limited": (
+        split_limited,
+        inp.with_inputs(
+            "SELECT q.*, '2016-01-01 00:00:00' AS profiled_at, unnest([true, false]) AS fresh FROM q",
+            p=_PROFILED_SQL, q=_quality_sql(),
+        ),
+    ),
     "split_quality": (split_quality, SPLIT_QUALITY_SQL),
     "split_rules": (split_rules, SPLIT_RULES_SQL),
     "table_stats": (table_stats, "SELECT 'orders' AS table_name, count(*) AS n_rows, count(*) AS stats_rows FROM orders"),
