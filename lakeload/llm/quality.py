@@ -150,12 +150,18 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text
     """Fit on at most ``rows`` labelled documents outside the held-out third, texts of at most ``text_bytes``.
 
     The sample is the first by a hash of the id; its ids are broadcast, its passages' features
-    come to the driver. Rows with a null id or quality are not learned from.
+    come to the driver. Rows with a null id or quality are not learned from, nor are ids whose
+    label rows contradict each other; repeated label rows count once. Of several documents with
+    one id the text of smallest hash is learned from, a null text counting as the empty one. Empty
+    tables, or labels of one kind alone, give a model that cannot tell documents apart.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_y")).where("_id IS NOT NULL AND _y IS NOT NULL")
-    known = known.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id", "_y").limit(rows)
-    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(known), "_id").where(F.octet_length(F.coalesce("text", F.lit(""))) <= text_bytes)
+    known = known.where(~held_out(F.col("_id"))).groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).where("_y = _top")
+    known = known.select("_id", "_y").orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = texts.join(F.broadcast(known), "_id").where(F.octet_length("text") <= text_bytes)
+    # One text an id, told before any leaves its task: a label row may stand for any number of documents.
+    texts = texts.groupBy("_id", "_y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("_first")).select("_id", F.col("_first.text").alias("text"), "_y")
 
     def bags(batches):
         for batch in batches:
