@@ -203,6 +203,14 @@ def team_copy_incr(spark, sf):
     return views.copy_newer(rows, copy)
 
 
+def team_copy_loads(spark, sf):
+    """As ``team_copy_incr``, where only the loads that the copy lacks are read."""
+    rows, live, schema = _two_loads(spark, sf, "copy_source")
+    copy = scratch(spark, "team_copy")
+    views.copy_full(rows.where(F.col("incr_ingest_timestamp") == STAMP), copy)
+    return views.copy_new_loads(spark, live, copy, schema)
+
+
 def team_members(spark, sf):
     return teams.members(inp.derive(spark, sf, inp.registry(SPARK)), "team_a").select("full_table_name", "views", "db_env")
 
@@ -304,6 +312,7 @@ KEYS = {
     "stage_partition": (stage_partition, STAGE_SQL),
     "team_copy_full": (team_copy_full, BOTH_LOADS_SQL),
     "team_copy_incr": (team_copy_incr, BOTH_LOADS_SQL),
+    "team_copy_loads": (team_copy_loads, BOTH_LOADS_SQL),
     "team_members": (team_members, TEAM_MEMBERS_SQL),
     "team_refresh_due": (team_refresh_due, REFRESH_SQL),
     "team_rule_upsert": (team_rule_upsert, RULE_UPSERT_SQL),
