@@ -68,9 +68,13 @@ def stored_type(lake: str) -> str:
     return "timestamp_ntz" if lake.startswith("TIMESTAMP") else lake.lower()
 
 
+def _misfits(seen) -> dict[str, int]:
+    return {c: n for c, n in seen.get.items() if c != "_rows" and n}
+
+
 def _require_whole(table: Table, seen) -> None:
     """Hold the load back if more values than tolerated did not reach their lake type whole."""
-    bad = {c: n for c, n in seen.get.items() if c != "_rows" and n}
+    bad = _misfits(seen)
     if table.tolerated is not None and sum(bad.values()) > table.tolerated:
         raise QualityError(f"values of {table.name} do not fit the lake: " + ", ".join(f"{c} {n}" for c, n in sorted(bad.items())))
 
@@ -122,7 +126,7 @@ def ingest_full(source: DataFrame, table: Table, at: dt.datetime) -> DataFrame:
             lake = dict(zip([names.clean(f.name) for f in table.fields], project.lake_types(table.fields, table.vendor)))
             lake = {c: t.replace("TIMESTAMP_DATE", "TIMESTAMP") for c, t in lake.items()}
             plain = landed.toDF(*[names.clean(f.name) for f in table.fields])
-            sampled = quality.sampling(plain, staged, table.sample_id, lake)
+            sampled = quality.sampling(plain, staged, table.sample_id, lake, misfits=sum(_misfits(seen).values()))
             stages = stages.unionByName(
                 sampled.select(F.lit(table.vendor).alias("vendor"), F.lit(table.name).alias("table_name"), "stage", "passed")
             )

@@ -40,6 +40,14 @@ def test_full_load_with_checks_views_and_audit(spark, folder):
     assert [r.current_repull for r in history] == [1]
 
 
+def test_values_that_do_not_fit_are_told_where_they_are_tolerated(spark, folder):
+    table = _table(folder, sample_id="ID", tolerated=None)
+    source = _source(spark, range(5)).withColumn("NAME", F.when(F.col("ID") == "3", F.repeat(F.lit("x"), 30)).otherwise(F.col("NAME")))
+    stages = {r.stage: r.passed for r in chains.ingest_full(source, table, AT).collect()}
+    assert stages["conformance"] is False and stages["ddl"] is True
+    assert spark.read.parquet(table.folders.live).count() == 5
+
+
 def test_a_failed_check_publishes_nothing_and_is_recorded(spark, folder):
     table = _table(folder)
     chains.ingest_full(_source(spark, range(3)), table, AT)
