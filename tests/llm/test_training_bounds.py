@@ -63,3 +63,20 @@ def test_awkward_rows_are_trained_on_and_filtered(spark, documents):
     scores = quality.score(docs, model).collect()
     assert len(scores) == len(AWKWARD) and kept.columns == docs.columns
     assert kept.count() == sum(r.predicted for r in scores)
+
+
+def test_benchmark_passages_in_awkward_rows(spark, documents):
+    """A very long text, repeated rows, null ids and odd characters; items that are null, blank or repeated."""
+    cat = AWKWARD[8][1]
+    items = [(1, cat), (1, cat), (2, None), (3, " "), (4, AWKWARD[10][1]), (None, "only a null id")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [*AWKWARD, (5, cat), (20, "so it goes " * 20_000 + cat)]
+    docs = documents(rows)
+    found = sorted(((r.doc_id, r.item_id, r.similarity) for r in decontam.leaks(docs, benchmark).collect()), key=str)
+    assert found == sorted([(5, 1, 1.0), (5, 1, 1.0), (6, 1, 1.0), (20, 1, 1.0), (7, 4, 1.0), (None, None, 1.0)], key=str)
+    kept = decontam.clean(docs, benchmark)
+    leaking = {cat, AWKWARD[10][1], "only a null id", rows[-1][1]}
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (r.text for r in kept.collect()))) == sorted(str(t) for _, t in rows if t not in leaking)
+    assert decontam.clean(docs, benchmark.limit(0)).count() == len(rows)
+    assert decontam.clean(documents([]), benchmark).count() == decontam.leaks(documents([]), benchmark).count() == 0
