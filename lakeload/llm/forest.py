@@ -197,23 +197,56 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     node it knows; a node's neighbours are only ever summed up, never gathered. The number of
     rounds grows with the logarithm of the longest chain; links are written between rounds.
     """
-    links, mark = settle(links.select("a", "b").distinct(), "links"), None
+    links = settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     for _ in range(most_rounds):
+        if _are_stars(links):
+            return links.select(F.col("b").alias("node"), F.col("a").alias("home"))
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
         large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("_m").alias("a"), "b").distinct()
         low = large.groupBy("b").agg(F.min("a").alias("_m"))
         small = large.join(low, "b").select(F.col("_m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where(F.col("a") != F.col("b")).distinct()
         links = settle(small, "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return links.select(F.col("b").alias("node"), F.col("a").alias("home"))
-        mark = now
     raise RuntimeError(f"links not joined after {most_rounds} rounds")
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each b stands once and no b is an a, so that links (a before b) are components already."""
+    end = lambda side, below: F.struct(F.col(side).alias("node"), F.lit(below).alias("below"))
+    ends = links.select(F.inline(F.array(end("a", 0), end("b", 1)))).groupBy("node").agg(F.sum("below").alias("below"), F.count(F.lit(1)).alias("n"))
+    return ends.where("below > 0 AND n > 1").isEmpty()
+
+
+def rooted(parents: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """The first node (``home``) of each chain of links (a before b) in which every b stands once, by pointer doubling.
+
+    A round is one join in which the rows not yet at a chain's first node look up where their
+    home points; the number of rounds grows with the logarithm of the longest chain.
+    """
+    homes = settle(parents.select(F.col("b").alias("node"), F.col("a").alias("home"), F.lit(True).alias("moved")), "homes")
+    for _ in range(most_rounds):
+        up = homes.select(F.col("node").alias("home"), F.col("home").alias("_up"))
+        step = homes.where("moved").join(up, "home", "left").select("node", F.coalesce("_up", "home").alias("home"), F.col("_up").isNotNull().alias("moved"))
+        homes, before = settle(step.union(homes.where("NOT moved")), "homes"), homes
+        discard(homes.sparkSession, before)
+        if homes.where("moved").isEmpty():
+            return homes.select("node", "home")
+    raise RuntimeError(f"chains not followed after {most_rounds} rounds")
+
+
+def joined(homes: DataFrame, links: DataFrame) -> DataFrame:
+    """``homes`` (node, home; each home the smallest of its component) after more links (a, b), by the links between components alone."""
+    if links.isEmpty():
+        return homes
+    home = lambda side: homes.select(F.col("node").alias(side), F.col("home").alias(f"_{side}"))
+    between = links.join(home("a"), "a", "left").join(home("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    moved = components(between.where(F.col("a") != F.col("b")))
+    up = moved.select(F.col("node").alias("home"), F.col("home").alias("_up"))
+    return settle(homes.join(up, "home", "left").select("node", F.coalesce("_up", "home").alias("home")).union(moved), "homes")
+
+
 def link(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between distinct sets that are enough to give every component.
+    """The smallest node (``home``) that each node reaches by links between distinct sets; a node that is its own home is left out.
 
     Each node's likest earlier candidate is confirmed first; of the other candidates only
     those between different components are left to confirm.
@@ -221,14 +254,13 @@ def link(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     pairs = settle(candidates(nodes), "candidates")
     texts = settle(texts_of(keyed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "texts")
     likest = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("_l")).select(F.col("_l.a").alias("a"), "b")
-    links = settle(confirmed(likest, texts), "links")
-    homes = components(links)
+    homes = rooted(confirmed(likest, texts))
     home = lambda side: homes.select(F.col("node").alias(side), F.col("home").alias(f"_{side}"))
     rest = pairs.select("a", "b").join(home("a"), "a", "left").join(home("b"), "b", "left")
     rest = rest.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b").join(likest, ["a", "b"], "left_anti")
-    links = links.union(settle(confirmed(rest, texts), "links"))
+    homes = joined(homes, settle(confirmed(rest, texts), "links"))
     discard(keyed.sparkSession, pairs, texts)
-    return links
+    return homes
 
 
 def frequent(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -337,13 +369,10 @@ def _homes(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = settle(classes(labelled), "classes")
     signed = settle(labelled.select("doc_id", "th", "n_shingles", "d1", "d2"), "signed")
     discard(spark, labelled)
-    links = link(keyed, nodes)
+    homes = link(keyed, nodes)
     labelled, nodes = nodes, settle(nodes.select("d1", "d2", "node", "n_shingles"), "nodes")
     discard(spark, labelled)
-    homes = components(links)
-    more = missed(keyed, nodes, homes)
-    if not more.isEmpty():
-        homes = components(links.union(more))
+    homes = joined(homes, missed(keyed, nodes, homes))
     return signed, nodes.join(homes, "node", "left").select("d1", "d2", "node", F.coalesce("home", "node").alias("home"))
 
 

@@ -369,6 +369,27 @@ def test_chains_join_into_one_component(spark):
     assert got == {**{(k, 0): (0, 0) for k in range(1, 201)}, (500, 1): (499, 7), (501, 0): (499, 7)}
 
 
+def test_links_after_the_first_are_joined_between_components_alone(spark, monkeypatch):
+    """Nodes whose component is known stay out of the rounds, and links that are stars take none."""
+    kind = "struct<doc_id:bigint,th:bigint>"
+    n = lambda k: (k, 0)
+    rounds, settle = [], forest.settle
+    monkeypatch.setattr(forest, "settle", lambda df, label: rounds.append(label) or settle(df, label))
+    parents = spark.createDataFrame([(n(k), n(k + 1)) for k in range(100)] + [(n(200), n(201)), (n(200), n(202)), (n(300), n(301))], f"a {kind}, b {kind}")
+    homes = forest.rooted(parents)
+    first = {**{k: 0 for k in range(1, 101)}, 201: 200, 202: 200, 301: 300}
+    found = lambda df: sorted((r.node.doc_id, r.home.doc_id) for r in df.collect())
+    assert found(homes) == sorted(first.items()) == found(forest.joined(homes, parents.limit(0)))
+    assert len(rounds) <= 9  # the logarithm of the longest chain
+    more = spark.createDataFrame([(n(202), n(301)), (n(100), n(300)), (n(400), n(50)), (n(500), n(501))], f"a {kind}, b {kind}")
+    joined = found(forest.joined(homes, more))
+    assert joined == sorted({**{k: 0 for k in range(1, 101)}, 200: 0, 201: 0, 202: 0, 300: 0, 301: 0, 400: 0, 501: 500}.items())
+    rounds.clear()
+    stars = spark.createDataFrame([(n(1), n(0)), (n(0), n(2)), (n(5), n(7))], f"a {kind}, b {kind}")
+    assert found(forest.components(stars)) == [(1, 0), (2, 0), (7, 5)]
+    assert len(rounds) == 1
+
+
 # 7
 
 
