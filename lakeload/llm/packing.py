@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import string
 import zlib
 from typing import Any
 
@@ -58,6 +59,10 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        before, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        whole = any(t.content.isalpha() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.folds = before is not None and not whole and before.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
+        self.parts = cut is not None and all(len(cut.pre_tokenize_str("ab" + mark)) == 2 for mark in (*string.punctuation, string.punctuation))
         self.forget()
 
     def forget(self) -> None:
@@ -88,31 +93,66 @@ class WordIds:
             self.begins, self.sizes, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begins, self.sizes, self.met))
 
     def learn(self) -> None:
-        """Encode the new words: letters, with or without one point, in one text, cut after ids that end a pre-token; others one by one."""
+        """Encode the new words: letters, with or without marks after them, as their letters' ids and the marks' ids; others one by one.
+
+        Letters known as a word already, or met twice, are not encoded again, in ASCII whatever their case.
+        """
         words, self.places.new = self.places.new, []
         first = len(self.places) - len(words)
-        parts = np.fromiter((1 if w.isalpha() else 2 if w[-1] in ".,;:!?" and w[:-1].isalpha() else 0 for w in words), np.int64, len(words))
-        plain = np.flatnonzero(parts)
-        flat = np.array(self._encode([" ".join([words[k] for k in plain.tolist()])])[0], np.uint32)
-        ends = np.flatnonzero(self.ends_word[flat]) + 1
-        if len(ends) == parts.sum():
-            stops = ends[np.cumsum(parts[plain]) - 1]
-        else:  # a letter that lower case turns into more than letters
-            plain, flat, stops = plain[:0], flat[:0], ends[:0]
-        sizes = np.zeros(len(words), np.int64)
-        sizes[plain] = np.diff(stops, prepend=0)
-        other = np.flatnonzero(np.bincount(plain, minlength=len(words)) == 0)
+        known, fresh = self.places.get, {}
+        tails: dict[str, int] = {"": 0}
+        plain, roots, ends = [], [], []
+        for k, word in enumerate(words):
+            root = word.rstrip(string.punctuation) if self.parts else word
+            if not root.isalpha():
+                continue
+            tail = word[len(root) :]
+            if self.folds and root.isascii():
+                root = root.lower()
+            at = known(root, first)
+            plain.append(k)
+            roots.append(at if at < first else ~fresh.setdefault(root, len(fresh)))
+            ends.append(tails.setdefault(tail, len(tails)) if tail else 0)
+        begins, sizes, flat = self._together([*fresh])
+        if begins is None:  # a letter that lower case turns into more than letters
+            plain, roots, ends = [], [], []
+            begins, sizes = np.zeros((2, 0), np.int64)
+        at, tail = np.array(roots, np.int64), np.array(ends, np.int64)
+        # All ids there are to copy from: those kept, those of new letters, those of marks.
+        marks = [np.array(i, np.uint32) for i in self._encode([*tails])]
+        mark_sizes = np.array([*map(len, marks)], np.int64)
+        old = at >= 0
+        root_begins, root_sizes = np.zeros((2, len(at)), np.int64)
+        root_begins[old], root_sizes[old] = self.begins[at[old]], self.sizes[at[old]]
+        root_begins[~old], root_sizes[~old] = self.used + begins[~at[~old]], sizes[~at[~old]]
+        mark_begins = self.used + len(flat) + np.cumsum(mark_sizes) - mark_sizes
+        source = np.concatenate([self.ids[: self.used], flat, *marks])
+        pieces = np.stack([root_sizes, mark_sizes[tail]], axis=1).ravel()
+        stops = np.cumsum(pieces)
+        copied = source[np.arange(pieces.sum()) + np.repeat(np.stack([root_begins, mark_begins[tail]], axis=1).ravel() - stops + pieces, pieces)]
+        other = np.flatnonzero(np.bincount(plain, minlength=len(words)) == 0) if plain else np.arange(len(words))
         encoded = self._encode([words[k] for k in other.tolist()])
-        sizes[other] = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        total = len(flat) + int(sizes[other].sum())
+        found = np.zeros(len(words), np.int64)
+        found[plain] = root_sizes + mark_sizes[tail]
+        found[other] = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        total = int(found.sum())
         self._grow(total)
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.ids[self.used + len(flat) : self.used + total] = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, total - len(flat))
-        order = np.concatenate([plain, other])
-        self.begins[first + order] = self.used + np.cumsum(sizes[order]) - sizes[order]
-        self.sizes[first : len(self.places)] = sizes
+        self.ids[self.used : self.used + len(copied)] = copied
+        self.ids[self.used + len(copied) : self.used + total] = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, total - len(copied))
+        order = np.concatenate([np.array(plain, np.int64), other])
+        self.begins[first + order] = self.used + np.cumsum(found[order]) - found[order]
+        self.sizes[first : len(self.places)] = found
         self.used += total
 
+    def _together(self, roots: list[str]) -> tuple[np.ndarray | None, np.ndarray | None, np.ndarray]:
+        """Begins, sizes and ids of words of letters, encoded as one text and cut after ids that end a pre-token; no begins if that gives another number."""
+        flat = np.array(self._encode([" ".join(roots)])[0], np.uint32)
+        stops = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(stops) != len(roots):
+            return None, None, flat[:0]
+        sizes = np.diff(stops, prepend=0)
+        return stops - sizes, sizes, flat
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 

@@ -393,6 +393,18 @@ def test_links_after_the_first_are_joined_between_components_alone(spark, monkey
 # 7
 
 
+def test_words_alike_but_for_case_and_marks_are_encoded_once(monkeypatch):
+    given, encode = [], packing.WordIds._encode
+    monkeypatch.setattr(packing.WordIds, "_encode", lambda self, texts: given.extend(texts) or encode(self, texts))
+    words = packing.WordIds(WORD_BPE)
+    texts = ["Zebra zebra, ZEBRA!! zebra", "zEbra. (zebra Ähre ähre. don't AB's <|ENDOFTEXT|> <|endoftext|>. ΣΑΣ. x1.", "Zebra? ... 's", "İa. zebra;"]
+    plain = [e.ids for e in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [w.tolist() for text in texts for w in words.encode([text])] == plain
+    assert sum(w == "zebra" for text in given for w in text.lower().rstrip(",.!?").split()) == 1, given
+    words.keep_frequent()
+    assert [w.tolist() for w in words.encode(texts)] == plain
+
+
 def test_packing_is_whole_gapless_and_tight(documents):
     texts = [t * k for k, t in enumerate(prose(150, 14), 1) for t in [t[:400]] if k % 3] + ["", None, "x<|endoftext|>y", "Straße ΑΣ İ"]
     rows = list(enumerate(texts))
