@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -23,10 +24,31 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def tidy(work: Callable) -> Callable:
-    """A step over Arrow batches that hands its worker's freed memory back when its task ends, as workers outlive tasks."""
+_helds: list[Callable] = []
+
+
+def held(build: Callable) -> Callable:
+    """Keep what ``build`` makes in its worker from task to task, until a step begins that does not name it."""
+    kept = functools.lru_cache(maxsize=2)(build)
+    _helds.append(kept)
+    return kept
+
+
+def let_go(keeps: Callable | None = None) -> None:
+    """Drop what this worker holds, but for ``keeps``."""
+    for kept in _helds:
+        if kept is not keeps:
+            kept.cache_clear()
+
+
+def tidy(work: Callable, keeps: Callable | None = None) -> Callable:
+    """A step over Arrow batches that hands its worker's freed memory back when its task ends, as workers outlive tasks and steps.
+
+    Of what is ``held`` in the worker, only ``keeps`` outlasts the step's beginning.
+    """
 
     def run(batches):
+        let_go(keeps)
         try:
             yield from work(batches)
         finally:

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from lakeload.session import settle
 
-from .bytestext import small_batches, tidy
+from .bytestext import held, small_batches, tidy
 
 #: Distinct words whose ids a task remembers; beyond that, and from task to task, those met at least so often are kept.
 REMEMBERED, OFTEN = 600_000, 2
@@ -177,7 +177,7 @@ class WordIds:
         return out
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
@@ -212,7 +212,7 @@ def cut(documents: DataFrame, tokenizer: str, length: int, end_id: int, id_colum
         encoder.keep_frequent()
 
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    out = small_batches(narrow).mapInArrow(tidy(pieces), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = small_batches(narrow).mapInArrow(tidy(pieces, word_ids), "doc_id long, piece int, start long, length long, ids_crc32 long")
     return out.withColumn("item", F.monotonically_increasing_id())
 
 

@@ -405,6 +405,14 @@ def test_words_alike_but_for_case_and_marks_are_encoded_once(monkeypatch):
     assert [w.tolist() for w in words.encode(texts)] == plain
 
 
+def test_a_worker_lets_go_of_words_when_another_step_begins():
+    encoder = packing.word_ids(WORD_BPE)
+    list(bytestext.tidy(lambda batches: batches, packing.word_ids)([]))
+    assert packing.word_ids(WORD_BPE) is encoder
+    list(bytestext.tidy(lambda batches: batches)([]))
+    assert packing.word_ids.cache_info().currsize == 0
+
+
 def test_packing_is_whole_gapless_and_tight(documents):
     texts = [t * k for k, t in enumerate(prose(150, 14), 1) for t in [t[:400]] if k % 3] + ["", None, "x<|endoftext|>y", "Straße ΑΣ İ"]
     rows = list(enumerate(texts))
